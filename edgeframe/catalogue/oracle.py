@@ -20,7 +20,7 @@ def rs(*names: str) -> str:
 
 
 def half_up(expr: str, places: int) -> str:
-    return f"cast(round(cast({expr} as decimal(38, 12)), {places}) as double)"
+    return f"cast(round(cast(cast({expr} as varchar) as decimal(38, 20)), {places}) as double)"
 
 
 # --- features -----------------------------------------------------------------------
@@ -70,8 +70,8 @@ def _price(expr: str) -> str:
 
 
 def _split(place: str, n: str) -> str:
-    test = f"greatest(1, cast(floor({n} * 0.2e0) as bigint))"
-    val = f"greatest(1, cast(floor({n} * 0.15e0) as bigint))"
+    test = f"greatest(1, cast(floor(({n}) * 0.2e0) as bigint))"
+    val = f"greatest(1, cast(floor(({n}) * 0.15e0) as bigint))"
     return f"""case when {place} < {n} - {test} - {val} then 'train'
         when {place} < {n} - {test} then 'val' else 'test' end"""
 
@@ -427,8 +427,7 @@ ORACLE = {
               f"accuracy_{p}") for p in ("lstm", "transformer", "ensemble"))}
         from e group by 1""",
     "calibrated_probs": _platt(),
-    "trade_decisions": f"{_BT} select market, date, side, {rs('edge', 'fair_yes_price')} from t2"
-    .replace("from t2", "from k"),
+    "trade_decisions": f"{_BT} select market, date, side, {rs('edge', 'fair_yes_price')} from k",
     "kelly_sizing": f"""{_BT} select market, date, side, {rs("kelly_full", "kelly_used")},
         stake_usd from v""",
     "trade_pnl": f"{_BT} select market, date, taken, won, {rs('pnl')} from w",

@@ -125,7 +125,8 @@ def score_candidates(
     rows = preds.select(*PREDICTIONS).withColumn(
         BLOCK, (day_blocks() if block is None else block).cast("long")
     )
-    places = rows.select(*_KEY).distinct()
+    # Fresh column names of the same rows, so that the two sides can be told apart.
+    places = rows.select(*[F.col(k).alias(k) for k in _KEY]).distinct()
     if isinstance(candidates, list):
         pairs = F.array(
             *[
