@@ -224,7 +224,7 @@ def pooled_logistic_scores(spark: SparkSession, sf: str) -> DataFrame:
     _summaries(spark, sf).write.parquet(path)
     summaries = spark.read.parquet(path)
     model = models.fit_pooled_logistic(dataset.part(summaries, "train"), models.SUMMARY)
-    return models.score_pooled(summaries, model, "lstm_prob").select(
+    return models.score_pooled_logistic(summaries, model).select(
         "station", "date", "split", r6("lstm_prob")
     )
 
@@ -236,7 +236,7 @@ def tree_scores(spark: SparkSession, sf: str) -> DataFrame:
     dataset.standardize_windows(built, dataset.train_statistics(rows)).write.parquet(path)
     windows = spark.read.parquet(path)
     model = models.fit_trees(dataset.part(windows, "train"))
-    return models.score_pooled(windows, model, "transformer_prob", window=True).select(
+    return models.score_trees(windows, model).select(
         "station", "date", "split", r6("transformer_prob")
     )
 

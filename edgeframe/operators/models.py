@@ -124,13 +124,22 @@ def fit_pooled_logistic(
 ) -> PipelineModel:
     """One logistic model over all stations."""
     assembler = VectorAssembler(inputCols=list(names), outputCol="_x")
-    learner = LogisticRegression(
-        featuresCol="_x", labelCol=label, probabilityCol="_p", rawPredictionCol="_raw",
-        predictionCol="_hard",
-    )
+    learner = LogisticRegression(featuresCol="_x", labelCol=label)
     return PipelineModel([assembler, learner.fit(assembler.transform(train))])
 
 
+def score_pooled_logistic(
+    df: DataFrame, model: PipelineModel, out: str = "lstm_prob"
+) -> DataFrame:
+    """Add the pooled model's probability as one column expression over its inputs."""
+    assembler, fitted = model.stages
+    terms = [
+        F.lit(float(c)) * F.col(n)
+        for c, n in zip(fitted.coefficients, assembler.getInputCols())
+    ]
+    return df.withColumn(out, sigmoid(sum(terms[1:], terms[0]) + F.lit(float(fitted.intercept))))
+
+
 # --- member B: boosted trees over all stations --------------------------------------
 
 
@@ -154,12 +163,10 @@ def fit_trees(
     return PipelineModel([learner.fit(flat_window(train).select("_x", label))])
 
 
-def score_pooled(df: DataFrame, model: PipelineModel, out: str, window: bool = False) -> DataFrame:
-    """Add the YES probability of a fitted model over all stations."""
-    rows = flat_window(df) if window else df
-    scored = model.transform(rows)
-    column = "_p" if "_p" in scored.columns else "probability"
-    return scored.withColumn(out, vector_to_array(column)[1]).select(*df.columns, out)
+def score_trees(df: DataFrame, model: PipelineModel, out: str = "transformer_prob") -> DataFrame:
+    """Add the YES probability of the fitted trees."""
+    scored = model.transform(flat_window(df))
+    return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

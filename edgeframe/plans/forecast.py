@@ -58,7 +58,7 @@ def fit_members(lake: DataFrame, folder: str) -> tuple[Fitted, DataFrame]:
 
     held_out = F.col("split") != "train"
     a = models.score_logistic(scaled.where(held_out), logistic, models.SUMMARY)
-    b = models.score_pooled(windows.where(held_out), trees, "transformer_prob", window=True)
+    b = models.score_trees(windows.where(held_out), trees)
     preds = a.join(b.select("station", "date", "transformer_prob"), ["station", "date"]).select(
         F.col("station").alias("market"),
         "date",
@@ -121,7 +121,7 @@ def live_probabilities(lake: DataFrame, fitted: Fitted) -> DataFrame:
     summaries = dataset.scale_summaries(windows, fitted.statistics)
     scaled = models.scaled(summaries, fitted.summary_statistics, models.SUMMARY)
     scored = models.score_logistic(scaled, fitted.logistic, models.SUMMARY)
-    scored = models.score_pooled(scored, fitted.trees, "transformer_prob", window=True)
+    scored = models.score_trees(scored, fitted.trees)
     named = scored.withColumn("market", F.col("station"))
     tuned = named.join(fitted.best.select("market", "weight_lstm", "edge_threshold"), "market")
     raw = models.blend_members(tuned, F.col("weight_lstm"))
