@@ -147,8 +147,11 @@ def _prices(pricing: str, noise: float):
     return query
 
 
-def _lake(spark: SparkSession, sf: str) -> DataFrame:
-    return features.build_features(fx.obs_daily(spark, sf))
+def _lake(spark: SparkSession, sf: str, pricing: str = "naive") -> DataFrame:
+    """The stored feature lake, as the dataset operators find it in use."""
+    path = scratch(spark, "lake")
+    lake.write_lake(features.build_features(fx.obs_daily(spark, sf), pricing=pricing), path)
+    return lake.read_lake(spark, path)
 
 
 # --- dataset ------------------------------------------------------------------------
@@ -387,11 +390,7 @@ def live_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _study(spark: SparkSession, sf: str) -> tuple[DataFrame, forecast.Study]:
-    path = scratch(spark, "lake")
-    lake.write_lake(
-        features.build_features(fx.obs_daily(spark, sf), pricing="informed"), path
-    )
-    rows = lake.read_lake(spark, path)
+    rows = _lake(spark, sf, "informed")
     return rows, forecast.run_study(spark, rows)
 
 
@@ -531,7 +530,7 @@ def availability(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stats(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.engine_stats(_events(spark, sf), HOUR_NS)
+    return monitor.engine_stats(fx.quotes(spark, sf), fx.VENUES, HOUR_NS)
 
 
 _STATS = ["uptime_seconds", "latency_us_p50", "latency_us_p99", "msgs_per_sec", "uptime_pct"]

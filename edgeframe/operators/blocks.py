@@ -99,28 +99,43 @@ def last_known(
     values: dict[str, Column],
 ) -> DataFrame:
     """Add, per name, the last non-null value at or before the row."""
-    carried = df.groupBy(*keys, BLOCK).agg(
+    ends = df.groupBy(*keys, BLOCK).agg(
         *[
-            F.max_by(value, F.when(value.isNotNull(), F.struct(*order))).alias(f"_in_{name}")
+            F.max_by(value, F.when(value.isNotNull(), F.struct(*order))).alias(name)
             for name, value in values.items()
         ]
     )
+    return fill_forward(df, keys, order, values, ends)
+
+
+def fill_forward(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: dict[str, Column],
+    ends: DataFrame,
+) -> DataFrame:
+    """As ``last_known``, given the last non-null value of each block by name in ``ends``."""
     before = earlier_blocks(keys)
-    carried = carried.select(
+    carried = ends.select(
         *keys,
         BLOCK,
-        *[F.last(f"_in_{n}", ignorenulls=True).over(before).alias(f"_in_{n}") for n in values],
+        *[F.last(n, ignorenulls=True).over(before).alias(f"_in_{n}") for n in values],
     )
-    running = in_block(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    # Shuffled before the values are computed, so that the shuffle carries plain columns.
-    rows = df.repartition(*keys, BLOCK).withColumns(
-        {n: F.last(v, ignorenulls=True).over(running) for n, v in values.items()}
-    )
-    return (
-        _attach(rows, carried, keys)
-        .withColumns({n: F.coalesce(F.col(n), F.col(f"_in_{n}")) for n in values})
-        .drop(*[f"_in_{n}" for n in values])
+    w = in_block(keys, order)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    # The carried values enter at the first row of the block, before the window, so that
+    # later filters see plain window results. Both sides are hashed by (keys, block) and
+    # the block rows are few, so each task builds a small hash table and sorts once.
+    rows = (
+        df.repartition(*keys, BLOCK)
+        .join(carried.hint("shuffle_hash"), [*keys, BLOCK], "left")
+        .withColumn("_first", F.row_number().over(w) == 1)
     )
+    known = {n: F.coalesce(v, F.when(F.col("_first"), F.col(f"_in_{n}"))) for n, v in values.items()}
+    return rows.withColumns(
+        {n: F.last(v, ignorenulls=True).over(running) for n, v in known.items()}
+    ).drop("_first", *[f"_in_{n}" for n in values])
 
 
 def block_counts(df: DataFrame, keys: Sequence[str], present: Column | None = None) -> DataFrame:

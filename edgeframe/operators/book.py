@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from edgeframe.defaults import MIN_SPREAD_PCT
 from edgeframe.functions.numeric import number
-from edgeframe.operators.blocks import BLOCK, last_known, seq_blocks
+from edgeframe.operators.blocks import BLOCK, fill_forward, last_known, seq_blocks
 from edgeframe.sources.quotes import latency_us
 
 ORDER = ["seq", "venue", "yes_bid", "yes_ask"]
@@ -29,14 +29,14 @@ def usable(quotes: DataFrame) -> DataFrame:
     return quotes.where((number(F.col("yes_bid")) > 0) & (number(F.col("yes_ask")) > 0))
 
 
-def _slot(i: int) -> str:
-    return f"_book{i}"
+def _names(kind: str, venues: Sequence[str]) -> list[str]:
+    return [f"_{kind}{i}" for i in range(len(venues))]
 
 
 def book(
     quotes: DataFrame, venues: Sequence[str] | None = None, block: Column | None = None
 ) -> tuple[DataFrame, list[str]]:
-    """Quotes with one column per venue holding its latest (bid, ask) at that moment.
+    """Quotes with a bid and an ask column per venue: its latest quote at that moment.
 
     The book is kept per market in sequence order. Returned with the venue names in
     column order.
@@ -44,46 +44,29 @@ def book(
     quotes = usable(quotes)
     venues = sorted(venues) if venues else venues_of(quotes)
     rows = quotes.withColumn(BLOCK, seq_blocks() if block is None else block)
-    latest = {
-        _slot(i): F.when(F.col("venue") == v, F.struct("yes_bid", "yes_ask"))
-        for i, v in enumerate(venues)
-    }
-    return last_known(rows, ["market"], ORDER, latest).drop(BLOCK), venues
-
-
-def venue_count(venues: Sequence[str]) -> Column:
-    seen = [F.col(_slot(i)).isNotNull().cast("int") for i in range(len(venues))]
-    return sum(seen[1:], seen[0])
-
-
-def best_ask(venues: Sequence[str]) -> Column:
-    """(price, venue) of the lowest ask; the smallest name wins a tie."""
-    return F.array_min(
-        F.array(
-            *[
-                F.when(
-                    F.col(_slot(i)).isNotNull(),
-                    F.struct(F.col(f"{_slot(i)}.yes_ask").alias("price"), F.lit(v).alias("venue")),
-                )
-                for i, v in enumerate(venues)
-            ]
-        )
+    # Closing quote of each venue in each block, then one row of columns per block.
+    closing = rows.groupBy("market", BLOCK, "venue").agg(
+        F.max(F.struct("seq", "yes_bid", "yes_ask")).alias("_q")
+    )
+    slots = [
+        (name, v, field)
+        for kind, field in (("bid", "yes_bid"), ("ask", "yes_ask"))
+        for name, v in zip(_names(kind, venues), venues)
+    ]
+    ends = closing.groupBy("market", BLOCK).agg(
+        *[F.max(F.when(F.col("venue") == v, F.col(f"_q.{field}"))).alias(n) for n, v, field in slots]
     )
+    values = {n: F.when(F.col("venue") == v, F.col(field)) for n, v, field in slots}
+    return fill_forward(rows, ["market"], ORDER, values, ends).drop(BLOCK), venues
 
 
-def best_bid(venues: Sequence[str]) -> Column:
-    """(negated price, venue) of the highest bid; the smallest name wins a tie."""
-    return F.array_min(
-        F.array(
-            *[
-                F.when(
-                    F.col(_slot(i)).isNotNull(),
-                    F.struct((-F.col(f"{_slot(i)}.yes_bid")).alias("price"), F.lit(v).alias("venue")),
-                )
-                for i, v in enumerate(venues)
-            ]
-        )
-    )
+def _extreme(pick, columns: list[str]) -> Column:
+    return F.col(columns[0]) if len(columns) == 1 else pick(*columns)
+
+
+def _holder(columns: list[str], venues: Sequence[str], price: Column) -> Column:
+    """The first venue, by name, whose column equals the price."""
+    return F.coalesce(*[F.when(F.col(c) == price, v) for c, v in zip(columns, venues)])
 
 
 def book_state(
@@ -91,23 +74,23 @@ def book_state(
 ) -> DataFrame:
     """Every quote with best ask, best bid, their venues and the number of venues seen."""
     rows, names = book(quotes, venues, block)
+    bids, asks = _names("bid", names), _names("ask", names)
+    seen = [F.col(c).isNotNull().cast("int") for c in asks]
     return (
         rows.withColumns(
             {
-                "_ask": best_ask(names),
-                "_bid": best_bid(names),
-                "venue_count": venue_count(names),
+                "best_ask": _extreme(F.least, asks),
+                "best_bid": _extreme(F.greatest, bids),
+                "venue_count": sum(seen[1:], seen[0]),
             }
         )
         .withColumns(
             {
-                "best_ask": F.col("_ask.price"),
-                "ask_venue": F.col("_ask.venue"),
-                "best_bid": -F.col("_bid.price"),
-                "bid_venue": F.col("_bid.venue"),
+                "ask_venue": _holder(asks, names, F.col("best_ask")),
+                "bid_venue": _holder(bids, names, F.col("best_bid")),
             }
         )
-        .drop("_ask", "_bid", *[_slot(i) for i in range(len(names))])
+        .drop(*bids, *asks)
     )
 
 

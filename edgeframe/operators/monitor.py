@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgeframe.defaults import LATENCY_SAMPLES, TICK_NS
 from edgeframe.operators.blocks import BLOCK, block_counts, earlier_blocks, positions, prefix_sums
+from edgeframe.operators.book import arb_events, usable
 from edgeframe.sources.quotes import latency_us
 
 TICKS_PER_BLOCK = 4096
@@ -90,9 +93,10 @@ def rolling_latency(
 ) -> DataFrame:
     """Percentiles over the last ``samples`` non-negative latencies after each tick.
 
-    Samples are numbered per market (blocks = ticks) and put into arrays of ``samples``
-    consecutive numbers plus the array before; every end point inside such an array is
-    then a slice of it. An array never exceeds two rings, however busy the market is.
+    Samples are numbered per market (blocks = ticks) and cut into rings of ``samples``
+    consecutive numbers; a ring and the one before it hold every window that ends in it.
+    A task therefore sees at most two rings of numbers, however busy the market is, and
+    selects the ranks with a partial sort instead of sorting per tick.
     """
     usable = (
         events.withColumn("_us", latency_us())
@@ -101,48 +105,38 @@ def rolling_latency(
         .select("market", BLOCK, "recv_ns", "seq", "_us")
     )
     numbered = positions(usable, ["market"], ["recv_ns", "seq", "_us"])
-    rings = (
-        numbered.select(
-            "market",
-            "_pos",
-            "_us",
-            F.explode(F.expr(f"array(_pos div {samples}, _pos div {samples} + 1)")).alias("ring"),
-        )
-        .groupBy("market", "ring")
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_us"))).alias("_s"))
-        .select(
-            "market",
-            "ring",
-            F.col("_s")[0]["_pos"].alias("_base"),
-            F.transform("_s", lambda s: s["_us"]).alias("_us"),
-        )
+    held = numbered.select(
+        "market",
+        F.explode(F.expr(f"array(_pos div {samples}, _pos div {samples} + 1)")).alias("ring"),
+        "_pos",
+        "_us",
     )
     ends = block_counts(usable, ["market"]).select(
-        "market",
+        F.col("market").alias("market"),  # a fresh column: both sides come from one table
         F.col(BLOCK).alias("tick"),
         (F.col("_before") + F.col("_cnt")).alias("sample_count"),
     )
     ends = ends.withColumn("ring", F.expr(f"(sample_count - 1) div {samples}"))
-    first = F.greatest(F.col("sample_count") - samples, F.lit(0)) - F.col("_base")
-    length = F.least(F.col("sample_count"), F.lit(samples)).cast("int")
-    window = F.sort_array(F.slice("_us", (first + 1).cast("int"), length))
-    ranked = ends.join(rings, ["market", "ring"]).select(
-        "market", "tick", "sample_count", window.alias("_w")
-    )
-    return ranked.select(
-        "market",
-        "tick",
-        "sample_count",
-        *[
-            F.element_at("_w", _rank(p, F.size("_w")) + 1).alias(f"latency_us_p{p:g}")
-            for p in percentiles
-        ],
-    )
-
+    names = [f"latency_us_p{p:g}" for p in percentiles]
+    shares = [p / 100.0 for p in percentiles]
+
+    def select(held: pd.DataFrame, ends: pd.DataFrame) -> pd.DataFrame:
+        held = held.sort_values("_pos")
+        us, base = held["_us"].to_numpy(), held["_pos"].min() if len(held) else 0
+        found = np.empty((len(ends), len(shares)))
+        for i, end in enumerate(ends["sample_count"]):
+            window = us[max(end - samples, 0) - base : end - base]
+            ranks = [int(share * (len(window) - 1)) for share in shares]
+            found[i] = np.partition(window, ranks)[ranks]
+        return ends[["market", "tick", "sample_count"]].assign(
+            **{name: found[:, j] for j, name in enumerate(names)}
+        )
 
-def _rank(p: float, n: Column) -> Column:
-    """Lower nearest rank, from 0."""
-    return F.floor(F.lit(p / 100.0) * (n - 1)).cast("int")
+    schema = "market string, tick long, sample_count long, " + ", ".join(
+        f"`{name}` double" for name in names
+    )
+    key = ["market", "ring"]
+    return held.groupBy(*key).cogroup(ends.groupBy(*key)).applyInPandas(select, schema)
 
 
 def latency_percentiles(
@@ -211,17 +205,19 @@ def latency_percentiles_approx(
 
 
 def engine_stats(
-    events: DataFrame,
+    quotes: DataFrame,
+    venues: Sequence[str] | None = None,
     tick_ns: int = TICK_NS,
     samples: int = LATENCY_SAMPLES,
     until: int | None = None,
 ) -> DataFrame:
-    """One stats record per market and tick from ``arb_events`` output."""
-    ticks = running_stats(tick_counts(events, tick_ns, F.col("is_signal")), tick_ns, until)
-    started = events.groupBy("market").agg(F.min("recv_ns").alias("started_at_ns"))
-    latency = rolling_latency(events, tick_ns, samples).drop("tick")
-    # Several ticks may share a sample count (no new samples); one latency row serves them.
-    latency = latency.dropDuplicates(["market", "sample_count"])
+    """One stats record per market and tick; counting starts with a market's first message."""
+    quotes = usable(quotes)
+    counts = tick_counts(arb_events(quotes, venues), tick_ns, F.col("is_signal"))
+    ticks = running_stats(counts, tick_ns, until)
+    started = quotes.groupBy("market").agg(F.min("recv_ns").alias("started_at_ns"))
+    # Ticks without new samples share the count, and so the latencies, of the tick before.
+    latency = rolling_latency(quotes, tick_ns, samples).drop("tick")
     end_ns = (F.col("tick") + 1) * F.lit(tick_ns)
     return (
         ticks.join(latency, ["market", "sample_count"], "left")

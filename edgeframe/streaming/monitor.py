@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from edgeframe.defaults import MIN_SPREAD_PCT, SEQ_BLOCK
-from edgeframe.operators.blocks import BLOCK
 from edgeframe.operators.book import arb_events, signals_of, usable
-from edgeframe.operators.serving import latest_by_key
 from edgeframe.sources.quotes import latency_us
 from edgeframe.streaming import tables
 
@@ -47,18 +45,23 @@ class ArbStream:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        quotes = usable(batch).dropDuplicates([*VENUE_KEY, "seq"]).persist()
+        quotes = usable(batch).dropDuplicates([*VENUE_KEY, "seq"])
+        known = tables.previous(spark, f"{self.path}/book", batch_id)
+        if known is None:
+            known = spark.createDataFrame([], quotes.schema).withColumn("late", F.lit(0))
+        seen = known.select(*VENUE_KEY, F.col("seq").alias("_seen"))
+        # Read by two jobs, the signals and the book; kept in memory or on disk meanwhile.
+        checked = (
+            quotes.join(seen, VENUE_KEY, "left")
+            .withColumn("_late", F.coalesce(F.col("seq") <= F.col("_seen"), F.lit(False)))
+            .drop("_seen")
+            .persist()
+        )
         try:
-            before = tables.previous(spark, f"{self.path}/book", batch_id)
-            if before is None:
-                before = spark.createDataFrame([], quotes.schema)
-            seen = before.select(*VENUE_KEY, F.col("seq").alias("_seen"))
-            checked = quotes.join(seen, VENUE_KEY, "left")
-            late = F.coalesce(F.col("seq") <= F.col("_seen"), F.lit(False))
-            fresh = checked.where(~late).drop("_seen")
-
-            known = before.withColumn("_known", F.lit(True))
-            rows = fresh.withColumn("_known", F.lit(False)).unionByName(known)
+            fresh = checked.where(~F.col("_late")).withColumn("_known", F.lit(False))
+            rows = fresh.drop("_late").unionByName(
+                known.drop("late").withColumn("_known", F.lit(True))
+            )
             # The book so far goes into a block of its own, before all new quotes.
             place = F.when(F.col("_known"), F.lit(-1)).otherwise(
                 F.expr(f"seq div {self.block_size}")
@@ -66,24 +69,25 @@ class ArbStream:
             events = arb_events(rows, self.venues, self.min_spread, place)
             signals = signals_of(events.where(~F.col("_known")))
             signals.write.mode("overwrite").parquet(f"{self.path}/signals/batch={batch_id}")
-            (
-                checked.where(late)
+
+            counted = checked.withColumn("late", F.col("_late").cast("long")).drop("_late")
+            columns = [c for c in counted.columns if c not in (*VENUE_KEY, "late")]
+            book = (
+                counted.unionByName(known.withColumn("late", F.col("late").cast("long")))
                 .groupBy(*VENUE_KEY)
-                .agg(F.count(F.lit(1)).alias("late"))
-                .write.mode("overwrite")
-                .parquet(f"{self.path}/late/batch={batch_id}")
+                .agg(F.max_by(F.struct(*columns), "seq").alias("_q"), F.sum("late").alias("late"))
+                .select(*VENUE_KEY, "_q.*", "late")
             )
-            newest = latest_by_key(rows.drop("_known", BLOCK), VENUE_KEY, ["seq"])
-            tables.replace(newest, f"{self.path}/book", batch_id)
+            tables.replace(book, f"{self.path}/book", batch_id)
         finally:
-            quotes.unpersist()
+            checked.unpersist()
 
     def signals(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/signals").drop("batch")
 
     def late(self, spark: SparkSession) -> DataFrame:
-        parts = spark.read.parquet(f"{self.path}/late")
-        return parts.groupBy(*VENUE_KEY).agg(F.sum("late").alias("late"))
+        """Late quotes of each market and venue so far."""
+        return self.book(spark).select(*VENUE_KEY, "late").where(F.col("late") > 0)
 
     def book(self, spark: SparkSession) -> DataFrame:
         return tables.current(spark, f"{self.path}/book")
