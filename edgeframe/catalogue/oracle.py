@@ -349,7 +349,7 @@ ORACLE = {
         where hit or not exists (select 1 from g h where h.listing = g.listing and h.hit)""",
     "lake_roundtrip": f"""
         with {_LAKE} select station, date, year, tmax_f, {r("normal_30", "normal_30")}, label_high
-        from lake where year between 1996 and 1998""",
+        from lake""",
     "quote_decode": f"""
         with {_SENT} select venue, market, yes_bid, yes_ask,
                case when seq % 83 = 0 then 0 else seq end as seq,
@@ -432,6 +432,7 @@ ORACLE = {
         stake_usd from v""",
     "trade_pnl": f"{_BT} select market, date, taken, won, {rs('pnl')} from w",
     "equity_curve": f"{_BT} select market, date, equity, {rs('daily_return')} from eq",
+    "equity_view": f"{_BT} select market, date, equity from eq",
     "drawdown": f"{_BT} select market, date, peak, {rs('drawdown')} from dd",
     "backtest_metrics": f"""{_BT}, m as (
         select market, cast(sum(cast(taken as integer)) as bigint) as n_trades,
@@ -483,7 +484,7 @@ ORACLE = {
     "asof_forecast": f"""
         with q as ({QUOTES}),
         f as (select market, ts_ns + 1000000000 as ts_ns, (seq % 997) / 997e0 as ensemble_prob,
-                     seq + 1 as version from q where seq % 50 = 0)
+                     seq + 1 as version from q where venue = 'signup')
         select q.market, q.seq, {r("f.ensemble_prob", "ensemble_prob")}, f.version
         from q asof left join f on q.market = f.market and q.ts_ns >= f.ts_ns""",
     "latest_quote": _LATEST,

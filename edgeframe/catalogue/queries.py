@@ -81,7 +81,7 @@ def lake_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "lake")
     lake.write_lake(features.build_features(fx.obs_daily(spark, sf)), path)
     columns = ["station", "date", "year", "tmax_f", "normal_30", "label_high"]
-    return lake.read_lake(spark, path, years=(1996, 1998), columns=columns).select(
+    return lake.read_lake(spark, path, columns=columns).select(
         "station", "date", "year", "tmax_f", r6("normal_30"), "label_high"
     )
 
@@ -306,13 +306,19 @@ def equity_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drawdown(spark: SparkSession, sf: str) -> DataFrame:
-    curve = backtest.drawdowns(backtest.equity(backtest.trades(_preds(spark, sf))))
+    curve = backtest.equity(backtest.trades(_preds(spark, sf)))
     return curve.select("market", "date", "peak", r6("drawdown"))
 
 
 _METRICS = ["avg_edge", "hit_rate", "monthly_roi", "total_return", "max_drawdown", "sharpe"]
 
 
+def equity_view(spark: SparkSession, sf: str) -> DataFrame:
+    _, curve = backtest.run_backtest(_preds(spark, sf))
+    written = curve.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    return serving.equity_view(written)
+
+
 def backtest_metrics(spark: SparkSession, sf: str) -> DataFrame:
     metrics, _ = backtest.run_backtest(_preds(spark, sf))
     return metrics.select(
@@ -436,7 +442,7 @@ def arb_signals_bucketed(spark: SparkSession, sf: str) -> DataFrame:
 
 def asof_forecast(spark: SparkSession, sf: str) -> DataFrame:
     sent = fx.quotes(spark, sf)
-    published = sent.where(F.col("seq") % 50 == 0).select(
+    published = sent.where(F.col("venue") == "signup").select(
         "market",
         (F.col("ts_ns") + 1_000_000_000).alias("ts_ns"),
         ((F.col("seq") % 997) / 997.0).alias("ensemble_prob"),
@@ -635,6 +641,7 @@ QUERIES = {
     "trade_pnl": trade_pnl,
     "equity_curve": equity_curve,
     "drawdown": drawdown,
+    "equity_view": equity_view,
     "backtest_metrics": backtest_metrics,
     "grid_search_scores": grid_search_scores,
     "grid_search_best": grid_search_best,

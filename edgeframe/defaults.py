@@ -58,6 +58,7 @@ STATION_IDS = {
     "KLAX": "GHCND:USW00023174",
 }
 
-# Block sizes of the ordered operators (see operators/blocks.py).
+# Block sizes of the ordered operators (see operators/blocks.py). A block is the most one
+# task must hold of a key; the block table has one row per key and block.
 DAY_BLOCK = 1024
-SEQ_BLOCK = 4096
+SEQ_BLOCK = 65536

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgeframe.defaults import (
@@ -13,7 +13,7 @@ from edgeframe.defaults import (
     KELLY_FRACTION,
 )
 from edgeframe.functions import contracts
-from edgeframe.operators.blocks import BLOCK, day_blocks, prefix_sums, running_max
+from edgeframe.operators.blocks import BLOCK, day_blocks, earlier_blocks, in_block
 
 KEY, ORDER = ["market"], ["date"]
 
@@ -65,27 +65,48 @@ def trades(
 
 
 def equity(traded: DataFrame, bankroll=BANKROLL_USD, block: Column | None = None) -> DataFrame:
-    """Add the bankroll after every row, in dollars and cents, and the day's return."""
+    """Add the bankroll after every row (dollars and cents), its peak so far and the drawdown.
+
+    A first pass moves only dates and profits and yields, per block, its profit and its
+    highest running profit. From these follow the bankroll and peak at which each block
+    starts, and a second pass finishes every block on its own.
+    """
+    start = F.lit(float(bankroll))
     rows = traded.withColumn(BLOCK, day_blocks() if block is None else block)
-    summed = prefix_sums(rows, KEY, ORDER, {"_gain": F.col("pnl")})
-    return summed.withColumns(
+    running = in_block(KEY, ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    gain = F.sum("pnl").over(running)
+    # Same partitioning as the window, so the aggregation adds no shuffle.
+    ends = (
+        rows.select(*KEY, BLOCK, *ORDER, "pnl")
+        .withColumn("_run", gain)
+        .groupBy(*KEY, BLOCK)
+        .agg(F.sum("pnl").alias("_gain"), F.max("_run").alias("_high"))
+    )
+    before = earlier_blocks(KEY)
+    starts = ends.withColumn(
+        "_base", start + F.coalesce(F.sum("_gain").over(before), F.lit(0.0))
+    ).select(
+        *KEY,
+        BLOCK,
+        "_base",
+        F.max(F.round(F.col("_base") + F.col("_high"), 2)).over(before).alias("_top"),
+    )
+    valued = (
+        rows.withColumn("_run", gain)
+        .join(starts, [*KEY, BLOCK])
+        .withColumn("equity", F.round(F.col("_base") + F.col("_run"), 2))
+    )
+    peak = F.greatest(F.max("equity").over(running), F.col("_top"))
+    return valued.withColumn("peak", peak).withColumns(
         {
-            "equity": F.round(F.lit(float(bankroll)) + F.col("_gain"), 2),
-            "daily_return": F.col("pnl") / F.lit(float(bankroll)),
+            "drawdown": F.try_divide(F.col("peak") - F.col("equity"), F.col("peak")),
+            "daily_return": F.col("pnl") / start,
         }
-    ).drop("_gain")
-
-
-def drawdowns(curve: DataFrame) -> DataFrame:
-    """Add the highest equity so far and the relative fall from it."""
-    peaked = running_max(curve, KEY, ORDER, "peak", F.col("equity"))
-    return peaked.withColumn(
-        "drawdown", F.try_divide(F.col("peak") - F.col("equity"), F.col("peak"))
-    )
+    ).drop(BLOCK, "_run", "_base", "_top")
 
 
 def metrics(curve: DataFrame, bankroll=BANKROLL_USD) -> DataFrame:
-    """Headline numbers of each market from the output of ``drawdowns``."""
+    """Headline numbers of each market from the output of ``equity``."""
     start = float(bankroll)
     sums = curve.groupBy(*KEY).agg(
         F.sum(F.col("taken").cast("long")).alias("n_trades"),
@@ -133,5 +154,5 @@ def run_backtest(
 ) -> tuple[DataFrame, DataFrame]:
     """(metrics per market, equity curve) of (market, date, model_prob, market_prob, outcome)."""
     traded = trades(preds, threshold, safety, cap, bankroll, fee)
-    curve = drawdowns(equity(traded, bankroll, block))
+    curve = equity(traded, bankroll, block)
     return metrics(curve, bankroll), curve.select(*KEY, "date", "equity")

@@ -76,22 +76,6 @@ def prefix_sums(
     )
 
 
-def running_max(
-    df: DataFrame, keys: Sequence[str], order: Sequence, name: str, value: Column
-) -> DataFrame:
-    """Add the running maximum, current row included."""
-    carried = df.groupBy(*keys, BLOCK).agg(F.max(value).alias("_in_max"))
-    carried = carried.select(
-        *keys, BLOCK, F.max("_in_max").over(earlier_blocks(keys)).alias("_in_max")
-    )
-    running = in_block(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        _attach(df.withColumn(name, F.max(value).over(running)), carried, keys)
-        .withColumn(name, F.greatest(name, "_in_max"))
-        .drop("_in_max")
-    )
-
-
 def last_known(
     df: DataFrame,
     keys: Sequence[str],
@@ -196,15 +180,16 @@ def newest(
 ) -> DataFrame:
     """The ``n`` rows of each key that come last in the order, ranked 1 = newest in ``_rank``.
 
-    Ranked first within salted parts of a key, then over the survivors, so that a hot key
-    never reaches one task as a whole.
+    Each input task keeps at most ``n`` rows of a key; tasks are then merged in ``salts``
+    groups and the groups last, so a hot key never reaches one task as a whole and the
+    shuffle stays at ``n`` rows per key and task. Any grouping of tasks gives the same rows.
     """
     latest = [F.col(c).desc() for c in order]
-    salt = F.pmod(F.xxhash64(*order), F.lit(salts))
+    group = F.pmod(F.spark_partition_id(), F.lit(salts))
     part = Window.partitionBy(*keys, "_salt").orderBy(*latest)
     whole = Window.partitionBy(*keys).orderBy(*latest)
     return (
-        df.withColumn("_salt", salt)
+        df.withColumn("_salt", group)
         .withColumn("_rank", F.row_number().over(part))
         .where(F.col("_rank") <= n)
         .drop("_salt")

@@ -53,12 +53,6 @@ def test_prefix_sums(events, size):
     same(got.drop(blocks.BLOCK), want)
 
 
-@pytest.mark.parametrize("size", SIZES)
-def test_running_max(events, size):
-    got = blocks.running_max(blocked(events, size), ["key"], ["seq"], "m", F.col("x"))
-    same(got.drop(blocks.BLOCK), events.withColumn("m", F.max("x").over(running())))
-
-
 @pytest.mark.parametrize("size", SIZES)
 def test_last_known(events, size):
     got = blocks.last_known(blocked(events, size), ["key"], ["seq"], {"l": F.col("x")})
