@@ -9,7 +9,7 @@ since a block's drawdown depends on the equity at which the block starts.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +27,7 @@ from edgeframe.defaults import (
     THRESHOLD_LO,
 )
 from edgeframe.operators.blocks import BLOCK, day_blocks
+from edgeframe.schemas import record
 from edgeframe.storage import cut
 
 PREDICTIONS = ["market", "date", "lstm_prob", "transformer_prob", "market_prob", "outcome"]
@@ -46,16 +47,18 @@ def grid(
     ]
 
 
-def _profits(rows: pd.DataFrame, weight: np.ndarray, threshold: np.ndarray):
-    """(profit, traded) of each row (down) for each candidate (across)."""
+def _profits(rows: pa.Table, weight: np.ndarray, threshold: np.ndarray):
+    """(profit, traded) of each row (down, by date) for each candidate (across)."""
 
     def clipped(x):
         return np.clip(x, PROB_FLOOR, 1 - PROB_FLOOR)
 
-    rows = rows.sort_values("date", kind="stable")
-    first, second = (rows[c].to_numpy(float)[:, None] for c in ("lstm_prob", "transformer_prob"))
-    q = clipped(rows["market_prob"].to_numpy(float))[:, None]
-    outcome = rows["outcome"].to_numpy(float)[:, None]
+    order = np.argsort(rows["date"].to_numpy(), kind="stable")
+    first, second, market, outcome = (
+        rows[c].to_numpy().astype(float)[order][:, None]
+        for c in ("lstm_prob", "transformer_prob", "market_prob", "outcome")
+    )
+    q = clipped(market)
     p = clipped(weight * first + (1.0 - weight) * second)
     gap = p - q
     yes = gap > 0
@@ -74,45 +77,42 @@ def _cents(x: np.ndarray) -> np.ndarray:
     return np.floor(x * 100.0 + 0.5) / 100.0
 
 
-def _totals(rows: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+_KEY = ["market", BLOCK]
+_TOTALS = record(
+    market="string", **{BLOCK: "long"}, weight="double", threshold="double", trades="long",
+    gain="double", high="double",
+)
+_FALLS = record(
+    market="string", **{BLOCK: "long"}, weight="double", threshold="double", trades="long",
+    gain="double", fall="double",
+)
+
+
+def _totals(rows: pa.Table, candidates: pa.Table) -> pa.Table:
     """Per candidate: trades, profit and highest running profit of one block."""
-    if rows.empty or candidates.empty:
-        return pd.DataFrame(columns=_TOTAL_COLUMNS)
     profit, traded = _profits(
         rows, candidates["weight"].to_numpy(), candidates["threshold"].to_numpy()
     )
-    return candidates.assign(
-        trades=traded.sum(axis=0),
-        gain=profit.sum(axis=0),
-        high=np.cumsum(profit, axis=0).max(axis=0),
-    )[_TOTAL_COLUMNS]
+    return (
+        candidates.select([*_KEY, "weight", "threshold"])
+        .append_column("trades", pa.array(traded.sum(axis=0, dtype=np.int64)))
+        .append_column("gain", pa.array(profit.sum(axis=0)))
+        .append_column("high", pa.array(np.cumsum(profit, axis=0).max(axis=0)))
+    )
 
 
-def _falls(rows: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+def _falls(rows: pa.Table, candidates: pa.Table) -> pa.Table:
     """Per candidate: deepest drawdown of one block that starts at ``base`` below ``peak``."""
-    if rows.empty or candidates.empty:
-        return pd.DataFrame(columns=_FALL_COLUMNS)
     profit, _ = _profits(
         rows, candidates["weight"].to_numpy(), candidates["threshold"].to_numpy()
     )
     value = _cents(candidates["base"].to_numpy() + np.cumsum(profit, axis=0))
-    peak = np.maximum.accumulate(value, axis=0)
-    peak = np.fmax(peak, candidates["peak"].to_numpy(float))
+    # Before the first block there is no peak; null arrives as NaN, which fmax passes over.
+    peak = np.fmax(np.maximum.accumulate(value, axis=0), candidates["peak"].to_numpy())
     fall = np.divide(peak - value, peak, out=np.zeros_like(peak), where=peak != 0)
-    return candidates.assign(fall=fall.max(axis=0))[_FALL_COLUMNS]
-
-
-_KEY = ["market", BLOCK]
-_TOTAL_COLUMNS = [*_KEY, "weight", "threshold", "trades", "gain", "high"]
-_TOTAL_SCHEMA = (
-    f"market string, {BLOCK} long, weight double, threshold double,"
-    "trades long, gain double, high double"
-)
-_FALL_COLUMNS = [*_KEY, "weight", "threshold", "trades", "gain", "fall"]
-_FALL_SCHEMA = (
-    f"market string, {BLOCK} long, weight double, threshold double,"
-    "trades long, gain double, fall double"
-)
+    return candidates.select([*_KEY, "weight", "threshold", "trades", "gain"]).append_column(
+        "fall", pa.array(fall.max(axis=0))
+    )
 
 
 def score_candidates(
@@ -138,7 +138,7 @@ def score_candidates(
     else:
         tried = places.join(candidates, "market").select(*_KEY, "weight", "threshold")
     by_block = rows.groupBy(*_KEY)
-    totals = by_block.cogroup(tried.groupBy(*_KEY)).applyInPandas(_totals, _TOTAL_SCHEMA)
+    totals = by_block.cogroup(tried.groupBy(*_KEY)).applyInArrow(_totals, _TOTALS)
     earlier = (
         Window.partitionBy("market", "weight", "threshold")
         .orderBy(BLOCK)
@@ -151,7 +151,7 @@ def score_candidates(
     based = based.withColumn(
         "peak", F.max(F.floor((F.col("base") + F.col("high")) * 100 + 0.5) / 100).over(earlier)
     )
-    falls = by_block.cogroup(based.groupBy(*_KEY)).applyInPandas(_falls, _FALL_SCHEMA)
+    falls = by_block.cogroup(based.groupBy(*_KEY)).applyInArrow(_falls, _FALLS)
     scored = falls.groupBy("market", "weight", "threshold").agg(
         F.sum("trades").alias("n_trades"),
         (F.sum("gain") / F.lit(BANKROLL_USD)).alias("total_return"),
