@@ -52,7 +52,10 @@ def subscribe(messages: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:
 
 
 def _parse(messages: DataFrame) -> DataFrame:
-    return messages.withColumn("_q", F.from_json("payload", _PAYLOAD, {"mode": "PERMISSIVE"}))
+    # Exploding a one-element array keeps later filters above the parse; pushed below it
+    # they would each carry a copy of the parse and read the text several times.
+    parsed = F.from_json("payload", _PAYLOAD, {"mode": "PERMISSIVE"})
+    return messages.select("*", F.explode(F.array(parsed)).alias("_q"))
 
 
 def _usable() -> Column:
