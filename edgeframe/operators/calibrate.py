@@ -17,7 +17,7 @@ def fit_platt(
     outcome: str = "outcome",
     keys: Sequence[str] = ("market",),
     reg: float = PLATT_REG,
-    steps: int = 8,
+    steps: int = 6,
 ) -> DataFrame:
     """(a, b) per key that minimise the penalised log loss of sigmoid(a * logit(p) + b).
 

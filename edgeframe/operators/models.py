@@ -10,20 +10,24 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edgeframe.defaults import FEATURES, GD_EPOCHS, GD_RATE
 from edgeframe.functions.contracts import blend
 from edgeframe.functions.numeric import sigmoid
 from edgeframe.operators.dataset import KEY, summary_names
+from edgeframe.schemas import record
 from edgeframe.storage import cut
 
 LOCAL_ROWS = 65536
+_MODEL = record(station="string", weights=T.ArrayType(T.DoubleType()), bias="double")
 
 
 # --- member A: logistic model per station -------------------------------------------
@@ -45,25 +49,24 @@ def fit_logistic(
     names = list(names)
     rows = train.select(*KEY, *names, F.col(label).cast("double").alias("_y"))
     sizes = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
-    small = rows.join(sizes.where(F.col("_n") <= local_rows).select(*KEY), KEY, "left_semi")
-    schema = "station string, weights array<double>, bias double"
+    large = sizes.where(F.col("_n") > local_rows).select(*KEY)
 
-    def descend(group: pd.DataFrame) -> pd.DataFrame:
-        x, y = group[names].to_numpy(float), group["_y"].to_numpy(float)
+    def descend(group: pa.Table) -> pa.Table:
+        x = np.column_stack([group[n].to_numpy() for n in names])
+        y = group["_y"].to_numpy()
         w, b = np.zeros(len(names)), 0.0
         for _ in range(epochs):
             miss = 1.0 / (1.0 + np.exp(-(x @ w + b))) - y
-            w -= rate * (x.T @ miss) / len(y)
+            w -= rate * (miss @ x) / len(y)
             b -= rate * miss.mean()
-        return pd.DataFrame(
-            {"station": [group["station"].iloc[0]], "weights": [w], "bias": [float(b)]}
+        return pa.table(
+            {"station": group["station"][:1], "weights": pa.array([w.tolist()]), "bias": [float(b)]}
         )
 
-    fitted = small.groupBy(*KEY).applyInPandas(descend, schema)
-    large = sizes.where(F.col("_n") > local_rows).select(*KEY)
     if large.isEmpty():
-        return fitted
-    return fitted.unionByName(
+        return rows.groupBy(*KEY).applyInArrow(descend, _MODEL)
+    small = rows.join(large, KEY, "left_anti")
+    return small.groupBy(*KEY).applyInArrow(descend, _MODEL).unionByName(
         _descend_distributed(rows.join(large, KEY, "left_semi"), names, rate, epochs)
     )
 
