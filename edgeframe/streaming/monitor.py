@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from edgeframe.defaults import MIN_SPREAD_PCT, SEQ_BLOCK
+from edgeframe.defaults import MIN_SPREAD_PCT, SEQ_BLOCK, TICK_NS
 from edgeframe.operators.book import arb_events, signals_of, usable
+from edgeframe.operators.monitor import tick_of
 from edgeframe.sources.quotes import latency_us
 from edgeframe.streaming import tables
 
@@ -119,6 +120,17 @@ def tick_stream(
     )
 
 
+def counts_of(ticks: DataFrame, signals: DataFrame, tick_ns: int = TICK_NS) -> DataFrame:
+    """The tick stream's table and the signal table as input of ``monitor.running_stats``."""
+    found = signals.groupBy("market", tick_of(tick_ns, "ts_ns").alias("tick")).agg(
+        F.count(F.lit(1)).alias("signals")
+    )
+    counted = ticks.select(
+        "market", tick_of(tick_ns, "tick_start_ns").alias("tick"), "messages", "samples"
+    )
+    return counted.join(found, ["market", "tick"], "left").fillna(0, subset=["signals"])
+
+
 def append_table(
     stream: DataFrame, path: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
