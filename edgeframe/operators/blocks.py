@@ -76,50 +76,31 @@ def prefix_sums(
     )
 
 
-def last_known(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, Column],
+def with_carried(
+    df: DataFrame, keys: Sequence[str], ends: DataFrame, slots: Sequence[str]
 ) -> DataFrame:
-    """Add, per name, the last non-null value at or before the row."""
-    ends = df.groupBy(*keys, BLOCK).agg(
-        *[
-            F.max_by(value, F.when(value.isNotNull(), F.struct(*order))).alias(name)
-            for name, value in values.items()
-        ]
-    )
-    return fill_forward(df, keys, order, values, ends)
-
+    """Rows of ``df`` plus, in every block, the row of each slot that was last before it.
 
-def fill_forward(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, Column],
-    ends: DataFrame,
-) -> DataFrame:
-    """As ``last_known``, given the last non-null value of each block by name in ``ends``."""
+    ``ends`` has, per (key, block), one struct column per slot: the last row of that slot in
+    the block, or null. The copies are flagged ``_seed`` and belong before the block's own
+    rows, so that a frame over the block finds the last value even if it is far back.
+    """
     before = earlier_blocks(keys)
     carried = ends.select(
-        *keys,
-        BLOCK,
-        *[F.last(n, ignorenulls=True).over(before).alias(f"_in_{n}") for n in values],
+        *keys, BLOCK, *[F.last(s, ignorenulls=True).over(before).alias(s) for s in slots]
     )
-    w = in_block(keys, order)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    # The carried values enter at the first row of the block, before the window, so that
-    # later filters see plain window results. Both sides are hashed by (keys, block) and
-    # the block rows are few, so each task builds a small hash table and sorts once.
-    rows = (
-        df.repartition(*keys, BLOCK)
-        .join(carried.hint("shuffle_hash"), [*keys, BLOCK], "left")
-        .withColumn("_first", F.row_number().over(w) == 1)
-    )
-    known = {n: F.coalesce(v, F.when(F.col("_first"), F.col(f"_in_{n}"))) for n, v in values.items()}
-    return rows.withColumns(
-        {n: F.last(v, ignorenulls=True).over(running) for n, v in known.items()}
-    ).drop("_first", *[f"_in_{n}" for n in values])
+    seeds = carried.select(
+        *keys, BLOCK, F.explode(F.array_compact(F.array(*slots))).alias("_row")
+    ).select(*keys, BLOCK, "_row.*", F.lit(True).alias("_seed"))
+    rows = df.withColumn("_seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
+    # Shuffled here, before frame inputs are computed, to move the plain columns only.
+    return rows.repartition(*keys, BLOCK)
+
+
+def seeds_first(keys: Sequence[str], order: Sequence[str]) -> "Window":
+    """Running frame of a block over its seeds, then its rows in order."""
+    w = in_block(keys, [F.col("_seed").desc(), *order])
+    return w.rowsBetween(Window.unboundedPreceding, 0)
 
 
 def block_counts(df: DataFrame, keys: Sequence[str], present: Column | None = None) -> DataFrame:

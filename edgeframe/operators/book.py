@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from edgeframe.defaults import MIN_SPREAD_PCT
 from edgeframe.functions.numeric import number
-from edgeframe.operators.blocks import BLOCK, fill_forward, last_known, seq_blocks
+from edgeframe.operators.blocks import BLOCK, seeds_first, seq_blocks, with_carried
 from edgeframe.sources.quotes import latency_us
 
 ORDER = ["seq", "venue", "yes_bid", "yes_ask"]
@@ -44,20 +44,22 @@ def book(
     quotes = usable(quotes)
     venues = sorted(venues) if venues else venues_of(quotes)
     rows = quotes.withColumn(BLOCK, seq_blocks() if block is None else block)
-    # Closing quote of each venue in each block, then one row of columns per block.
+    # Closing quote of each venue in each block, then one row of slots per block.
     closing = rows.groupBy("market", BLOCK, "venue").agg(
-        F.max(F.struct("seq", "yes_bid", "yes_ask")).alias("_q")
+        F.max(F.struct("seq", "venue", "yes_bid", "yes_ask")).alias("_q")
     )
-    slots = [
-        (name, v, field)
-        for kind, field in (("bid", "yes_bid"), ("ask", "yes_ask"))
-        for name, v in zip(_names(kind, venues), venues)
-    ]
+    slots = _names("slot", venues)
     ends = closing.groupBy("market", BLOCK).agg(
-        *[F.max(F.when(F.col("venue") == v, F.col(f"_q.{field}"))).alias(n) for n, v, field in slots]
+        *[F.max(F.when(F.col("venue") == v, F.col("_q"))).alias(s) for s, v in zip(slots, venues)]
     )
-    values = {n: F.when(F.col("venue") == v, F.col(field)) for n, v, field in slots}
-    return fill_forward(rows, ["market"], ORDER, values, ends).drop(BLOCK), venues
+    seen = seeds_first(["market"], ORDER)
+    latest = {
+        name: F.last(F.when(F.col("venue") == v, F.col(price)), ignorenulls=True).over(seen)
+        for kind, price in (("bid", "yes_bid"), ("ask", "yes_ask"))
+        for name, v in zip(_names(kind, venues), venues)
+    }
+    booked = with_carried(rows, ["market"], ends, slots).withColumns(latest)
+    return booked.where(~F.col("_seed")).drop("_seed", BLOCK), venues
 
 
 def _extreme(pick, columns: list[str]) -> Column:
@@ -162,7 +164,12 @@ def asof_forecast(
     both = left.unionByName(right, allowMissingColumns=True).withColumn(
         BLOCK, F.expr(f"_time div {span}")
     )
-    filled = last_known(both, ["market"], ["_time", "_side", "_seen"], {"_last": F.col("_seen")})
+    row = F.when(F.col("_side") == 0, F.struct("_time", "_side", "_seen"))
+    ends = both.groupBy("market", BLOCK).agg(F.max(row).alias("_slot"))
+    frame = seeds_first(["market"], ["_time", "_side", "_seen"])
+    filled = with_carried(both, ["market"], ends, ["_slot"]).withColumn(
+        "_last", F.last("_seen", ignorenulls=True).over(frame)
+    )
     return filled.where(F.col("_side") == 1).select(
         *quotes.columns, *[F.col(f"_last.{f}").alias(f) for f in fields]
     )

@@ -54,9 +54,18 @@ def test_prefix_sums(events, size):
 
 
 @pytest.mark.parametrize("size", SIZES)
-def test_last_known(events, size):
-    got = blocks.last_known(blocked(events, size), ["key"], ["seq"], {"l": F.col("x")})
-    same(got.drop(blocks.BLOCK), events.withColumn("l", F.last("x", True).over(running())))
+def test_carried(events, size):
+    rows = blocked(events, size)
+    row = F.when(F.col("x").isNotNull(), F.struct("seq", "x"))
+    ends = rows.groupBy("key", blocks.BLOCK).agg(F.max(row).alias("slot"))
+    frame = blocks.seeds_first(["key"], ["seq"])
+    got = (
+        blocks.with_carried(rows, ["key"], ends, ["slot"])
+        .withColumn("l", F.last("x", True).over(frame))
+        .where(~F.col("_seed"))
+        .drop("_seed", blocks.BLOCK)
+    )
+    same(got, events.withColumn("l", F.last("x", True).over(running())))
 
 
 @pytest.mark.parametrize("size", SIZES)
