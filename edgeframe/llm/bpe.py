@@ -15,6 +15,7 @@ details are those of that file.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator, Sequence
@@ -23,6 +24,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Distinct pieces a worker remembers before it starts anew; bounds its memory, not its results.
 MEMORY = 800_000
@@ -368,7 +371,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     """
     kept = [c for c in docs.columns if c.lower() != ids.lower()]
     vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
-    schema = docs.select(*kept).schema.add(ids, "array<int>")
+    schema = docs.select(*kept).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def run(batches):
         encoder, _ = codec(vocabulary.value)
@@ -389,10 +392,6 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     Encodes the whole text and decodes the ids again. Null text counts as empty (no ids, decoded
     to the empty text); a null key stays null; repeated rows give repeated rows.
     """
-    import hashlib
-
-    from pyspark.sql import functions as F
-
     vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def run(batches):

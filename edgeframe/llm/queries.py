@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeframe.llm import bpe
+from edgeframe.llm import bpe, packing
 from edgeframe.llm.common import table
 
 
@@ -14,10 +14,15 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), vocabulary_path())
+
+
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"), vocabulary_path())
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op10_bpe": op10_bpe,
 }
