@@ -1,3 +1,17 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op9_exact"] = r"""
+with t as (
+  select doc_id, length(coalesce(text, '')) size,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') body
+  from documents
+)
+select doc_id,
+       first_value(doc_id) over (partition by body order by size desc, doc_id nulls last) keep_id,
+       count(*) over (partition by body) group_size,
+       row_number() over (partition by body order by size desc, doc_id nulls last) = 1 kept,
+       sha256(body) text_sha256
+from t
+"""

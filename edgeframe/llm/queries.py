@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeframe.llm import bpe, packing
+from edgeframe.llm import bpe, exact, packing, secrets
 from edgeframe.llm.common import table
 
 
@@ -18,11 +18,21 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), vocabulary_path())
 
 
+def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.report(table(spark, sf, "documents"))
+
+
+def op9_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return exact.report(table(spark, sf, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"), vocabulary_path())
 
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op7_secrets": op7_secrets,
+    "op9_exact": op9_exact,
     "op10_bpe": op10_bpe,
 }
