@@ -297,7 +297,8 @@ def components(edges: DataFrame) -> DataFrame:
     follows labels one step; the number of turns grows with the logarithm of the longest path.
     """
     both = staged(edges.unionAll(edges.select("b", "a")).distinct(), "edges")
-    labels = staged(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("label")), "labels")
+    nearest = both.groupBy("a").agg(F.min("b").alias("b"))
+    labels = staged(nearest.select(F.col("a").alias("id"), F.least("a", "b").alias("label")), "labels")
     while True:
         near = (
             both.join(labels.withColumnRenamed("id", "b"), "b")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeframe.llm import bpe, exact, packing, secrets
+from edgeframe.llm import bpe, exact, minhash, packing, secrets
 from edgeframe.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), vocabulary_path())
 
 
+def op4_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.report(table(spark, sf, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.report(table(spark, sf, "documents"))
 
@@ -32,6 +36,7 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_minhash": op4_minhash,
     "op7_secrets": op7_secrets,
     "op9_exact": op9_exact,
     "op10_bpe": op10_bpe,
