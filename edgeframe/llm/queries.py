@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeframe.llm import bpe, exact, minhash, packing, secrets
+from edgeframe.llm import bpe, exact, minhash, packing, secrets, toxicity
 from edgeframe.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.report(table(spark, sf, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op9_exact(spark: SparkSession, sf: str) -> DataFrame:
     return exact.report(table(spark, sf, "documents"))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_minhash": op4_minhash,
     "op7_secrets": op7_secrets,
+    "op8_toxicity": op8_toxicity,
     "op9_exact": op9_exact,
     "op10_bpe": op10_bpe,
 }
