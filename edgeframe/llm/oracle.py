@@ -15,3 +15,94 @@ select doc_id,
        sha256(body) text_sha256
 from t
 """
+
+ORACLE["op1_topk"] = """
+with v as (
+  select vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] vec
+  from embeddings
+  where embedding is not null and vec_id is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scored as (
+  select q.vec_id query_id, c.vec_id,
+         cast(list_sum([p[1] * p[2] for p in list_zip(q.vec, c.vec)]) as bigint) score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.vec) = len(c.vec)
+  where q.vec_id % 50 = 0
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank
+  from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+ORACLE["op3_urls"] = r"""
+with cut as (
+  select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end rest
+  from pages
+), parts as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') path
+  from cut
+), rules(verdict, rule_host, rule_path) as (
+  values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fits as (
+  select p.page_id, p.host, p.path, r.rule_host || r.rule_path rule, r.verdict,
+         row_number() over (partition by p.page_id
+                            order by length(rule_host) desc nulls last, length(rule_path) desc) nr
+  from parts p left join rules r
+    on (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path)
+)
+select page_id, host, path, rule, coalesce(verdict, 'allow') verdict from fits where nr = 1
+"""
+
+ORACLE["op4_minhash"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') w
+  from documents
+), shingles as (
+  select distinct doc_id, hash(list_slice(w, i, i + 4)) s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) i from words where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) n from shingles group by doc_id
+), links as (
+  select a.doc_id a, b.doc_id b
+  from shingles a join shingles b using (s)
+  join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+  where a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id
+  having 100 * count(*) >= 75 * (max(x.n) + max(y.n) - count(*))
+), reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select r.doc_id, l.b from reach r join links l on l.a = r.other
+), least as (
+  select doc_id, min(other) component_id from reach group by doc_id
+)
+select d.doc_id, coalesce(z.n, 0) n_shingles, l.component_id, d.doc_id = l.component_id kept
+from documents d join least l on l.doc_id = d.doc_id left join sizes z on z.doc_id = d.doc_id
+"""
+
+ORACLE["op5_warc"] = r"""
+with p as (
+  select page_id, url, coalesce(html, '') html, sha256(coalesce(html, '')) digest,
+         regexp_replace(coalesce(url, ''), '^[^:/?#]*://', '') rest
+  from pages
+), f as (
+  select *, case when strlen(html) >= 100 then min(page_id) over (partition by digest) end first,
+         regexp_extract(rest, '^[^/?#]*') host
+  from p
+), k as (
+  select *, case when page_id > first then first end refers_to,
+         case when url is null then ''
+              else array_to_string(list_reverse(string_split(lower(host), '.')), ',') || ')'
+                   || substr(rest, length(host) + 1) end url_key
+  from f
+)
+select page_id, cast(strlen(html) as bigint) payload_bytes, digest payload_digest,
+       case when refers_to is null then 'response' else 'revisit' end record_type, refers_to,
+       url_key, row_number() over (order by url_key, page_id) - 1 as position
+from k
+"""
