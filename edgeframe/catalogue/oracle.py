@@ -190,10 +190,38 @@ def _platt(steps: int = 8) -> str:
     from src s join f{steps} f on f.market = s.market"""
 
 
-_A = "-3.969683028665376e1 2.209460984245205e2 -2.759285104469687e2 1.383577518672690e2 -3.066479806614716e1 2.506628277459239e0".split()
-_B = "-5.447609879822406e1 1.615858368580409e2 -1.556989798598866e2 6.680131188771972e1 -1.328068155288572e1 1e0".split()
-_C = "-7.784894002430293e-3 -3.223964580411365e-1 -2.400758277161838e0 -2.549732539343734e0 4.374664141464968e0 2.938163982698783e0".split()
-_D = "7.784695709041462e-3 3.224671290700398e-1 2.445134137142996e0 3.754408661907416e0 1e0".split()
+def _platt_bounded(steps: int = 3000) -> str:
+    """The same minimum by steps that divide the gradient by a fixed bound of the curvature."""
+    return f"""with recursive src as (
+      select market, date, 8e0 * ln(lstm_prob / (1e0 - lstm_prob)) as z, cast(outcome as double) as y
+      from ({PREDS})),
+    bound as (
+      select market, avg(z * z) / 4 + 10e0 / count(*) as baa, avg(z) / 4 as bab,
+             0.25e0 + 10e0 / count(*) as bbb, 10e0 / count(*) as r from src group by 1),
+    fit(i, market, a, b) as (
+      select 0, market, 1e0, 0e0 from bound
+      union all
+      select i + 1, market, a - (bbb * ga - bab * gb) / (baa * bbb - bab * bab),
+             b - (baa * gb - bab * ga) / (baa * bbb - bab * bab)
+      from (select f.i, f.market, any_value(f.a) as a, any_value(f.b) as b, any_value(baa) as baa,
+                   any_value(bab) as bab, any_value(bbb) as bbb,
+                   avg((1e0 / (1e0 + exp(-(f.a * z + f.b))) - y) * z) + any_value(r) * (any_value(f.a) - 1e0) as ga,
+                   avg(1e0 / (1e0 + exp(-(f.a * z + f.b))) - y) + any_value(r) * any_value(f.b) as gb
+            from fit f join src s on s.market = f.market join bound o on o.market = f.market
+            where f.i < {steps} group by 1, 2))
+    select s.market, date, {r("1e0 / (1e0 + exp(-(a * z + b)))", "model_prob")}
+    from src s join (select * from fit where i = {steps}) f on f.market = s.market"""
+
+
+# Coefficients of the rational approximation of the inverse normal.
+_A = ["-3.969683028665376e1", "2.209460984245205e2", "-2.759285104469687e2", "1.383577518672690e2",
+      "-3.066479806614716e1", "2.506628277459239e0"]
+_B = ["-5.447609879822406e1", "1.615858368580409e2", "-1.556989798598866e2", "6.680131188771972e1",
+      "-1.328068155288572e1", "1e0"]
+_C = ["-7.784894002430293e-3", "-3.223964580411365e-1", "-2.400758277161838e0", "-2.549732539343734e0",
+      "4.374664141464968e0", "2.938163982698783e0"]
+_D = ["7.784695709041462e-3", "3.224671290700398e-1", "2.445134137142996e0", "3.754408661907416e0",
+      "1e0"]
 
 
 def _poly(coefficients: list[str], x: str) -> str:
@@ -427,6 +455,7 @@ ORACLE = {
               f"accuracy_{p}") for p in ("lstm", "transformer", "ensemble"))}
         from e group by 1""",
     "calibrated_probs": _platt(),
+    "calibrated_overconfident": _platt_bounded(),
     "trade_decisions": f"{_BT} select market, date, side, {rs('edge', 'fair_yes_price')} from k",
     "kelly_sizing": f"""{_BT} select market, date, side, {rs("kelly_full", "kelly_used")},
         stake_usd from v""",

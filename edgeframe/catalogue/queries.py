@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from edgeframe import fixtures as fx
 from edgeframe import schemas
-from edgeframe.functions.numeric import percent, point_estimate
+from edgeframe.functions.numeric import logit, percent, point_estimate, sigmoid
 from edgeframe.operators import (
     backtest,
     book,
@@ -276,6 +276,15 @@ def calibrated_probs(spark: SparkSession, sf: str) -> DataFrame:
     return calibrate.apply_platt(rows, fitted).select("market", "date", r6("model_prob"))
 
 
+def calibrated_overconfident(spark: SparkSession, sf: str) -> DataFrame:
+    """Members eight times too sure, for which a full Newton step overshoots."""
+    rows = fx.preds(spark, sf).withColumn(
+        "model_prob", sigmoid(F.lit(8.0) * logit(F.col("lstm_prob")))
+    )
+    fitted = calibrate.fit_platt(rows)
+    return calibrate.apply_platt(rows, fitted).select("market", "date", r6("model_prob"))
+
+
 # --- strategy and backtest ----------------------------------------------------------
 
 
@@ -636,6 +645,7 @@ QUERIES = {
     "blend_probs": blend_probs,
     "model_accuracy": model_accuracy,
     "calibrated_probs": calibrated_probs,
+    "calibrated_overconfident": calibrated_overconfident,
     "trade_decisions": trade_decisions,
     "kelly_sizing": kelly_sizing,
     "trade_pnl": trade_pnl,

@@ -23,8 +23,8 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.format == "observations":
         primary = weather.observations_wide(weather.read_observations(spark, args.primary))
     else:
-        primary = weather.read_daily(spark, args.primary, args.format)
-    fallback = weather.read_daily(spark, args.fallback)
+        primary = weather.read_daily(spark, args.primary, args.format, "primary" in args.contract)
+    fallback = weather.read_daily(spark, args.fallback, contract="fallback" in args.contract)
     return ingest.ingest(spark, primary, fallback, args.lake, args.warmup, args.pricing)
 
 
@@ -78,6 +78,10 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument(
         "--format", default="observations", choices=["observations", "parquet", "csv", "json", "orc"]
     )
+    job.add_argument(
+        "--contract", nargs="*", default=[], choices=["primary", "fallback"],
+        help="daily sources that carry labels and prices of their own",
+    )
     job.add_argument("--warmup", default="partial", choices=["partial", "full"])
     job.add_argument("--pricing", default="naive", choices=["naive", "informed"])
     job.set_defaults(run=run_ingest)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,17 +86,18 @@ def equity(traded: DataFrame, bankroll=BANKROLL_USD, block: Column | None = None
         .agg(F.sum("pnl").alias("_gain"), F.max("_run").alias("_high"))
     )
     before = earlier_blocks(KEY)
+    # Rows without a market or a date are traded too: a null key equals a null key.
+    names = [*KEY, BLOCK]
     starts = ends.withColumn(
         "_base", start + F.coalesce(F.sum("_gain").over(before), F.lit(0.0))
     ).select(
-        *KEY,
-        BLOCK,
+        *[F.col(c).alias(f"_of_{c}") for c in names],
         "_base",
         F.max(F.round(F.col("_base") + F.col("_high"), 2)).over(before).alias("_top"),
     )
     valued = (
         rows.withColumn("_run", gain)
-        .join(starts, [*KEY, BLOCK])
+        .join(starts, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in names]))
         .withColumn("equity", F.round(F.col("_base") + F.col("_run"), 2))
     )
     peak = F.greatest(F.max("equity").over(running), F.col("_top"))
@@ -102,7 +106,7 @@ def equity(traded: DataFrame, bankroll=BANKROLL_USD, block: Column | None = None
             "drawdown": F.try_divide(F.col("peak") - F.col("equity"), F.col("peak")),
             "daily_return": F.col("pnl") / start,
         }
-    ).drop(BLOCK, "_run", "_base", "_top")
+    ).drop(BLOCK, "_run", "_base", "_top", *[f"_of_{c}" for c in names])
 
 
 def metrics(curve: DataFrame, bankroll=BANKROLL_USD) -> DataFrame:

@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 
 from edgeframe.defaults import PLATT_REG
 from edgeframe.functions.numeric import logit, sigmoid
+from edgeframe.storage import cut, scratch
+
+
+#: Shares of a Newton step that one pass tries, besides staying.
+SHARES = [1.0, 0.5, 0.25, 1 / 16, 1 / 256]
+#: Largest gradient of the mean loss that counts as zero.
+TOLERANCE = 1e-10
 
 
 def fit_platt(
@@ -17,45 +24,85 @@ def fit_platt(
     outcome: str = "outcome",
     keys: Sequence[str] = ("market",),
     reg: float = PLATT_REG,
-    steps: int = 6,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """(a, b) per key that minimise the penalised log loss of sigmoid(a * logit(p) + b).
 
-    Each Newton step is one aggregation of five sums; rows are reduced map-side, and the
-    parameters travel through the aggregation, so the steps form one chain.
+    Damped Newton steps: a pass is one aggregation that is reduced map-side and yields, for
+    every key, the derivatives at several shares of the last step. The loss is strictly convex,
+    so the share with the smallest gradient is taken, and a step that no share improves is tried
+    again, shorter. Passes go on until the gradient of every key is zero within ``tolerance``.
     """
     keys = list(keys)
     rows = preds.select(
         *keys, logit(F.col(prob)).alias("_z"), F.col(outcome).cast("double").alias("_y")
     ).dropna(subset=["_z", "_y"])
-    fitted = rows.select(*keys).distinct().withColumns({"a": F.lit(1.0), "b": F.lit(0.0)})
-    for _ in range(steps):
-        fitted = _newton(rows, fitted, keys, reg)
-    return fitted
-
-
-def _newton(rows: DataFrame, fitted: DataFrame, keys: list[str], reg: float) -> DataFrame:
-    z, a, b = F.col("_z"), F.col("a"), F.col("b")
-    scored = rows.join(fitted, keys).withColumn("_p", sigmoid(a * z + b))
-    miss, slope = F.col("_p") - F.col("_y"), F.col("_p") * (F.lit(1.0) - F.col("_p"))
-    sums = scored.groupBy(*keys).agg(
-        F.max("a").alias("a"),
-        F.max("b").alias("b"),
-        F.avg(miss * z).alias("_ga"),
-        F.avg(miss).alias("_gb"),
-        F.avg(slope * z * z).alias("_haa"),
-        F.avg(slope * z).alias("_hab"),
-        F.avg(slope).alias("_hbb"),
+    path = scratch(preds.sparkSession, "calibration")
+    rows.write.parquet(path)
+    rows = preds.sparkSession.read.schema(rows.schema).parquet(path)
+    zero = F.lit(0.0)
+    at = cut(
+        rows.select(*keys).distinct().withColumns(
+            {"a": F.lit(1.0), "b": zero, "_da": zero, "_db": zero, "_open": F.lit(True)}
+        )
+    )
+    while not at.where("_open").isEmpty():
+        moved = _step(rows, at.where("_open"), keys, reg, tolerance)
+        at = cut(at.where(~F.col("_open")).unionByName(moved))
+    return at.select(*keys, "a", "b")
+
+
+def _step(
+    rows: DataFrame, at: DataFrame, keys: list[str], reg: float, tolerance: float
+) -> DataFrame:
+    shares = [0.0, *SHARES]
+    z = F.col("_z")
+
+    def point(share: float) -> tuple[Column, Column]:
+        return F.col("a") - share * F.col("_da"), F.col("b") - share * F.col("_db")
+
+    scored = rows.join(at, keys)
+    for i, share in enumerate(shares):
+        a, b = point(share)
+        scored = scored.withColumn(f"_p{i}", sigmoid(a * z + b))
+    sums = []
+    for i in range(len(shares)):
+        p = F.col(f"_p{i}")
+        miss, slope = p - F.col("_y"), p * (F.lit(1.0) - p)
+        terms = {"ga": miss * z, "gb": miss, "haa": slope * z * z, "hab": slope * z, "hbb": slope}
+        sums += [F.avg(term).alias(f"_{name}{i}") for name, term in terms.items()]
+    found = scored.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in ("a", "b", "_da", "_db")],
         (F.lit(reg) / F.count(F.lit(1))).alias("_r"),
+        *sums,
     )
-    ga = F.col("_ga") + F.col("_r") * (a - F.lit(1.0))
-    gb = F.col("_gb") + F.col("_r") * b
-    haa, hbb, hab = F.col("_haa") + F.col("_r"), F.col("_hbb") + F.col("_r"), F.col("_hab")
-    det = haa * hbb - hab * hab
-    return sums.select(
+
+    def candidate(i: int) -> Column:
+        a, b = point(shares[i])
+        ga = F.col(f"_ga{i}") + F.col("_r") * (a - F.lit(1.0))
+        gb = F.col(f"_gb{i}") + F.col("_r") * b
+        return F.struct(
+            F.greatest(F.abs(ga), F.abs(gb)).alias("steep"), F.lit(-shares[i]).alias("share"),
+            a.alias("a"), b.alias("b"), ga.alias("ga"), gb.alias("gb"),
+            (F.col(f"_haa{i}") + F.col("_r")).alias("haa"), F.col(f"_hab{i}").alias("hab"),
+            (F.col(f"_hbb{i}") + F.col("_r")).alias("hbb"),
+        )
+
+    best = found.withColumn("_p", F.array_min(F.array(*[candidate(i) for i in range(len(shares))])))
+    p = F.col("_p")
+    det = p["haa"] * p["hbb"] - p["hab"] * p["hab"]
+    # No share was better than staying: the step is tried again, shorter.
+    stayed = ((F.col("_da") != 0) | (F.col("_db") != 0)) & (p["share"] == 0)
+    shorter = F.lit(SHARES[-1] / 2)
+    da = (p["hbb"] * p["ga"] - p["hab"] * p["gb"]) / det
+    db = (p["haa"] * p["gb"] - p["hab"] * p["ga"]) / det
+    return best.select(
         *keys,
-        (a - (hbb * ga - hab * gb) / det).alias("a"),
-        (b - (haa * gb - hab * ga) / det).alias("b"),
+        p["a"].alias("a"),
+        p["b"].alias("b"),
+        F.when(stayed, F.col("_da") * shorter).otherwise(da).alias("_da"),
+        F.when(stayed, F.col("_db") * shorter).otherwise(db).alias("_db"),
+        (p["steep"] > tolerance).alias("_open"),
     )
 
 

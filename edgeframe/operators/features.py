@@ -94,17 +94,19 @@ def informed_price(*keys: str, noise: float = INFORMED_NOISE) -> Column:
 def contract_columns(
     df: DataFrame, pricing: str = "naive", noise: float = INFORMED_NOISE
 ) -> DataFrame:
-    """Add label, price and threshold of the above-normal contract unless already there."""
-    if "label_high" in df.columns:
-        return df
+    """Label, price and threshold of the above-normal contract, derived where not given.
+
+    Decided row by row: a lake may mix sources that carry the contract with some that don't.
+    """
     keys = ("station", "date")
     price = {"naive": naive_price(*keys), "informed": informed_price(*keys, noise=noise)}[pricing]
+    derived = {
+        "label_high": (F.col("tmax_f") > F.col("normal_30")).cast("int"),
+        "market_yes_price": price,
+        "threshold_f": F.round("normal_30", 2),
+    }
     return df.withColumns(
-        {
-            "label_high": (F.col("tmax_f") > F.col("normal_30")).cast("int"),
-            "market_yes_price": price,
-            "threshold_f": F.round("normal_30", 2),
-        }
+        {n: F.coalesce(F.col(n), c) if n in df.columns else c for n, c in derived.items()}
     )
 
 

@@ -25,7 +25,7 @@ def ingest(
         daily = choose_source(primary, fallback).drop("source")
         summary = lake_io.write_lake(build_features(daily, warmup, pricing), path)
     except Exception as error:
-        lake_io.log_status(spark, log, "ingest_error", str(error)[:500])
+        lake_io.log_status(spark, log, "ingest_error", str(error))
         raise
     lake_io.log_status(spark, log, "ingest_done", f"{summary['rows']} feature rows")
     return summary

@@ -192,6 +192,28 @@ def test_platt(spark):
     assert all(0 < r.model_prob < 1 for r in moved) and len(moved) == len(rows) - 1
 
 
+def test_platt_of_overconfident_members(spark):
+    rng = np.random.default_rng(8)
+    rows, bent = [], {}
+    for scale in (1, 2, 3, 4, 6):
+        z = rng.normal(0, scale, 600)
+        y = np.where(rng.random(600) < 0.35, z < 0, z > 0).astype(int)
+        bent[f"s{scale}"] = (z, y)
+    bent["sure and wrong"] = (rng.normal(0, 6, 600) + 5, np.zeros(600, int))
+    bent["one class"] = (rng.normal(0, 1, 50), np.ones(50, int))
+    for name, (z, y) in bent.items():
+        rows += [(name, float(1 / (1 + np.exp(-a))), int(b)) for a, b in zip(z, y)]
+    df = spark.createDataFrame(rows, "market string, model_prob double, outcome int")
+    for r in calibrate.fit_platt(df).collect():
+        p = np.array([x[1] for x in rows if x[0] == r.market])
+        y = np.array([x[2] for x in rows if x[0] == r.market])
+        z = np.log(np.clip(p, 1e-6, 1 - 1e-6) / (1 - np.clip(p, 1e-6, 1 - 1e-6)))
+        miss = 1 / (1 + np.exp(-(r.a * z + r.b))) - y
+        # A convex loss: where its gradient is zero is the minimum.
+        assert abs((miss * z).mean() + 10 / len(z) * (r.a - 1)) < 1e-8, r.market
+        assert abs(miss.mean() + 10 / len(z) * r.b) < 1e-8, r.market
+
+
 def test_accuracy_counts_one_half_as_yes(spark):
     df = spark.createDataFrame([(0.5, 1), (0.49, 1), (0.1, 0), (0.9, 0)], "lstm_prob double, y int")
     assert models.accuracy(df, ["lstm_prob"], "y").first()[0] == 0.5
