@@ -42,7 +42,7 @@ def run_monitor(spark: SparkSession, args: argparse.Namespace) -> None:
         messages = quotes.kafka_messages(spark, args.kafka)
     else:
         messages = quotes.message_stream(spark, args.landing)
-    decoded = quotes.decode_quotes(quotes.subscribe(messages))
+    decoded = quotes.decode_quotes(quotes.subscribe(messages), arrival=True)
     trigger = {"availableNow": True} if args.once else {"processingTime": "1 second"}
     signals = streams.ArbStream(f"{args.out}/arb", args.venues)
     running = [
@@ -95,7 +95,7 @@ def parser() -> argparse.ArgumentParser:
     for name, run in (("monitor", run_monitor), ("stats", run_stats)):
         job = commands.add_parser(name)
         job.add_argument("--out", required=True)
-        job.add_argument("--venues", nargs="+", required=True)
+        job.add_argument("--venues", nargs="+", help="only these; all there are if not given")
         if name == "monitor":
             source = job.add_mutually_exclusive_group(required=True)
             source.add_argument("--landing")

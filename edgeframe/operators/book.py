@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edgeframe.defaults import MIN_SPREAD_PCT
 from edgeframe.functions.numeric import number
@@ -13,15 +16,6 @@ from edgeframe.operators.blocks import BLOCK, seeds_first, seq_blocks, with_carr
 from edgeframe.sources.quotes import latency_us
 
 ORDER = ["seq", "venue", "yes_bid", "yes_ask"]
-MAX_VENUES = 256
-
-
-def venues_of(quotes: DataFrame) -> list[str]:
-    """Names of the venues present; a market has few, and more than 256 is an error."""
-    names = [r[0] for r in quotes.select("venue").distinct().limit(MAX_VENUES + 1).collect()]
-    if len(names) > MAX_VENUES:
-        raise ValueError(f"more than {MAX_VENUES} venues; pass the list to compare")
-    return sorted(n for n in names if n is not None)
 
 
 def usable(quotes: DataFrame) -> DataFrame:
@@ -29,71 +23,98 @@ def usable(quotes: DataFrame) -> DataFrame:
     return quotes.where((number(F.col("yes_bid")) > 0) & (number(F.col("yes_ask")) > 0))
 
 
-def _names(kind: str, venues: Sequence[str]) -> list[str]:
-    return [f"_{kind}{i}" for i in range(len(venues))]
-
+def _with_seeds(rows: DataFrame) -> DataFrame:
+    """``rows`` plus, in every block, the last quote of each venue before it, flagged ``_seed``.
 
-def book(
-    quotes: DataFrame, venues: Sequence[str] | None = None, block: Column | None = None
-) -> tuple[DataFrame, list[str]]:
-    """Quotes with a bid and an ask column per venue: its latest quote at that moment.
-
-    The book is kept per market in sequence order. Returned with the venue names in
-    column order.
+    The last quote of a venue in a block stands until the venue's next block with a quote, so
+    each is copied to the blocks in between; neither plan nor rows grow with the venue names.
     """
-    quotes = usable(quotes)
-    venues = sorted(venues) if venues else venues_of(quotes)
-    rows = quotes.withColumn(BLOCK, seq_blocks() if block is None else block)
-    # Closing quote of each venue in each block, then one row of slots per block.
-    closing = rows.groupBy("market", BLOCK, "venue").agg(
-        F.max(F.struct("seq", "venue", "yes_bid", "yes_ask")).alias("_q")
+    closing = (
+        rows.where(F.col("venue").isNotNull())
+        .groupBy("market", BLOCK, "venue")
+        .agg(F.max(F.struct("seq", "yes_bid", "yes_ask")).alias("_q"))
+    )
+    blocks = rows.select("market", BLOCK).distinct()
+    blocks = blocks.select(
+        F.col("market").alias("_m"),
+        F.col(BLOCK).alias("_b"),
+        F.row_number().over(Window.partitionBy("market").orderBy(BLOCK)).alias("_nr"),
+        F.count(F.lit(1)).over(Window.partitionBy("market")).cast("int").alias("_last"),
     )
-    slots = _names("slot", venues)
-    ends = closing.groupBy("market", BLOCK).agg(
-        *[F.max(F.when(F.col("venue") == v, F.col("_q"))).alias(s) for s, v in zip(slots, venues)]
+    here = F.col("market").eqNullSafe(F.col("_m")) & F.col(BLOCK).eqNullSafe(F.col("_b"))
+    following = F.lead("_nr").over(Window.partitionBy("market", "venue").orderBy("_nr"))
+    reach = (
+        closing.join(blocks, here)
+        .withColumn("_to", F.coalesce(following, F.col("_last")))
+        .where(F.col("_nr") < F.col("_to"))
+        .select("market", "venue", "_q", F.explode(F.sequence(F.col("_nr") + 1, F.col("_to"))).alias("_at"))
     )
-    seen = seeds_first(["market"], ORDER)
-    latest = {
-        name: F.last(F.when(F.col("venue") == v, F.col(price)), ignorenulls=True).over(seen)
-        for kind, price in (("bid", "yes_bid"), ("ask", "yes_ask"))
-        for name, v in zip(_names(kind, venues), venues)
-    }
-    booked = with_carried(rows, ["market"], ends, slots).withColumns(latest)
-    return booked.where(~F.col("_seed")).drop("_seed", BLOCK), venues
+    there = F.col("market").eqNullSafe(F.col("_m")) & (F.col("_at") == F.col("_nr"))
+    seeds = reach.join(blocks, there).select(
+        "market", F.col("_b").alias(BLOCK), "venue", "_q.yes_bid", "_q.yes_ask", F.lit(True).alias("_seed")
+    )
+    return rows.withColumn("_seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
+
+
+class _Side:
+    """The best price of one side of a book; the smallest venue name wins a tie."""
 
+    def __init__(self, sign: int) -> None:
+        self.sign, self.prices, self.best, self.holder = sign, {}, None, None
 
-def _extreme(pick, columns: list[str]) -> Column:
-    return F.col(columns[0]) if len(columns) == 1 else pick(*columns)
+    def update(self, venue: str, price: float) -> None:
+        self.prices[venue] = price
+        lead = None if self.best is None else (price - self.best) * self.sign
+        if lead is None or lead > 0 or (lead == 0 and venue <= self.holder):
+            self.best, self.holder = price, venue
+        elif venue == self.holder:
+            extreme = max if self.sign > 0 else min
+            self.best = extreme(self.prices.values())
+            self.holder = min(v for v, p in self.prices.items() if p == self.best)
 
 
-def _holder(columns: list[str], venues: Sequence[str], price: Column) -> Column:
-    """The first venue, by name, whose column equals the price."""
-    return F.coalesce(*[F.when(F.col(c) == price, v) for c, v in zip(columns, venues)])
+_STATE = "best_ask double, best_bid double, venue_count int, ask_venue string, bid_venue string"
 
 
 def book_state(
     quotes: DataFrame, venues: Sequence[str] | None = None, block: Column | None = None
 ) -> DataFrame:
-    """Every quote with best ask, best bid, their venues and the number of venues seen."""
-    rows, names = book(quotes, venues, block)
-    bids, asks = _names("bid", names), _names("ask", names)
-    seen = [F.col(c).isNotNull().cast("int") for c in asks]
-    return (
-        rows.withColumns(
-            {
-                "best_ask": _extreme(F.least, asks),
-                "best_bid": _extreme(F.greatest, bids),
-                "venue_count": sum(seen[1:], seen[0]),
-            }
-        )
-        .withColumns(
-            {
-                "ask_venue": _holder(asks, names, F.col("best_ask")),
-                "bid_venue": _holder(bids, names, F.col("best_bid")),
-            }
-        )
-        .drop(*bids, *asks)
-    )
+    """Every quote with best ask, best bid, their venues and the number of venues seen.
+
+    The book is kept per market in sequence order, over all venues there are, or only the
+    listed ones; quotes of other venues, and of none, are rows that do not change it. A task
+    reads its blocks once, in order, holding one price pair per venue.
+    """
+    rows = usable(quotes).withColumn(BLOCK, seq_blocks() if block is None else block)
+    listed = None if venues is None else frozenset(venues)
+    names = quotes.columns
+    state = T.StructType.fromDDL(_STATE)
+    keys = ["market", BLOCK]
+    # Shuffled and sorted with the plain columns only; a block's seeds come before its rows.
+    order = [*keys, F.col("_seed").desc(), *ORDER]
+    dealt = _with_seeds(rows).repartition(*keys).sortWithinPartitions(*order)
+
+    def run(batches):
+        current, asks, bids = None, None, None
+        for batch in batches:
+            read = [batch.column(c).to_pylist() for c in (*keys, "venue", "yes_bid", "yes_ask")]
+            found = []
+            for market, number_, venue, bid, ask in zip(*read):
+                if current is None or current != (market, number_):
+                    current, asks, bids = (market, number_), _Side(-1), _Side(1)
+                if venue is not None and (listed is None or venue in listed):
+                    asks.update(venue, float(ask))
+                    bids.update(venue, float(bid))
+                found.append((asks.best, bids.best, len(asks.prices), asks.holder, bids.holder))
+            columns = [batch.column(c) for c in names]
+            for place, field in enumerate(state.fields):
+                kind = {"double": pa.float64(), "int": pa.int32(), "string": pa.string()}
+                columns.append(pa.array([f[place] for f in found], kind[field.dataType.simpleString()]))
+            whole = pa.RecordBatch.from_arrays(columns, names=[*names, *state.names])
+            yield whole.filter(pc.invert(batch.column("_seed")))
+
+    schema = T.StructType([*quotes.schema.fields, *state.fields])
+    return dealt.mapInArrow(run, schema)
 
 
 def arb_events(

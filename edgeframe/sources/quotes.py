@@ -65,15 +65,19 @@ def _usable() -> Column:
     return parsed & F.coalesce(prices, F.lit(False))
 
 
-def decode_quotes(messages: DataFrame) -> DataFrame:
-    """Quotes of the well-formed messages; missing seq, time and names get defaults."""
+def decode_quotes(messages: DataFrame, arrival: bool = False) -> DataFrame:
+    """Quotes of the well-formed messages; missing seq, time and names get defaults.
+
+    A missing sequence number becomes 0, or with ``arrival`` the receive time, so that feeds
+    without numbers keep the order in which their quotes came in.
+    """
     quotes = _parse(messages).where(_usable())
     return quotes.select(
         F.coalesce("_q.venue", F.lit("")).alias("venue"),
         F.coalesce("_q.market", F.lit("")).alias("market"),
         "_q.yes_bid",
         "_q.yes_ask",
-        F.coalesce("_q.seq", F.lit(0)).cast("long").alias("seq"),
+        F.coalesce("_q.seq", *(["recv_ns"] if arrival else []), F.lit(0)).cast("long").alias("seq"),
         F.coalesce("_q.ts_ns", "recv_ns").alias("ts_ns"),
         "recv_ns",
     )

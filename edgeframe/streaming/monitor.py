@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,16 +24,19 @@ class ArbStream:
     table. Each micro-batch is an ordinary batch job whose markets are cut into blocks, so
     a market with a third of all quotes does not tie the stream to one task.
 
-    A quote whose sequence number is not above the last one of its market and venue is
-    late: it is counted and otherwise left out. Signals are written to one folder per
-    batch, so a repeated batch replaces its own output.
+    All venues take part from their first quote on, unless a list is given. A quote whose
+    sequence number is not above the last one of its market and venue, or repeats one of its
+    batch, is late: it is counted and otherwise left out. Quotes without a number (null) are
+    ordered by their receive time. Signals are written to one folder per batch, so a repeated batch
+    replaces its own output.
     """
 
     def __init__(
-        self, path: str, venues: Sequence[str], min_spread: float = MIN_SPREAD_PCT,
-        block_size: int = SEQ_BLOCK,
+        self, path: str, venues: Sequence[str] | None = None,
+        min_spread: float = MIN_SPREAD_PCT, block_size: int = SEQ_BLOCK,
     ):
-        self.path, self.venues, self.min_spread = path, list(venues), min_spread
+        self.path, self.min_spread = path, min_spread
+        self.venues = None if venues is None else list(venues)
         self.block_size = block_size
 
     def start(self, quotes: DataFrame, **trigger) -> StreamingQuery:
@@ -46,16 +49,22 @@ class ArbStream:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        quotes = usable(batch).dropDuplicates([*VENUE_KEY, "seq"])
+        same = Window.partitionBy(*VENUE_KEY, F.coalesce("seq", "recv_ns")).orderBy("recv_ns", "yes_bid", "yes_ask")
+        quotes = usable(batch).withColumns(
+            {"seq": F.coalesce("seq", "recv_ns"), "_copy": F.row_number().over(same)}
+        )
         known = tables.previous(spark, f"{self.path}/book", batch_id)
         if known is None:
-            known = spark.createDataFrame([], quotes.schema).withColumn("late", F.lit(0))
+            known = spark.createDataFrame([], quotes.drop("_copy").schema).withColumn("late", F.lit(0))
         seen = known.select(*VENUE_KEY, F.col("seq").alias("_seen"))
         # Read by two jobs, the signals and the book; kept in memory or on disk meanwhile.
         checked = (
             quotes.join(seen, VENUE_KEY, "left")
-            .withColumn("_late", F.coalesce(F.col("seq") <= F.col("_seen"), F.lit(False)))
-            .drop("_seen")
+            .withColumn(
+                "_late",
+                F.coalesce(F.col("seq") <= F.col("_seen"), F.lit(False)) | (F.col("_copy") > 1),
+            )
+            .drop("_seen", "_copy")
             .persist()
         )
         try:

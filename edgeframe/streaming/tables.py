@@ -30,9 +30,19 @@ def _read(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """The table as the batch before ``batch_id`` left it; None before the first batch."""
-    before = _read(spark, _folder(path, batch_id - 1)) if batch_id > 0 else None
-    return None if before is None else before.drop("_batch")
+    """The table as the batch before ``batch_id`` left it; None before the first batch.
+
+    A table that is gone or older than that is an error: going on would forget its rows.
+    """
+    if batch_id == 0:
+        return None
+    before = _read(spark, _folder(path, batch_id - 1))
+    if before is None:
+        raise ValueError(f"the table of batch {batch_id - 1} is missing under {path}")
+    ages = before.agg(F.min("_batch"), F.max("_batch")).first()
+    if ages[1] is not None and (ages[0], ages[1]) != (batch_id - 1, batch_id - 1):
+        raise ValueError(f"the table under {path} is of batch {ages[1]}, not {batch_id - 1}")
+    return before.drop("_batch")
 
 
 def replace(df: DataFrame, path: str, batch_id: int) -> None:

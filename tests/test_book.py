@@ -102,7 +102,23 @@ def test_asof(spark, span):
         assert got[seq] == (max(seen)[1] if seen else None)
 
 
-def test_too_many_venues_is_an_error(spark):
-    q = spark.range(300).select(F.col("id").cast("string").alias("venue"))
-    with pytest.raises(ValueError):
-        book.venues_of(q)
+def test_three_hundred_venues(spark):
+    rng = random.Random(11)
+    rows = []
+    for seq in range(900):
+        fair = 0.5 + rng.randint(-4, 4) / 100
+        rows.append(("hot", seq, f"v{rng.randrange(300):03}", fair - 0.01, fair + 0.01))
+    for size in (50, 4096):
+        got = found(book.arb_signals(frame(spark, rows), block=blocks.seq_blocks(size=size)))
+        assert got == m.replay(rows)
+
+
+def test_listed_venues_and_quotes_without_one(spark):
+    rows = random_quotes(200, 5)
+    noise = [("hot", 5000 + i, v, 0.9, 0.1) for i, v in enumerate(["other", None])]
+    state = book.book_state(frame(spark, rows + noise), ["x", "y"], blocks.seq_blocks(size=20))
+    assert state.count() == len(rows) + 2
+    two = [r for r in rows if r[2] in "xy"]
+    signals = book.arb_signals(frame(spark, two))
+    kept = {(r.market, r.seq) for r in signals.collect()}
+    assert {(r.market, r.seq) for r in state.collect() if r.venue in ("x", "y")} >= kept

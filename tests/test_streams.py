@@ -52,11 +52,40 @@ def test_late_quotes_are_counted_and_left_out(spark, fresh):
     second = [("a", 5, "x", 0.9, 0.95), ("a", 8, "z", 0.5, 0.6), ("a", 8, "z", 0.5, 0.6)]
     stream.process(batch(spark, second), 1)
     assert found(stream.signals(spark)) == {("a", 8): ("x", "z", 0.4, 0.5)}
-    assert [tuple(r) for r in stream.late(spark).collect()] == [("a", "x", 1)]
+    assert sorted(tuple(r) for r in stream.late(spark).collect()) == [("a", "x", 1), ("a", "z", 1)]
     held = {(r.venue, r.seq) for r in stream.book(spark).collect()}
     assert held == {("x", 10), ("y", 11), ("z", 8)}
 
 
+def test_venues_that_appear_later_take_part(spark, fresh):
+    rows = random_quotes(150, 21)
+    rows = [r for r in rows[:70] if r[2] != "z"] + rows[70:]
+    stream = streams.ArbStream(fresh("arb"))
+    stream.process(batch(spark, [r for r in rows if r[1] < 70]), 0)
+    stream.process(batch(spark, [r for r in rows if r[1] >= 70]), 1)
+    assert found(stream.signals(spark)) == m.replay(rows)
+
+
+def test_quotes_without_numbers_are_kept_in_order_of_arrival(spark, fresh):
+    rows = random_quotes(120, 22)
+    plain = batch(spark, rows).withColumn("seq", F.lit(None).cast("long"))
+    stream = streams.ArbStream(fresh("arb"))
+    for i, part in enumerate((plain.where("recv_ns < 2550000"), plain.where("recv_ns >= 2550000"))):
+        stream.process(part, i)
+    wanted = {(k, seq * 1000 + 2_500_000): v for (k, seq), v in m.replay(rows).items()}
+    assert found(stream.signals(spark)) == wanted
+    assert stream.late(spark).count() == 0
+
+
+def test_lost_state_is_an_error(spark, fresh):
+    stream = streams.ArbStream(fresh("arb"))
+    stream.process(batch(spark, random_quotes(20, 23)), 0)
+    with pytest.raises(ValueError, match="missing"):
+        streams.ArbStream(fresh("arb")).process(batch(spark, random_quotes(20, 23)), 1)
+    with pytest.raises(ValueError, match="missing"):
+        stream.process(batch(spark, random_quotes(20, 23)), 2)
+
+
 def test_json_stream_end_to_end(spark, fresh):
     landing, out, rows = fresh("landing"), fresh("arb"), random_quotes(90, 13)
     stream = streams.ArbStream(out, VENUES)
