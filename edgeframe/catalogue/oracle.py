@@ -408,6 +408,12 @@ ORACLE = {
                {r(f"sin(2e0 * pi() * {_DOY} / 365e0)", "doy_sin")},
                {r(f"cos(2e0 * pi() * {_DOY} / 365e0)", "doy_cos")} from ({OBS})""",
     "contract_label": f"with {_LAKE} select station, date, label_high, threshold_f from lake",
+    "contract_mixed_sources": f"""
+        with {_LAKE}, few as (select station from ({OBS}) group by 1 having count(*) <= 400)
+        select station, date,
+               case when station in (from few) and day(date) % 2 = 1 then 1 else label_high end as label_high,
+               case when station in (from few) and day(date) % 2 = 1 then 70e0 else threshold_f end as threshold_f
+        from lake""",
     "price_naive": f"""
         with {_LAGGED} select station, date, {r(_NAIVE, "market_yes_price")}
         from lagged where n30 = 30""",

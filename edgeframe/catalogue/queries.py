@@ -139,6 +139,21 @@ def contract_label(spark: SparkSession, sf: str) -> DataFrame:
     return built.select("station", "date", "label_high", "threshold_f")
 
 
+def contract_mixed_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """A primary without contract columns, a fallback that gives them on odd days only."""
+    daily = fx.obs_daily(spark, sf)
+    odd = F.dayofmonth("date") % 2 == 1
+    given = daily.withColumns(
+        {
+            "label_high": F.when(odd, 1),
+            "market_yes_price": F.when(odd, 0.25),
+            "threshold_f": F.when(odd, 70.0),
+        }
+    )
+    built = features.build_features(weather.choose_source(daily, given).drop("source"))
+    return built.select("station", "date", "label_high", "threshold_f")
+
+
 def _prices(pricing: str, noise: float):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         built = features.build_features(fx.obs_daily(spark, sf), "full", pricing, noise)
@@ -630,6 +645,7 @@ QUERIES = {
     "rolling_normals_full": _normals("full"),
     "calendar_encoding": calendar_encoding,
     "contract_label": contract_label,
+    "contract_mixed_sources": contract_mixed_sources,
     "price_naive": _prices("naive", 0.0),
     "price_informed": _prices("informed", 0.0),
     "price_informed_noise": _prices("informed", 0.02),
