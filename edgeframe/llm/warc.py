@@ -67,6 +67,8 @@ def planned(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
         .where("_n > 1 and first is not null")
         .drop("_n")
     )
+    # A written table has no partitioning of its own, so Spark may split a payload's many copies.
+    shared = staged(shared, "warc-shared")
     later = F.coalesce(F.col("page_id") > F.col("first"), F.col("first").isNotNull())
     return rows.join(shared, "digest", "left").withColumn("refers_to", F.when(later, F.col("first")))
 
@@ -173,6 +175,7 @@ def captures(records: DataFrame) -> DataFrame:
         .groupBy(F.col("page_id").alias("refers_to"), "digest")
         .agg(F.max("_bytes").alias("_stored"))
     )
+    stored = staged(stored, "warc-stored")
     revisits = rows.where("record_type = 'revisit'").join(stored, ["refers_to", "digest"], "left")
     sizes = F.coalesce("_stored", F.raise_error("a revisit of a record that is not there").cast("long"))
     return (
