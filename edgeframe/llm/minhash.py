@@ -7,9 +7,9 @@ rarest ``COORDINATES - MATCHES + 1`` pairs of either, so only these are posted (
 that one class alone has are skipped, and so are classes with fewer than ``MATCHES`` shared
 pairs. What meets is counted on the whole signatures, and confirmed on the full sets.
 
-Large postings are not expanded into all pairs. First every class is compared with the smallest
-one of each of its postings; after components are formed, only postings that still hold several
-components are compared in full, in tiles, and only across components. A link that is not
+Large postings are not expanded into all pairs. First every class is compared with the hub of
+each of its postings; after components are formed, only postings that still hold several
+components are compared in full, inside tiles, and only across components. A link that is not
 looked for this way lies inside a component, so components are those of all links.
 
 For similarity 0.75, 48 of 64 places agree on average; fewer than 32 with a chance of about
@@ -22,7 +22,6 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -215,11 +214,17 @@ def _near_in_size(n: Column, m: Column, percent: int) -> Column:
 
 
 def star_pairs(postings: DataFrame, classes: DataFrame, matches: int, percent: int) -> DataFrame:
-    """(``a``, ``b``): classes and the smallest class of a posting, agreeing in enough places."""
-    centres = postings.groupBy("token").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("many"))
+    """(``a``, ``b``): classes and the hub of a posting, agreeing in enough places.
+
+    The hub is the class whose signature values are the most common: of many copies of one
+    text, the text itself, to which all are nearer than to each other.
+    """
+    centres = postings.groupBy("token").agg(
+        F.max(F.struct("hub", "id")).alias("c"), F.count(F.lit(1)).alias("many")
+    )
     pairs = (
-        postings.join(centres.where("many > 1"), "token")
-        .where("id > a")
+        postings.join(centres.where("many > 1").select("token", F.col("c.id").alias("a")), "token")
+        .where("id != a")
         .select("a", F.col("id").alias("b"))
         .distinct()
     )
@@ -242,10 +247,14 @@ def star_pairs(postings: DataFrame, classes: DataFrame, matches: int, percent: i
     )
 
 
-def tile_pairs(
-    postings: DataFrame, labels: DataFrame, classes: DataFrame, matches: int, percent: int, tile: int
-) -> DataFrame:
-    """Pairs across components that still share a posting, agreeing in enough places."""
+_TILE = ("token", "_low", "_high")
+
+
+def tiles(postings: DataFrame, labels: DataFrame, tile: int) -> DataFrame:
+    """Members of the postings with several components, by tile (``token``, ``_low``, ``_high``).
+
+    A posting is cut into blocks of about ``tile`` members, and every two blocks make a tile.
+    """
     placed = postings.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = (
         placed.groupBy("token")
@@ -256,38 +265,155 @@ def tile_pairs(
     block = F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int")
     members = placed.join(mixed, "token").withColumn("_block", block)
     # A member meets every block of its posting: once as the lower, once as the higher one.
-    dealt = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))).select(
+    return members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))).select(
         "token",
         F.least("_block", "_other").alias("_low"),
         F.greatest("_block", "_other").alias("_high"),
         "_block",
+        "at",
         "id",
         "label",
     )
-    rows = dealt.join(classes.select("id", "n_shingles", "_signature"), "id")
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        low = group["_low"].iloc[0]
-        left = group[group["_block"] == low]
-        right = left if low == group["_high"].iloc[0] else group[group["_block"] != low]
-        found: list[np.ndarray] = []
-        if len(left) and len(right):
-            b = np.stack(right["_signature"].to_numpy())
-            ids, names, sizes = (right[c].to_numpy() for c in ("id", "label", "n_shingles"))
-            for i, name, size, sig in zip(left["id"], left["label"], left["n_shingles"], left["_signature"]):
-                ahead = names != name
-                if right is left:
-                    ahead &= ids > i
-                ahead &= 100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)
-                near = np.flatnonzero(ahead)
-                near = near[(b[near] == np.asarray(sig)).sum(1) >= matches]
-                other = ids[near]
-                found.append(np.stack([np.minimum(other, i), np.maximum(other, i)], 1))
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}).astype("int64")
-
-    grouped = rows.groupBy("token", "_low", "_high").applyInPandas(compare, "a long, b long")
-    return grouped.distinct()
+
+
+def _whole_tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Rows sorted by tile, as tables of whole tiles with the places where tiles begin and end."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        edges = _edges(rows)
+        if len(edges) > 2:
+            yield rows.slice(0, edges[-2]), edges[:-1]
+        rest = rows.slice(edges[-2])
+    if rest is not None and len(rest):
+        yield rest, _edges(rest)
+
+
+def _edges(rows: pa.Table) -> list[int]:
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for name in _TILE:
+        values = rows.column(name).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return [*np.flatnonzero(new).tolist(), len(rows)]
+
+
+class _Tile:
+    """Candidates among rows of whole tiles: across components, near in size and signature."""
+
+    PAIRS = 1 << 18  # compared at a time
+
+    def __init__(self, rows: pa.Table, matches: int, percent: int) -> None:
+        self.matches, self.percent = matches, percent
+        self.id, self.label, self.size, self.at, self.block, self.low, self.high, mask = (
+            rows.column(c).to_numpy()
+            for c in ("id", "label", "n_shingles", "at", "_block", "_low", "_high", "_mask")
+        )
+        flat = rows.column("_signature").combine_chunks().flatten().to_numpy()
+        self.sig = flat.reshape(len(rows), -1)
+        places = np.arange(self.sig.shape[1], dtype=np.int64)
+        self.posted = (mask[:, None] >> places) & 1 == 1
+
+    def _all(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.low[first] == self.high[first]:
+            i, j = np.triu_indices(last - first, 1)
+        else:
+            lower = self.block[first:last] == self.low[first]
+            left, right = np.flatnonzero(lower), np.flatnonzero(~lower)
+            i, j = np.repeat(left, len(right)), np.tile(right, len(left))
+        return i + first, j + first
+
+    def candidates(self, edges: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, other rows, places that agree), a few tiles at a time."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for first, last in zip(edges, edges[1:]):
+            if last - first < 2 or (self.label[first:last] == self.label[first]).all():
+                continue
+            held.append(self._all(first, last))
+            size += len(held[-1][0])
+            if size >= self.PAIRS:
+                yield from self._near(held)
+                held, size = [], 0
+        yield from self._near(held)
+
+    def _near(self, held: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        if not held:
+            return
+        i, j = (np.concatenate(x) for x in zip(*held))
+        n, m = self.size[i], self.size[j]
+        wanted = (self.label[i] != self.label[j]) & (
+            100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
+        )
+        i, j = i[wanted], j[wanted]
+        found = []
+        for at in range(0, len(i), self.PAIRS):
+            a, b = i[at : at + self.PAIRS], j[at : at + self.PAIRS]
+            same = self.sig[a] == self.sig[b]
+            count = same.sum(1)
+            keep = count >= self.matches
+            a, b, same, count = a[keep], b[keep], same[keep], count[keep]
+            # A pair meets in every pair (coordinate, value) both post; it counts in the first.
+            here = (same & self.posted[a] & self.posted[b]).argmax(1) == self.at[a]
+            found.append((a[here], b[here], count[here]))
+        if found:
+            yield tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _sorted_by_tile(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_TILE).sortWithinPartitions(*_TILE)
+
+
+def tile_links(
+    dealt: DataFrame, classes: DataFrame, sets: DataFrame, matches: int, percent: int
+) -> DataFrame:
+    """Links (``a``, ``b``) across components among the members of tiles.
+
+    First the members that have a candidate in a tile are found by signature; only their sets
+    are brought there, and candidates are confirmed in place. Once two components are linked in
+    a tile, their other pairs need no answer, so a tile yields fewer links than it has members.
+    """
+    signed_rows = dealt.join(classes.select("id", "n_shingles", "_mask", "_signature"), "id")
+
+    def needed(batches):
+        for rows, edges in _whole_tiles(batches):
+            tile = _Tile(rows, matches, percent)
+            hit = np.zeros(len(rows), bool)
+            for i, j, _ in tile.candidates(edges):
+                hit[i] = hit[j] = True
+            yield from rows.filter(pa.array(hit)).to_batches(max_chunksize=10_000)
+
+    asked = _sorted_by_tile(signed_rows).mapInArrow(needed, signed_rows.schema)
+    ready = staged(asked, "minhash-asked").join(sets, "id")
+
+    def linked(batches):
+        for rows, edges in _whole_tiles(batches):
+            tile = _Tile(rows, matches, percent)
+            shingles = rows.column("_set").to_pylist()
+            where = np.searchsorted(edges, np.arange(len(rows)), "right")
+            links: list[tuple[int, int]] = []
+            for i, j, count in tile.candidates(edges):
+                parent: dict[tuple[int, int], tuple[int, int]] = {}
+
+                def root(x):
+                    while x in parent:
+                        x = parent[x]
+                    return x
+
+                for n in np.argsort(-count, kind="stable").tolist():
+                    a, b = int(i[n]), int(j[n])
+                    x = root((int(where[a]), int(tile.label[a])))
+                    y = root((int(where[b]), int(tile.label[b])))
+                    if x != y and similar(shingles[a], shingles[b], percent):
+                        parent[x] = y
+                        links.append((int(tile.id[a]), int(tile.id[b])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())],
+                names=["a", "b"],
+            )
+
+    return _sorted_by_tile(ready).mapInArrow(linked, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -371,21 +497,27 @@ def _labels(
     rows: DataFrame, classes: DataFrame, words: int, percent: int, matches: int, tile: int
 ) -> DataFrame:
     tokens = classes.select("id", F.posexplode("_signature").alias("at", "value")).select(
-        "id", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value")).alias("token")
+        "id", "at", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value")).alias("token")
     )
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     held = (
         tokens.join(counts, "token")
         .groupBy("id")
-        .agg(F.array_sort(F.collect_list(F.struct("many", "token"))).alias("held"))
+        .agg(F.array_sort(F.collect_list(F.struct("many", "token", "at"))).alias("held"))
         .where(F.size("held") >= matches)
     )
     prefix = F.slice("held", F.lit(1), F.size("held") - (matches - 1))
-    postings = staged(
-        held.select("id", F.explode(F.transform(prefix, lambda t: t["token"])).alias("token")),
-        "minhash-postings",
+    posted = staged(
+        held.select(
+            "id",
+            F.aggregate("held", F.lit(0).cast("long"), lambda total, t: total + t["many"]).alias("hub"),
+            F.transform(prefix, lambda t: F.struct(t["token"], t["at"])).alias("prefix"),
+        ),
+        "minhash-posted",
     )
-    some = staged(classes.join(postings.select("id").distinct(), "id", "left_semi"), "minhash-some")
+    postings = posted.select("id", "hub", F.inline("prefix"))
+    mask = F.expr("aggregate(prefix, 0L, (bits, t) -> bits | shiftleft(1L, t.at))").alias("_mask")
+    some = staged(classes.join(posted.select("id", mask), "id"), "minhash-some")
     star = staged(star_pairs(postings, some, matches, percent), "minhash-star")
     # Sets are made again for the classes posted, from the row that stands for the class.
     marks = some.select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_m")).hint("shuffle_hash")
@@ -396,8 +528,8 @@ def _labels(
     sets = staged(sets.join(some.select("_class", "id"), "_class").select("id", "_set"), "minhash-sets")
     links = staged(confirmed(star, sets, percent), "minhash-links")
     labels = components(links)
-    rest = staged(tile_pairs(postings, labels, some, matches, percent, tile), "minhash-rest")
-    more = staged(confirmed(rest, sets, percent), "minhash-more")
+    dealt = tiles(postings, labels, tile)
+    more = staged(tile_links(dealt, some, sets, matches, percent), "minhash-more")
     if more.isEmpty():
         return labels
     return components(links.unionAll(more))

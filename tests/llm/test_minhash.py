@@ -81,29 +81,43 @@ def test_postings_with_several_components_are_compared_in_full(frame, prose):
     assert got == _expected(found)
 
 
-def test_tiles_find_every_pair_across_components(spark):
+def test_tiles_link_what_all_pairs_link(spark):
     rng = np.random.default_rng(0)
-    base = rng.integers(0, 1000, 64)
-    sigs = []
-    for _ in range(40):
-        sig = base.copy()
-        at = rng.choice(64, int(rng.integers(0, 60)), replace=False)
-        sig[at] = rng.integers(1000, 10**6, len(at))
-        sigs.append(sig)
+    base = np.unique(rng.integers(0, 2**62, 300, np.uint64))
+    sets = []
+    for _ in range(60):
+        keep = rng.random(len(base)) > rng.choice([0.02, 0.1, 0.3])
+        sets.append(np.unique(np.concatenate([base[keep], rng.integers(0, 2**62, 20, np.uint64)])))
+    sigs = minhash.signatures(sets, 64)
+    common = sigs[:, 5] == np.median(sigs[:, 5])
+    schema = "id long, n_shingles long, _mask long, _signature array<int>"
     classes = spark.createDataFrame(
-        [(i, 100, [int(x) for x in s]) for i, s in enumerate(sigs)], "id long, n_shingles long, _signature array<int>"
+        [(i, len(s), 1 << 5, sigs[i].tolist()) for i, s in enumerate(sets) if common[i]], schema
     )
-    postings = spark.createDataFrame([(i, 5) for i in range(40)], "id long, token long")
-    labels = spark.createDataFrame([(i, i % 3) for i in range(30)], "id long, label long")
-    label = [i % 3 if i < 30 else i for i in range(40)]
-    wanted = {
-        (i, j)
-        for i in range(40)
-        for j in range(i + 1, 40)
-        if label[i] != label[j] and (sigs[i] == sigs[j]).sum() >= 32
-    }
-    pairs = minhash.tile_pairs(postings, labels, classes, 32, 75, tile=7).collect()
-    assert {(r.a, r.b) for r in pairs} == wanted and len(pairs) == len(wanted)
+    members = [i for i in range(60) if common[i]]
+    postings = spark.createDataFrame([(i, 5, 77) for i in members], "id long, at int, token long")
+    labels = spark.createDataFrame([(i, min(i, i - i % 4)) for i in members[:20]], "id long, label long")
+    held = spark.createDataFrame([(i, sets[i].tobytes()) for i in members], "id long, _set binary")
+    label = {i: i for i in members} | {i: i - i % 4 for i in members[:20]}
+
+    def parts(links):
+        root = dict(label)
+        for a, b in links:
+            x, y = root[a], root[b]
+            root = {k: x if v == y else v for k, v in root.items()}
+        return {frozenset(k for k in root if root[k] == r) for r in root.values()}
+
+    wanted = [
+        (a, b)
+        for a in members
+        for b in members
+        if a < b and (sigs[a] == sigs[b]).sum() >= 32 and minhash.similar(sets[a].tobytes(), sets[b].tobytes(), 75)
+    ]
+    for tile in (7, 1000):
+        dealt = minhash.tiles(postings, labels, tile)
+        links = [tuple(r) for r in minhash.tile_links(dealt, classes, held, 32, 75).collect()]
+        assert len(links) < len(members) * (1 + len(members) // tile)
+        assert parts(links) == parts(wanted) and len(parts(wanted)) > 1
 
 
 def test_components_of_paths_and_stars(spark):
