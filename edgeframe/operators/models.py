@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -194,17 +193,23 @@ def score_external(
     ``scorer`` maps an array (rows, steps, features) to (rows,). It is shipped once per
     task and called per Arrow batch; the plan is map-only.
     """
-    fields = [f for f in df.schema.fields if f.name != window]
-    kept = [f.name for f in fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    kept = [c for c in df.columns if c != window]
+    schema = T.StructType([*df.select(*kept).schema.fields, T.StructField(out, T.DoubleType())])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                x = np.array([np.vstack(w) for w in batch[window]], dtype=float)
-                yield batch[kept].assign(**{out: np.asarray(scorer(x), dtype=float).ravel()})
-
-    return df.mapInPandas(score, f"{schema}, `{out}` double")
+            if not len(batch):
+                continue
+            steps = batch.column(window)
+            cells = steps.flatten()
+            values = cells.flatten().to_numpy(zero_copy_only=False).astype(float)
+            # All windows have the same steps and features; other lengths fail to reshape.
+            shape = len(batch), len(cells) // len(batch), -1
+            found = np.asarray(scorer(values.reshape(shape)), dtype=float).ravel()
+            own = [batch.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(found)], names=[*kept, out])
+
+    return df.mapInArrow(score, schema)
 
 
 # --- blend and report ---------------------------------------------------------------

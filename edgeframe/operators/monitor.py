@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 
 import numpy as np
@@ -96,7 +97,7 @@ def rolling_latency(
     Samples are numbered per market (blocks = ticks) and cut into rings of ``samples``
     consecutive numbers; a ring and the one before it hold every window that ends in it.
     A task therefore sees at most two rings of numbers, however busy the market is, and
-    selects the ranks with a partial sort instead of sorting per tick.
+    keeps the window sorted from tick to tick.
     """
     usable = (
         events.withColumn("_us", latency_us())
@@ -121,13 +122,22 @@ def rolling_latency(
     shares = [p / 100.0 for p in percentiles]
 
     def select(held: pd.DataFrame, ends: pd.DataFrame) -> pd.DataFrame:
-        held = held.sort_values("_pos")
-        us, base = held["_us"].to_numpy(), held["_pos"].min() if len(held) else 0
+        held, ends = held.sort_values("_pos"), ends.sort_values("sample_count")
+        us, base = held["_us"].tolist(), int(held["_pos"].min()) if len(held) else 0
         found = np.empty((len(ends), len(shares)))
-        for i, end in enumerate(ends["sample_count"]):
-            window = us[max(end - samples, 0) - base : end - base]
-            ranks = [int(share * (len(window) - 1)) for share in shares]
-            found[i] = np.partition(window, ranks)[ranks]
+        window: list[float] = []  # sorted; what enters and leaves between ticks moves in it
+        first = last = 0
+        for i, end in enumerate(ends["sample_count"].tolist()):
+            start, stop = max(end - samples, 0) - base, end - base
+            if stop - last > len(window) // 16:
+                window = sorted(us[start:stop])
+            else:
+                for value in us[last:stop]:
+                    insort(window, value)
+                for value in us[first:start]:
+                    del window[bisect_left(window, value)]
+            first, last = start, stop
+            found[i] = [window[int(share * (len(window) - 1))] for share in shares]
         return ends[["market", "tick", "sample_count"]].assign(
             **{name: found[:, j] for j, name in enumerate(names)}
         )
