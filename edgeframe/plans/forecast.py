@@ -97,7 +97,10 @@ def run_study(
     ready = calibrate.apply_platt(blended(test), fitted.platt).join(
         fitted.best.select("market", "edge_threshold"), "market"
     )
-    metrics, equity = backtest.run_backtest(ready, F.col("edge_threshold"))
+    traded = backtest.trades(ready, F.col("edge_threshold"))
+    # One backtest: the metrics are read off the stored curve.
+    curve = _stored(backtest.equity(traded), folder, "curve")
+    metrics, equity = backtest.metrics(curve), curve.select("market", "date", "equity")
     metadata = fitted.best.drop("score").withColumn("backends", models.backends())
     lake_io.save_backtest(metrics, equity, metadata, f"{folder}/backtest")
     accuracy = models.accuracy(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from edgeframe.operators.features import build_features
 from edgeframe.sources import lake as lake_io
 from edgeframe.sources.weather import choose_source
+from edgeframe.storage import scratch
 
 
 def ingest(
@@ -22,7 +23,10 @@ def ingest(
     log = status_log or f"{path}-status"
     lake_io.log_status(spark, log, "ingest_start", "choosing sources")
     try:
-        daily = choose_source(primary, fallback).drop("source")
+        # Features read their rows three times; the sources are read for this table only.
+        path_of_daily = scratch(spark, "daily")
+        choose_source(primary, fallback).drop("source").write.parquet(path_of_daily)
+        daily = spark.read.parquet(path_of_daily)
         summary = lake_io.write_lake(build_features(daily, warmup, pricing), path)
     except Exception as error:
         lake_io.log_status(spark, log, "ingest_error", str(error))
