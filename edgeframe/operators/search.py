@@ -8,6 +8,8 @@ since a block's drawdown depends on the equity at which the block starts.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -47,7 +49,20 @@ def grid(
     ]
 
 
-def _profits(rows: pa.Table, weight: np.ndarray, threshold: np.ndarray):
+@dataclass(frozen=True)
+class Sizes:
+    """How a trade is sized and charged; the same rule as ``functions.contracts``."""
+
+    safety: float = KELLY_FRACTION
+    cap: float = KELLY_CAP
+    bankroll: float = BANKROLL_USD
+    fee: float = FEE_RATE
+
+
+DEFAULT_SIZES = Sizes()
+
+
+def _profits(rows: pa.Table, weight: np.ndarray, threshold: np.ndarray, sizes: Sizes):
     """(profit, traded) of each row (down, by date) for each candidate (across)."""
 
     def clipped(x):
@@ -64,12 +79,12 @@ def _profits(rows: pa.Table, weight: np.ndarray, threshold: np.ndarray):
     yes = gap > 0
     # NaN compares false, so a row without a probability is not traded.
     traded = np.abs(gap) > threshold
-    used = np.minimum(np.where(yes, gap / (1.0 - q), -gap / q) * KELLY_FRACTION, KELLY_CAP)
+    used = np.minimum(np.where(yes, gap / (1.0 - q), -gap / q) * sizes.safety, sizes.cap)
     traded &= used > 0
-    stake = used * BANKROLL_USD
+    stake = used * sizes.bankroll
     odds = np.where(yes, (1.0 - q) / q, q / (1.0 - q))
     won = np.where(yes, outcome == 1, outcome == 0)
-    profit = np.where(won, stake * odds, -stake) - stake * FEE_RATE
+    profit = np.where(won, stake * odds, -stake) - stake * sizes.fee
     return np.where(traded, profit, 0.0), traded
 
 
@@ -88,10 +103,10 @@ _FALLS = record(
 )
 
 
-def _totals(rows: pa.Table, candidates: pa.Table) -> pa.Table:
+def _totals(rows: pa.Table, candidates: pa.Table, sizes: Sizes) -> pa.Table:
     """Per candidate: trades, profit and highest running profit of one block."""
     profit, traded = _profits(
-        rows, candidates["weight"].to_numpy(), candidates["threshold"].to_numpy()
+        rows, candidates["weight"].to_numpy(), candidates["threshold"].to_numpy(), sizes
     )
     return (
         candidates.select([*_KEY, "weight", "threshold"])
@@ -101,10 +116,10 @@ def _totals(rows: pa.Table, candidates: pa.Table) -> pa.Table:
     )
 
 
-def _falls(rows: pa.Table, candidates: pa.Table) -> pa.Table:
+def _falls(rows: pa.Table, candidates: pa.Table, sizes: Sizes) -> pa.Table:
     """Per candidate: deepest drawdown of one block that starts at ``base`` below ``peak``."""
     profit, _ = _profits(
-        rows, candidates["weight"].to_numpy(), candidates["threshold"].to_numpy()
+        rows, candidates["weight"].to_numpy(), candidates["threshold"].to_numpy(), sizes
     )
     value = _cents(candidates["base"].to_numpy() + np.cumsum(profit, axis=0))
     # Before the first block there is no peak; null arrives as NaN, which fmax passes over.
@@ -116,7 +131,10 @@ def _falls(rows: pa.Table, candidates: pa.Table) -> pa.Table:
 
 
 def score_candidates(
-    preds: DataFrame, candidates: DataFrame | list[tuple[float, float]], block: Column | None = None
+    preds: DataFrame,
+    candidates: DataFrame | list[tuple[float, float]],
+    block: Column | None = None,
+    sizes: Sizes = DEFAULT_SIZES,
 ) -> DataFrame:
     """Trades, return, drawdown and score of every candidate on every market.
 
@@ -138,7 +156,9 @@ def score_candidates(
     else:
         tried = places.join(candidates, "market").select(*_KEY, "weight", "threshold")
     by_block = rows.groupBy(*_KEY)
-    totals = by_block.cogroup(tried.groupBy(*_KEY)).applyInArrow(_totals, _TOTALS)
+    totals = by_block.cogroup(tried.groupBy(*_KEY)).applyInArrow(
+        lambda rows, tried: _totals(rows, tried, sizes), _TOTALS
+    )
     earlier = (
         Window.partitionBy("market", "weight", "threshold")
         .orderBy(BLOCK)
@@ -146,15 +166,17 @@ def score_candidates(
     )
     based = totals.withColumn(
         "base",
-        F.lit(BANKROLL_USD) + F.coalesce(F.sum("gain").over(earlier), F.lit(0.0)),
+        F.lit(float(sizes.bankroll)) + F.coalesce(F.sum("gain").over(earlier), F.lit(0.0)),
     )
     based = based.withColumn(
         "peak", F.max(F.floor((F.col("base") + F.col("high")) * 100 + 0.5) / 100).over(earlier)
     )
-    falls = by_block.cogroup(based.groupBy(*_KEY)).applyInArrow(_falls, _FALLS)
+    falls = by_block.cogroup(based.groupBy(*_KEY)).applyInArrow(
+        lambda rows, tried: _falls(rows, tried, sizes), _FALLS
+    )
     scored = falls.groupBy("market", "weight", "threshold").agg(
         F.sum("trades").alias("n_trades"),
-        (F.sum("gain") / F.lit(BANKROLL_USD)).alias("total_return"),
+        (F.sum("gain") / F.lit(float(sizes.bankroll))).alias("total_return"),
         F.max("fall").alias("max_drawdown"),
     )
     return scored.withColumn(
@@ -195,20 +217,26 @@ def default_params(markets: DataFrame) -> DataFrame:
     )
 
 
-def grid_search(preds: DataFrame, block: Column | None = None) -> DataFrame:
+def grid_search(
+    preds: DataFrame, block: Column | None = None, sizes: Sizes = DEFAULT_SIZES
+) -> DataFrame:
     """Best grid point of each market."""
-    return best_candidates(score_candidates(preds, grid(), block))
+    return best_candidates(score_candidates(preds, grid(), block, sizes))
 
 
 def refined_search(
-    preds: DataFrame, rounds: int = 3, side: int = 5, block: Column | None = None
+    preds: DataFrame,
+    rounds: int = 3,
+    side: int = 5,
+    block: Column | None = None,
+    sizes: Sizes = DEFAULT_SIZES,
 ) -> DataFrame:
     """Grid search followed by ever finer grids around each market's best point.
 
     The box shrinks to one grid step around the best point in each round, and the best
     point stays a candidate, so a round never lowers the score.
     """
-    best = cut(best_candidates(score_candidates(preds, grid(), block), "grid-refine"))
+    best = cut(best_candidates(score_candidates(preds, grid(), block, sizes), "grid-refine"))
     half_w = 1.0 / (N_WEIGHTS - 1)
     half_t = (THRESHOLD_HI - THRESHOLD_LO) / (N_THRESHOLDS - 1)
     for _ in range(rounds - 1):
@@ -229,6 +257,6 @@ def refined_search(
             )
             .distinct()
         )
-        best = cut(best_candidates(score_candidates(preds, around, block), "grid-refine"))
+        best = cut(best_candidates(score_candidates(preds, around, block, sizes), "grid-refine"))
         half_w, half_t = 2 * half_w / (side - 1), 2 * half_t / (side - 1)
     return best

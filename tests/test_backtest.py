@@ -134,3 +134,28 @@ def test_threshold_column(spark):
     metrics, _ = backtest.run_backtest(df, F.col("t"))
     want, _ = m.backtest([r[1:] for r in rows], 0.05)
     assert metrics.first().n_trades == want["n_trades"]
+
+
+def test_search_sizes_as_the_backtest_does(spark):
+    _, df = member_rows(spark, 120)
+    sizes = search.Sizes(safety=0.9, cap=0.4, bankroll=1234.0, fee=0.01)
+    scores = search.score_candidates(df, [(0.3, 0.01), (0.8, 0.02)], blocks.day_blocks(days=30), sizes)
+    for r in scores.collect():
+        mixed = df.where(F.col("market") == r.market).withColumn(
+            "model_prob", r.weight * F.col("lstm_prob") + (1 - r.weight) * F.col("transformer_prob")
+        )
+        want, _ = backtest.run_backtest(mixed, r.threshold, 0.9, 0.4, 1234.0, 0.01)
+        want = want.first()
+        assert r.n_trades == want.n_trades > 0
+        assert r.total_return == pytest.approx(want.total_return, abs=1e-6)
+        assert r.max_drawdown == pytest.approx(want.max_drawdown, abs=1e-6)
+
+
+def test_rows_without_market_or_date_are_traded(spark):
+    rows = spark.createDataFrame(
+        [("a", "2024-01-01", 0.7, 0.5, 1), (None, "2024-01-01", 0.7, 0.5, 1), ("a", None, 0.7, 0.5, 0)],
+        "market string, day string, model_prob double, market_prob double, outcome int",
+    ).withColumn("date", F.to_date("day"))
+    metrics, curve = backtest.run_backtest(rows)
+    assert curve.count() == 3
+    assert {r.market: r.n_trades for r in metrics.collect()} == {"a": 2, None: 1}
