@@ -27,8 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edgeframe.llm.common import kept_in_worker
+
 #: Distinct pieces a worker remembers before it starts anew; bounds its memory, not its results.
-MEMORY = 800_000
+MEMORY = 500_000
 
 # What the byte-level alphabet maps to itself.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -64,6 +66,29 @@ class Vocabulary:
         for name, i in {**self.ids, **self.added}.items():
             self.names[i] = name
         self.letters = byte_letters()
+        self.byte_of = {c: b for b, c in enumerate(self.letters)}
+
+    def symbols(self, name: str) -> list[int] | None:
+        """The places of a token: a byte, plus 256 if it ends a word. None if it is no bytes."""
+        last = bool(self.end) and name.endswith(self.end) and len(name) > len(self.end)
+        bytes_ = [self.byte_of.get(c) for c in (name[: -len(self.end)] if last else name)]
+        if None in bytes_ or not bytes_:
+            return None
+        if last:
+            bytes_[-1] += 256
+        return bytes_
+
+    def symbol_ids(self) -> np.ndarray:
+        """The id of each of the 512 symbols; -2 where the vocabulary has none."""
+        plain = [self.ids.get(c, -2) for c in self.letters]
+        ending = [self.ids.get(c + self.end, -2) for c in self.letters]
+        return np.array(plain + ending, np.int32)
+
+
+def _ragged(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of every cell of rows of these sizes."""
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    return rows, np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 class Merges:
@@ -91,34 +116,47 @@ class Merges:
         ranks[held] = self._ranks[at[held]]
         return ranks
 
-    def apply(self, words: Sequence[Sequence[int]]) -> list[np.ndarray]:
-        """What is left of each list of symbol ids; -2 stands for a symbol without an id."""
-        results: list[np.ndarray] = [np.empty(0, np.int32)] * len(words)
-        by_size = sorted(range(len(words)), key=lambda i: len(words[i]))
+    def apply(self, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words given as symbol ids end to end, and what is left of them, in the same form.
+
+        -2 stands for a symbol without an id; it joins nothing and is left out of the result.
+        """
+        starts = np.cumsum(sizes) - sizes
+        by_size = np.argsort(sizes, kind="stable")
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         at = 0
         while at < len(by_size):
-            longest = len(words[by_size[min(at + self.ROWS, len(by_size)) - 1]])
-            rows = max(1, min(self.ROWS, (self.ROWS << 6) // max(1, longest)))
-            some = by_size[at : at + rows]
-            at += rows
-            self._apply(words, some, results)
-        return results
-
-    def _apply(self, words, some: list[int], results: list[np.ndarray]) -> None:
-        width = len(words[some[-1]]) + 1
-        cells = np.full((len(some), width), -1, np.int32)
-        for row, i in enumerate(some):
-            cells[row, : len(words[i])] = words[i]
-        owner = np.asarray(some)
+            longest = int(sizes[by_size[min(at + self.ROWS, len(by_size)) - 1]])
+            some = by_size[at : at + max(1, min(self.ROWS, (self.ROWS << 6) // max(1, longest)))]
+            at += len(some)
+            rows, columns = _ragged(sizes[some])
+            cells = np.full((len(some), int(sizes[some].max(initial=0)) + 1), -1, np.int32)
+            cells[rows, columns] = flat[starts[some][rows] + columns]
+            parts += self._apply(cells, some)
+        counts = np.zeros(len(sizes), np.int64)
+        for owner, lengths, _ in parts:
+            counts[owner] = lengths
+        result = np.empty(int(counts.sum()), np.int32)
+        first = np.cumsum(counts) - counts
+        for owner, lengths, values in parts:
+            rows, columns = _ragged(lengths)
+            result[first[owner][rows] + columns] = values
+        return result, counts
+
+    def _apply(self, cells: np.ndarray, owner: np.ndarray) -> Iterator[tuple]:
+        width = cells.shape[1]
+        if width < 2:
+            yield owner, np.zeros(len(owner), np.int64), np.empty(0, np.int32)
+            return
         ranks = self._rank(cells[:, :-1], cells[:, 1:])
         columns = np.arange(width)
         while len(owner):
             best = ranks.argmin(1)
-            rows = np.arange(len(owner))
-            lowest = ranks[rows, best]
+            lowest = ranks[np.arange(len(owner)), best]
             going = lowest != self.NEVER
-            for row in np.flatnonzero(~going):
-                results[owner[row]] = cells[row][cells[row] >= 0]
+            if not going.all():
+                done = cells[~going]
+                yield owner[~going], (done >= 0).sum(1), done[done >= 0]
             owner, best, lowest = owner[going], best[going], lowest[going]
             cells, ranks, rows = cells[going], ranks[going], np.arange(len(owner))
             if not len(owner):
@@ -141,6 +179,7 @@ class Encoder:
     """Encodes UTF-8 texts to arrays of ids, as the library does without special tokens added."""
 
     def __init__(self, vocabulary: Vocabulary, memory: int = MEMORY) -> None:
+        import ahocorasick
         from tokenizers import Tokenizer
 
         self.v = vocabulary
@@ -149,43 +188,45 @@ class Encoder:
         self._memory = memory
         added = sorted(vocabulary.added, key=len, reverse=True)
         self._added = re.compile("|".join(map(re.escape, added))) if added else None
-        self._reach: dict[str, int] = {}  # longest entry by its first two letters
-        for name in vocabulary.ids:
-            self._reach[name[:2]] = max(len(name), self._reach.get(name[:2], 1))
-        self._latin = str.maketrans({chr(b): c for b, c in enumerate(vocabulary.letters)})
         self._merges = Merges(vocabulary)
-        self._first = {c: i for c, i in vocabulary.ids.items() if len(c) == 1}
-        self._known = np.empty(0, np.int64)  # judged pairs, sorted, and the judgement of each
+        self._symbol_ids = vocabulary.symbol_ids()
+        # A character per symbol, from 1 on; entries become strings of them.
+        self._greedy = ahocorasick.Automaton()
+        spelled = {i: vocabulary.symbols(name) for name, i in vocabulary.ids.items()}
+        self._lengths = np.zeros(len(vocabulary.names), np.int64)
+        self._spelled: dict[int, list[int]] = {}
+        for token, symbols in spelled.items():
+            if symbols is not None:
+                self._greedy.add_word("".join(chr(x + 1) for x in symbols), token)
+                self._lengths[token] = len(symbols)
+                self._spelled[token] = symbols
+        self._greedy.make_automaton()
+        self._known = np.empty(0, np.int64)  # judged keys, sorted, and the judgement of each
         self._fits = np.empty(0, bool)
         self.merged = self.seen = 0
         self._forget()
 
     def _forget(self) -> None:
         self._pieces: dict[bytes, int] = {}
-        self._words: dict[str, list[int]] = {}
         self._flat, self._starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     # --- from a piece of text to words ------------------------------------------------
 
-    def _split(self, piece: str) -> list[str]:
-        """Words of a piece in the byte alphabet."""
-        if _PLAIN.fullmatch(piece):
-            words = _SPLIT.findall(piece.lower().replace("\x00", "\x01"))
-            if "\x00" not in piece:
-                return [self._spelled(w) for w in words]
+    def _split(self, piece: str) -> list[bytes]:
+        """Words of a piece, as the bytes their letters stand for."""
+        if piece.isalpha() and _PLAIN.fullmatch(piece):
+            return [piece.lower().encode()]
+        if _PLAIN.fullmatch(piece) and "\x00" not in piece:
+            return [w.encode() for w in _SPLIT.findall(piece.lower())]
         normal = self._normal.normalize_str(piece) if self._normal else piece
-        return [w for w, _ in self._pre.pre_tokenize_str(normal)]
-
-    def _spelled(self, word: str) -> str:
-        if word.isascii():
-            return word if word.isalnum() else word.translate(self._latin)
-        return word.encode().decode("latin-1").translate(self._latin)
+        byte_of = self.v.byte_of
+        return [bytes([byte_of[c] for c in w]) for w, _ in self._pre.pre_tokenize_str(normal)]
 
-    def _parts(self, piece: str) -> list[str | int]:
+    def _parts(self, piece: str) -> list[bytes | int]:
         """Words and ids of added tokens of a piece, in order."""
         if self._added is None or not self._added.search(piece):
             return self._split(piece)
-        parts: list[str | int] = []
+        parts: list[bytes | int] = []
         at = 0
         for hit in self._added.finditer(piece):
             if hit.start() > at:
@@ -196,45 +237,17 @@ class Encoder:
 
     # --- speculate, verify, merge -----------------------------------------------------
 
-    def _greedy(self, word: str) -> list[int]:
-        ids, reach, found, at = self.v.ids, self._reach, [], 0
-        word += self.v.end  # the suffix belongs to the last letter, so it is never cut from it
-        n, inner = len(word), len(word) - len(self.v.end) - bool(self.v.end)
-        while at < n:
-            most = reach.get(word[at : at + 2], 1)
-            if n - at <= most and word[at:] in ids:
-                found.append(ids[word[at:]])
-                break
-            stop = min(inner if self.v.end else n, at + most)
-            while stop > at and word[at:stop] not in ids:
-                stop -= 1
-            if stop <= at:
-                if word[at:] in ids:
-                    found.append(ids[word[at:]])
-                    break
-                return []
-            found.append(ids[word[at:stop]])
-            at = stop
-        return found
-
-    def _letters(self, word: str) -> list[int]:
-        """Symbol ids of a word before any merge."""
-        find = self._first.get
-        symbols = [find(c, -2) for c in word]
-        if self.v.end:
-            symbols[-1] = self.v.ids.get(word[-1] + self.v.end, -2)
-        return symbols
-
-    def _letters_of(self, token: int) -> list[int]:
-        name, end = self.v.names[token], self.v.end
-        if end and name.endswith(end) and len(name) > len(end):
-            return self._letters(name[: -len(end)])
-        return [self._first.get(c, -2) for c in name]
-
     def _stay(self, cuts: list[tuple[int, ...]]) -> np.ndarray:
         """Whether merging the letters of each cut gives the same cut."""
-        merged = self._merges.apply([[x for t in cut for x in self._letters_of(t)] for cut in cuts])
-        return np.fromiter((tuple(m) == c for m, c in zip(merged, cuts)), bool, len(cuts))
+        places = [[x for t in cut for x in self._spelled[t]] for cut in cuts]
+        sizes = np.fromiter(map(len, places), np.int64, len(places))
+        flat = self._symbol_ids[np.fromiter(chain.from_iterable(places), np.int64, int(sizes.sum()))]
+        merged, counts = self._merges.apply(flat, sizes)
+        ends = np.cumsum(counts).tolist()
+        values = merged.tolist()
+        return np.fromiter(
+            (tuple(values[e - n : e]) == c for e, n, c in zip(ends, counts.tolist(), cuts)), bool, len(cuts)
+        )
 
     def _judged(self, distinct: np.ndarray) -> np.ndarray:
         """Judgement of each of the sorted ``distinct`` keys: a token alone, or a pair.
@@ -259,52 +272,74 @@ class Encoder:
             self._fits = np.concatenate([self._fits, fits[~held]])[order]
         return fits
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Encode the new ``words`` together."""
-        cuts = [self._greedy(w) for w in words]
-        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        flat = np.fromiter(chain.from_iterable(cuts), np.int64, int(sizes.sum()))
-        owner = np.repeat(np.arange(len(cuts)), sizes)
-        inside = owner[1:] == owner[:-1]
-        pairs = ((flat[:-1] + 1) * len(self.v.names) + flat[1:])[inside] if len(flat) else flat
-        wrong = sizes == 0
-        for keys, whose in ((flat, owner), (pairs, owner[1:][inside])):
+    def _encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the (non-empty) words, end to end, and how many each has."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        places = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        if self.v.end:
+            places[np.cumsum(sizes) - 1] += 256
+        owner = np.repeat(np.arange(len(words)), sizes)
+        # One pass over all words: no entry goes on after the end of a word, nor over a border
+        # between words without ends, as each is then looked up on its own.
+        text = (places + 1).astype("<u4").tobytes().decode("utf-32-le")
+        if self.v.end:
+            hits = list(self._greedy.iter_long(text))
+        else:
+            ends = np.cumsum(sizes).tolist()
+            hits = [h for e, n in zip(ends, sizes.tolist()) for h in self._greedy.iter_long(text, e - n, e)]
+        found = np.array(hits, np.int64).reshape(-1, 2)
+        last, tokens = found[:, 0], found[:, 1]
+        whose = owner[last]
+        lengths = self._lengths[tokens]
+        # A word is proposed only if its entries cover it; where they do not, it fails.
+        covered = np.bincount(whose, lengths, len(words))
+        wrong = covered != sizes
+        inside = whose[1:] == whose[:-1]
+        pairs = ((tokens[:-1] + 1) * len(self.v.names) + tokens[1:])[inside]
+        for keys, of in ((tokens, whose), (pairs, whose[1:][inside])):
             distinct, back = np.unique(keys, return_inverse=True)
-            wrong[whose[~self._judged(distinct)[back]]] = True
+            wrong[of[~self._judged(distinct)[back]]] = True
         self.seen += len(words)
         self.merged += int(wrong.sum())
-        failing = np.flatnonzero(wrong)
-        for w, ids in zip(failing, self._merges.apply([self._letters(words[w]) for w in failing])):
-            cuts[w] = ids.tolist()
-        self._words.update(zip(words, cuts))
+        kept = ~wrong[whose]
+        bad = wrong[owner]
+        merged, many = self._merges.apply(self._symbol_ids[places[bad]], sizes[wrong])
+        counts = np.bincount(whose[kept], minlength=len(words))
+        counts[wrong] = many
+        ids = np.concatenate([tokens[kept].astype(np.int32), merged])
+        of = np.concatenate([whose[kept], np.repeat(np.flatnonzero(wrong), many)])
+        return ids[np.argsort(of, kind="stable")], counts
 
     def _learn(self, pieces: Sequence[bytes]) -> None:
+        """Encode the new ``pieces`` together."""
         parts = [self._parts(p.decode("utf-8", "replace")) for p in pieces]
-        known = self._words
-        self._learn_words(list({w for p in parts for w in p if w.__class__ is str and w not in known}))
-        lists = [
-            known[p[0]] if len(p) == 1 and p[0].__class__ is str
-            else [t for w in p for t in (known[w] if w.__class__ is str else (w,))]
-            for p in parts
-        ]
+        every = list(chain.from_iterable(parts))
+        words = list({w for w in every if w.__class__ is bytes})
+        added = sorted({w for w in every if w.__class__ is not bytes})
+        ids, counts = self._encode_words(words)
+        ids = np.concatenate([ids, np.array(added, np.int32)])
+        counts = np.concatenate([counts, np.ones(len(added), np.int64)])
+        number = dict(zip([*words, *added], range(len(counts))))
+        which = np.fromiter(map(number.__getitem__, every), np.int64, len(every))
+        flat = _gathered(ids, np.cumsum(counts) - counts, counts, which)
+        per_part = np.fromiter(map(len, parts), np.int64, len(parts))
+        sums = np.concatenate([[0], np.cumsum(counts[which])])
+        ends = np.cumsum(per_part)
+        sizes = sums[ends] - sums[ends - per_part]
         self._pieces.update(zip(pieces, range(len(self._pieces), len(self._pieces) + len(pieces))))
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
         self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
         self._flat = np.concatenate([self._flat, flat])
-        if len(known) > self._memory // 4:
-            known.clear()
 
     # --- texts ------------------------------------------------------------------------
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
-        """Ids of each text, in order; texts are handled in groups of about a megabyte."""
+        """Ids of each text, in order; texts are handled in groups of a few megabytes."""
         group: list[list[bytes]] = []
         size = 0
         for text in texts:
             group.append(text.split())
             size += len(text)
-            if size >= 1 << 20:
+            if size >= 1 << 22:
                 yield from self._group(group)
                 group, size = [], 0
         yield from self._group(group)
@@ -315,15 +350,21 @@ class Encoder:
             self._forget()
             fresh = {p for pieces in group for p in pieces}
         if fresh:
-            self._learn(sorted(fresh))
+            self._learn(list(fresh))
         place = self._pieces.__getitem__
         for pieces in group:
             which = np.fromiter(map(place, pieces), np.int64, len(pieces))
             first = self._starts[which]
-            sizes = self._starts[which + 1] - first
-            before = np.cumsum(sizes) - sizes
-            total = int(sizes.sum())
-            yield self._flat[np.repeat(first - before, sizes) + np.arange(total)]
+            yield _gathered(self._flat, self._starts, self._starts[which + 1] - first, which, True)
+
+
+def _gathered(
+    flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray, picked: bool = False
+) -> np.ndarray:
+    """The rows ``which`` of ``flat``, end to end; ``sizes`` are of all rows or of those picked."""
+    sizes = sizes if picked else sizes[which]
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts[which] - before, sizes) + np.arange(int(sizes.sum()))]
 
 
 class Decoder:
@@ -336,16 +377,14 @@ class Decoder:
         return b" ".join(map(self._names.__getitem__, ids.tolist()))
 
 
-_encoders: dict[str, tuple[Encoder, Decoder]] = {}
-
-
 def codec(text: str) -> tuple[Encoder, Decoder]:
     """The encoder and decoder of this worker for a vocabulary, kept between tasks."""
-    if text not in _encoders:
-        _encoders.clear()
+
+    def make() -> tuple[Encoder, Decoder]:
         vocabulary = Vocabulary(text)
-        _encoders[text] = Encoder(vocabulary), Decoder(vocabulary)
-    return _encoders[text]
+        return Encoder(vocabulary), Decoder(vocabulary)
+
+    return kept_in_worker(("bpe", text), make)
 
 
 def read_vocabulary(path: str) -> str:

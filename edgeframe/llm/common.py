@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeframe.storage import scratch
 
+State = TypeVar("State")
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -36,7 +41,16 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def unsigned_crc32(data: bytes) -> int:
-    import zlib
+_held: dict[object, object] = {}
+
 
-    return zlib.crc32(data)
+def kept_in_worker(key: object, make: Callable[[], State]) -> State:
+    """What a Python worker keeps from task to task: one thing at a time.
+
+    Workers outlive the stages that use them. Tables of remembered words of several operators
+    would add up there, so asking for another ``key`` lets go of what was held.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]

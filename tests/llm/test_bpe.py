@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 
 import numpy as np
@@ -60,14 +61,19 @@ def test_both_paths_are_taken(vocabulary):
     assert 0 < encoder.merged < encoder.seen
 
 
+def _merged(merges, lists):
+    sizes = np.array([len(x) for x in lists], np.int64)
+    flat = np.array([i for x in lists for i in x], np.int32)
+    ids, counts = merges.apply(flat, sizes)
+    return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+
+
 def test_vectorised_merging_equals_one_word_at_a_time(vocabulary):
     rng = random.Random(2)
-    merges = bpe.Merges(vocabulary)
     words = ["".join(rng.choices("thandeingor", k=rng.randint(1, 20))) for _ in range(500)]
-    encoder = bpe.Encoder(vocabulary)
-    many = merges.apply([encoder._letters(w) for w in words])
-    for word, ids in zip(words, many):
-        symbols = [*word[:-1], word[-1] + vocabulary.end]
+    spelled = [[*w[:-1], w[-1] + vocabulary.end] for w in words]
+    many = _merged(bpe.Merges(vocabulary), [[vocabulary.ids[s] for s in w] for w in spelled])
+    for symbols, ids in zip(spelled, many):
         while True:  # the rule, by its definition
             ranked = [
                 (vocabulary.ranks[pair], i)
@@ -84,7 +90,26 @@ def test_vectorised_merging_equals_one_word_at_a_time(vocabulary):
 def test_unknown_symbols_do_not_merge():
     spec = '{"model": {"vocab": {"a": 0, "b": 1, "ab": 2}, "merges": ["a b"]}}'
     merges = bpe.Merges(bpe.Vocabulary(spec))
-    assert [m.tolist() for m in merges.apply([[0, 1], [0, -2, 1], [], [1]])] == [[2], [0, 1], [], [1]]
+    assert _merged(merges, [[0, 1], [0, -2, 1], [], [1]]) == [[2], [0, 1], [], [1]]
+
+
+def test_vocabulary_without_word_ends():
+    spec = {
+        "model": {
+            "type": "BPE",
+            "vocab": {**{c: i for i, c in enumerate(bpe.byte_letters())}, "ab": 256, "bc": 257, "abc": 258},
+            "merges": ["b c", "a b", "a bc"],
+        },
+        "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
+    }
+
+
+    text = json.dumps(spec)
+    library = Tokenizer.from_str(text)
+    texts = ["abc", "ab", "abab cab", "bcabc aabbcc", "x"]
+    # Pieces are parted at white space, so only vocabularies that drop it give the library's ids.
+    want = [[i for w in t.split() for i in library.encode(w, add_special_tokens=False).ids] for t in texts]
+    assert [x.tolist() for x in bpe.Encoder(bpe.Vocabulary(text)).encode(t.encode() for t in texts)] == want
 
 
 def test_digests_and_round_trip(spark, frame, library, vocabulary_path, odd):
