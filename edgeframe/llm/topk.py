@@ -135,6 +135,11 @@ def _merged(lists: DataFrame, by: list[str], k: int) -> DataFrame:
     return lists.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _block_of(blocks: int) -> Column:
+    # Over key and vector, so that many vectors under one key are spread too.
+    return F.pmod(F.xxhash64("vec_id", "_vector"), F.lit(blocks))
+
+
 def _queries(chosen: DataFrame, wanted: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of distinct queries, by dimension; each is small enough to broadcast."""
     sizes = chosen.groupBy(F.size("_vector").alias("n")).count().orderBy("n").collect()  # one per dimension
@@ -143,7 +148,7 @@ def _queries(chosen: DataFrame, wanted: int) -> Iterator[tuple[np.ndarray, np.nd
         blocks = -(-count // rows)
         own = chosen.where(F.size("_vector") == dimension)
         for number in range(blocks):
-            part = own if blocks == 1 else own.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == number)
+            part = own if blocks == 1 else own.where(_block_of(blocks) == number)
             found = part.orderBy("vec_id").collect()
             if found:
                 vectors = np.array([r["_vector"] for r in found], np.int64).reshape(len(found), dimension)
