@@ -78,6 +78,9 @@ def grouped(
             F.col("_first.row").alias("_first_row"),
         )
     )
+    # Read from a table, the groups have no partitioning of their own: Spark may then split the
+    # rows of a large group, as both sides of the join are shuffled for it.
+    groups = staged(groups, "exact-groups")
     joined = named.join(groups, ["_hash", "_text"], "left")
     alone = F.col("_n").isNull()
     return joined.select(
