@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,15 +18,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+#: Bytes of a batch that goes to a Python worker while a table is staged.
+BATCH_BYTES = "8m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read again: lineage ends there.
 
-    Row numbers taken before (``monotonically_increasing_id``) are fixed by it.
+    Row numbers taken before (``monotonically_increasing_id``) are fixed by it. Texts and sets
+    may be large, so Python workers get smaller batches than by default meanwhile.
     """
-    path = scratch(df.sparkSession, name)
-    writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, BATCH_BYTES)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_of(column: str = "text") -> Column:
@@ -51,6 +63,12 @@ def kept_in_worker(key: object, make: Callable[[], State]) -> State:
     would add up there, so asking for another ``key`` lets go of what was held.
     """
     if key not in _held:
-        _held.clear()
+        let_go()
         _held[key] = make()
     return _held[key]
+
+
+def let_go() -> None:
+    """Drop what this worker keeps, and give memory back that nothing uses."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgeframe.llm.bpe import utf8
-from edgeframe.llm.common import staged, text_of
+from edgeframe.llm.common import kept_in_worker, let_go, staged, text_of
 
 WORDS = 5
 COORDINATES = 64
@@ -38,7 +38,7 @@ PERCENT = 75
 #: Members of a tile of a posting.
 TILE = 1024
 #: Distinct words a worker remembers.
-MEMORY = 800_000
+MEMORY = 200_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -130,11 +130,8 @@ def class_key(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-_shinglers: dict[int, Shingler] = {}
-
-
 def _shingler(words: int) -> Shingler:
-    return _shinglers.setdefault(words, Shingler(words))
+    return kept_in_worker(("shingles", words), lambda: Shingler(words))
 
 
 def signed(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
@@ -196,6 +193,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose full sets are similar enough."""
 
     def run(batches):
+        let_go()
         for batch in batches:
             first, second = batch.column("_set_a"), batch.column("_set_b")
             held = [similar(x.as_py(), y.as_py(), percent) for x, y in zip(first, second)]
@@ -222,8 +220,9 @@ def star_pairs(postings: DataFrame, classes: DataFrame, matches: int, percent: i
     centres = postings.groupBy("token").agg(
         F.max(F.struct("hub", "id")).alias("c"), F.count(F.lit(1)).alias("many")
     )
+    centres = staged(centres.where("many > 1").select("token", F.col("c.id").alias("a")), "minhash-hubs")
     pairs = (
-        postings.join(centres.where("many > 1").select("token", F.col("c.id").alias("a")), "token")
+        postings.join(centres, "token")
         .where("id != a")
         .select("a", F.col("id").alias("b"))
         .distinct()
@@ -262,6 +261,7 @@ def tiles(postings: DataFrame, labels: DataFrame, tile: int) -> DataFrame:
         .where("_lo < _hi")
         .select("token", F.ceil(F.col("_many") / tile).cast("int").alias("_tiles"))
     )
+    mixed = staged(mixed, "minhash-mixed")
     block = F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int")
     members = placed.join(mixed, "token").withColumn("_block", block)
     # A member meets every block of its posting: once as the lower, once as the higher one.
@@ -377,6 +377,7 @@ def tile_links(
     signed_rows = dealt.join(classes.select("id", "n_shingles", "_mask", "_signature"), "id")
 
     def needed(batches):
+        let_go()
         for rows, edges in _whole_tiles(batches):
             tile = _Tile(rows, matches, percent)
             hit = np.zeros(len(rows), bool)
@@ -388,6 +389,7 @@ def tile_links(
     ready = staged(asked, "minhash-asked").join(sets, "id")
 
     def linked(batches):
+        let_go()
         for rows, edges in _whole_tiles(batches):
             tile = _Tile(rows, matches, percent)
             shingles = rows.column("_set").to_pylist()
@@ -482,7 +484,7 @@ def report(
     named = classes.select("_class", "id", F.col("doc_id").alias("_least")).join(labels, "id", "left")
     named = named.withColumn("label", F.coalesce("label", "id"))
     least = named.groupBy("label").agg(F.min("_least").alias("component_id"))
-    of_class = named.join(least, "label").select("_class", "component_id")
+    of_class = staged(named.join(least, "label").select("_class", "component_id"), "minhash-result")
     joined = documents.join(of_class, "_class", "left")
     alone = F.when(F.col("_class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select(
@@ -499,7 +501,10 @@ def _labels(
     tokens = classes.select("id", F.posexplode("_signature").alias("at", "value")).select(
         "id", "at", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value")).alias("token")
     )
+    # Small sides of joins are read from tables: they have no partitioning of their own then, so
+    # both sides are shuffled for the join and Spark may split a frequent token or a large class.
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    counts = staged(counts, "minhash-counts")
     held = (
         tokens.join(counts, "token")
         .groupBy("id")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgeframe.llm.bpe import utf8
-from edgeframe.llm.common import staged, text_of
+from edgeframe.llm.common import free_name, kept_in_worker, staged, text_of
 
 #: Labelled rows that are learned from, at most.
 SAMPLE = 20_000
@@ -40,8 +40,9 @@ SHORTEST, LONGEST = 4, 10
 SURE = 2.2
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
-#: Pieces a worker remembers.
-MEMORY = 800_000
+#: Pieces a worker remembers, and stems it counts before it hands its counts on.
+MEMORY = 200_000
+HELD = 200_000
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
@@ -275,11 +276,7 @@ def _beginnings(text: bytes) -> set[str]:
 def _stem_counts(sample: DataFrame) -> DataFrame:
     """(``stem``, ``toxic``, ``clean``): texts of the sample that have the stem."""
 
-    def run(batches):
-        counts = (Counter(), Counter())
-        for batch in batches:
-            for text, toxic in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
-                counts[bool(toxic)].update(_beginnings(text))
+    def told(counts):
         names = list(counts[0].keys() | counts[1].keys())
         for at in range(0, len(names), 50_000):
             some = names[at : at + 50_000]
@@ -291,6 +288,16 @@ def _stem_counts(sample: DataFrame) -> DataFrame:
                 }
             )
 
+    def run(batches):
+        counts = (Counter(), Counter())
+        for batch in batches:
+            for text, toxic in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
+                counts[bool(toxic)].update(_beginnings(text))
+                if len(counts[0]) + len(counts[1]) > HELD:
+                    yield from told(counts)
+                    counts = (Counter(), Counter())
+        yield from told(counts)
+
     found = sample.mapInArrow(run, "stem string, toxic long, clean long")
     return found.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
@@ -355,14 +362,8 @@ def train(
     return model
 
 
-_readers: dict[str, Reader] = {}
-
-
 def _reader(model: str) -> Reader:
-    if model not in _readers:
-        _readers.clear()
-        _readers[model] = Reader(Model.from_json(model).stems)
-    return _readers[model]
+    return kept_in_worker(("toxicity", model), lambda: Reader(Model.from_json(model).stems))
 
 
 def scored(
@@ -371,13 +372,15 @@ def scored(
     """``docs`` (or its columns ``carry``) with a score from 0 to 1; null text counts as empty."""
     kept = [c for c in (docs.columns if carry is None else carry) if c.lower() != score.lower()]
     known, weights, bias = model.to_json(), np.array(model.weights), model.bias
-    rows = docs.select(*kept, F.col(text).cast("string").alias("_text_"))
+    # A text that is carried along is sent once.
+    read = text if text in kept else free_name(docs.select(*kept), "_text_")
+    rows = docs.select(*kept, *([] if text in kept else [F.col(text).cast("string").alias(read)]))
     schema = docs.select(*kept).schema.add(score, T.DoubleType())
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         reader = _reader(known)
         for batch in batches:
-            lists = [reader.features(t) for t in utf8(batch.column("_text_"))]
+            lists = [reader.features(t) for t in utf8(batch.column(read))]
             z = np.array(lists).reshape(-1, FEATURES) @ weights + bias
             values = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             yield pa.RecordBatch.from_arrays(
