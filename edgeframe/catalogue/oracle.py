@@ -576,6 +576,11 @@ ORACLE = {
         select market, recv_ns // {HOUR_NS} * {HOUR_NS} as tick_start_ns, count(*) as messages,
                cast(sum(cast(recv_ns >= ts_ns as integer)) as bigint) as samples
         from q group by 1, 2 having tick_start_ns + {HOUR_NS} <= (select mark from w)""",
+    "stream_counts_all": f"""
+        with q as ({QUOTES})
+        select market, recv_ns // {HOUR_NS} * {HOUR_NS} as tick_start_ns, count(*) as messages,
+               cast(sum(cast(recv_ns >= ts_ns as integer)) as bigint) as samples
+        from q group by 1, 2""",
     "stream_arb": _SIGNALS,
     "stream_latest": _LATEST,
     "stream_capped": f"""

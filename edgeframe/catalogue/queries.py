@@ -601,6 +601,14 @@ def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def stream_counts_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of every hour, open or closed, from a stream resumed after each part."""
+    ticks = streams.TickTable(scratch(spark, "tick-table"), HOUR_NS)
+    for landed in _land(spark, sf):
+        ticks.start(landed, availableNow=True).awaitTermination()
+    return ticks.ticks(spark)
+
+
 def stream_arb(spark: SparkSession, sf: str) -> DataFrame:
     monitor_ = streams.ArbStream(scratch(spark, "arb"), fx.VENUES)
     for landed in _land(spark, sf):
@@ -695,6 +703,7 @@ QUERIES = {
     "engine_stats": engine_stats,
     "health_view": health_view,
     "stream_counts": stream_counts,
+    "stream_counts_all": stream_counts_all,
     "stream_arb": stream_arb,
     "stream_latest": stream_latest,
     "stream_capped": stream_capped,

@@ -9,7 +9,9 @@ import argparse
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from edgeframe.defaults import TICK_NS
 from edgeframe.operators import monitor as stats_ops
 from edgeframe.operators import serving
 from edgeframe.plans import forecast, ingest
@@ -17,6 +19,9 @@ from edgeframe.session import ship
 from edgeframe.sources import lake, quotes, weather
 from edgeframe.streaming import monitor as streams
 
+#: How far behind the newest quote a tick must end to be in ``stats``.
+LATENESS_NS = 10_000_000_000
+
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Observations (or daily weather) and a fallback to the feature lake."""
@@ -47,20 +52,24 @@ def run_monitor(spark: SparkSession, args: argparse.Namespace) -> None:
     signals = streams.ArbStream(f"{args.out}/arb", args.venues)
     running = [
         signals.start(decoded, **trigger),
-        streams.append_table(
-            streams.tick_stream(decoded), f"{args.out}/ticks", f"{args.out}/ticks-checkpoint",
-            **trigger,
-        ),
+        streams.TickTable(f"{args.out}/tick-table").start(decoded, **trigger),
     ]
     for query in running:
         query.awaitTermination()
 
 
 def run_stats(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """Counters and availability per tick from the monitor's tables, and the newest signals."""
+    """Counters and availability per tick from the monitor's tables, and the newest signals.
+
+    ``stats_all`` has every tick and signal there is. ``stats``, which is returned, has the ticks
+    that end ``LATENESS_NS`` before the newest quote, and so rarely change any more.
+    """
     signals = streams.ArbStream(f"{args.out}/arb", args.venues).signals(spark)
-    ticks = spark.read.parquet(f"{args.out}/ticks")
-    stats = stats_ops.running_stats(streams.counts_of(ticks, signals))
+    table = streams.TickTable(f"{args.out}/tick-table")
+    counts = streams.counts_of(table.ticks(spark), signals)
+    stats_ops.running_stats(counts).write.mode("overwrite").parquet(f"{args.out}/stats_all")
+    closed = (F.col("tick") + 1) * TICK_NS <= F.lit(table.final_before(spark, LATENESS_NS))
+    stats = stats_ops.running_stats(counts.where(closed))
     stats.write.mode("overwrite").parquet(f"{args.out}/stats")
     feed = serving.capped_list(signals, ["market"], ["ts_ns", "seq"])
     feed.write.mode("overwrite").parquet(f"{args.out}/feed")

@@ -103,13 +103,61 @@ class ArbStream:
         return tables.current(spark, f"{self.path}/book")
 
 
+class TickTable:
+    """Messages and latency samples of every (market, tick) so far, however late they come.
+
+    There is no watermark, so ticks that are still open are there and no row is dropped. Each
+    micro-batch writes the counts of its own rows to one folder, which a repeated batch
+    replaces; readers add them up.
+    """
+
+    def __init__(self, path: str, tick_ns: int = TICK_NS):
+        self.path, self.tick_ns = path, tick_ns
+
+    def start(self, quotes: DataFrame, **trigger) -> StreamingQuery:
+        """Run until stopped, or over what is there with ``availableNow=True``."""
+        writer = (
+            quotes.writeStream.foreachBatch(self.process)
+            .option("checkpointLocation", f"{self.path}/checkpoint")
+        )
+        return (writer.trigger(**trigger) if trigger else writer).start()
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy("market", tick_of(self.tick_ns).alias("tick")).agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.sum(F.coalesce((latency_us() >= 0).cast("long"), F.lit(0))).alias("samples"),
+            F.max("recv_ns").alias("last_ns"),
+        )
+        counts.write.mode("overwrite").parquet(f"{self.path}/counts/batch={batch_id}")
+
+    def _counted(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/counts").drop("batch")
+
+    def ticks(self, spark: SparkSession) -> DataFrame:
+        """``market``, ``tick_start_ns``, ``messages``, ``samples`` of all ticks with a message."""
+        return (
+            self._counted(spark)
+            .groupBy("market", "tick")
+            .agg(F.sum("messages").alias("messages"), F.sum("samples").alias("samples"))
+            .select(
+                "market", (F.col("tick") * self.tick_ns).alias("tick_start_ns"), "messages", "samples"
+            )
+        )
+
+    def final_before(self, spark: SparkSession, lateness_ns: int) -> int | None:
+        """Ticks that end by this time lie ``lateness_ns`` behind the newest row; None without rows."""
+        newest = self._counted(spark).agg(F.max("last_ns")).first()[0]
+        return None if newest is None else newest - lateness_ns
+
+
 def tick_stream(
     quotes: DataFrame, tick: str = "1 second", lateness: str = "10 seconds"
 ) -> DataFrame:
     """Messages and latency samples per (market, tick), final once the watermark passes.
 
-    Ticks without messages cannot appear here; ``monitor.running_stats`` adds them when it
-    reads this stream's output.
+    Only closed ticks come out, and rows behind the watermark are dropped: ``TickTable`` has
+    both. Ticks without messages cannot appear here; ``monitor.running_stats`` adds them when
+    it reads this stream's output.
     """
     received = F.timestamp_micros(F.expr("recv_ns div 1000"))
     return (
@@ -130,14 +178,19 @@ def tick_stream(
 
 
 def counts_of(ticks: DataFrame, signals: DataFrame, tick_ns: int = TICK_NS) -> DataFrame:
-    """The tick stream's table and the signal table as input of ``monitor.running_stats``."""
+    """Tick counts and the signal table as input of ``monitor.running_stats``.
+
+    Signals of a tick that ``ticks`` does not have are kept, with no messages.
+    """
     found = signals.groupBy("market", tick_of(tick_ns, "ts_ns").alias("tick")).agg(
         F.count(F.lit(1)).alias("signals")
     )
     counted = ticks.select(
         "market", tick_of(tick_ns, "tick_start_ns").alias("tick"), "messages", "samples"
     )
-    return counted.join(found, ["market", "tick"], "left").fillna(0, subset=["signals"])
+    return counted.join(found, ["market", "tick"], "full").fillna(
+        0, subset=["messages", "samples", "signals"]
+    )
 
 
 def append_table(

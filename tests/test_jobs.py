@@ -54,3 +54,19 @@ def test_monitor_then_stats(spark, fresh):
     assert last["hot"].messages_processed == len(closed)
     assert 0 < last["hot"].arb_opportunities <= len(closed)
     assert spark.read.parquet(f"{out}/feed").groupBy("market").count().count() > 0
+
+
+def test_stats_all_has_every_quote_and_signal(spark, fresh):
+    landing, out = fresh("landing"), fresh("monitor")
+    rows = []
+    for market, seq, venue, bid, ask in random_quotes(150, 21):
+        body = dict(venue=venue, market=market, yes_bid=bid, yes_ask=ask, seq=seq, ts_ns=seq * 10**8)
+        rows.append((f"book.{venue}", json.dumps(body), seq * 10**8 + 5000))
+    spark.createDataFrame(rows, schemas.MESSAGE).write.json(landing)
+    jobs.main(["monitor", "--landing", landing, "--once", "--out", out])
+    jobs.main(["stats", "--out", out])
+    stats = spark.read.parquet(f"{out}/stats_all")
+    last = serving.latest_by_key(stats, ["market"], ["tick"]).collect()
+    assert sum(r.messages_processed for r in last) == 150
+    signals = spark.read.parquet(f"{out}/arb/signals").count()
+    assert sum(r.arb_opportunities for r in last) == signals > 0

@@ -126,6 +126,30 @@ def test_tick_stream_matches_batch_counts(spark, fresh):
     assert got == {k: v for k, v in want.items() if k[1] + 1 <= closed}
 
 
+def test_tick_table_has_open_ticks_and_late_rows(spark, fresh):
+    second, rng = 1_000_000_000, random.Random(2)
+    schema = "market string, seq long, ts_ns long, recv_ns long"
+    rows = [
+        (rng.choice("ab"), i, i * second // 3 - rng.randint(-9, 9), i * second // 3)
+        for i in range(90)
+    ]
+    late = [("a", 90, 0, second // 2), ("c", 91, 0, 2 * second)]
+    table = streams.TickTable(fresh("ticks"))
+    for i, part in enumerate((rows[:40], rows[40:], late)):
+        for _ in range(2):  # a repeated batch changes nothing
+            table.process(spark.createDataFrame(part, schema), i)
+    found = table.ticks(spark)
+    got = {(r.market, r.tick_start_ns // second): (r.messages, r.samples) for r in found.collect()}
+    counts = monitor.tick_counts(spark.createDataFrame(rows + late, schema))
+    assert got == {(r.market, r.tick): (r.messages, r.samples) for r in counts.collect()}
+    assert sum(n for n, _ in got.values()) == len(rows) + len(late)
+
+    signals = spark.createDataFrame([("a", 0), ("z", 5 * second)], "market string, ts_ns long")
+    joined = {(r.market, r.tick): r for r in streams.counts_of(found, signals).collect()}
+    assert joined["a", 0].signals == 1 and joined["a", 0].messages == got["a", 0][0]
+    assert (joined["z", 5].messages, joined["z", 5].samples, joined["z", 5].signals) == (0, 0, 1)
+
+
 def test_latest_and_capped_tables(spark, fresh):
     def frame(rows):
         return spark.createDataFrame(rows, "k string, seq long, v string")
