@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgeframe.llm.bpe import utf8
-from edgeframe.llm.common import kept_in_worker, let_go, staged, text_of
+from edgeframe.llm.common import free_name, kept_in_worker, let_go, staged, text_of
 
 WORDS = 5
 COORDINATES = 64
@@ -40,6 +40,9 @@ TILE = 1024
 #: Distinct words a worker remembers.
 MEMORY = 200_000
 
+#: What a document is known by: key, hash of its text, and a row number if it has no key.
+_ROW = ["doc_id", "_mark", "_place"]
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -135,8 +138,8 @@ def _shingler(words: int) -> Shingler:
 
 
 def signed(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
-    """(``doc_id``, ``_mark``, ``_class``, ``n_shingles``, ``_signature``) of every document."""
-    schema = docs.select("doc_id", "_mark").schema
+    """(``doc_id``, ``_mark``, ``_place``, ``_class``, ``n_shingles``, ``_signature``) of all rows."""
+    schema = docs.select(*_ROW).schema
     schema = schema.add("_class", T.BinaryType()).add("n_shingles", T.LongType())
     schema = schema.add("_signature", T.ArrayType(T.IntegerType()))
 
@@ -152,8 +155,7 @@ def signed(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    batch.column("_mark"),
+                    *[batch.column(c) for c in _ROW],
                     pa.array([class_key(s) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     lists,
@@ -465,10 +467,28 @@ def report(
     links but never name a component that has another key; repeated rows share a component. An
     empty table gives no rows.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), text_of(text).alias("text"))
+    place = free_name(docs, "_place")
+    placed = docs.withColumn(place, F.lit(0).cast("long"))
+    found = _judged(placed, key, text, place, words, percent, coordinates, matches, tile)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept)
+
+
+def _judged(
+    docs: DataFrame, key: str, text: str, place: str,
+    words: int = WORDS, percent: int = PERCENT, coordinates: int = COORDINATES,
+    matches: int = MATCHES, tile: int = TILE,
+) -> DataFrame:
+    """Every row's ``_ROW``, ``n_shingles``, ``component_id`` and whether it ``stays``.
+
+    The first of a component by (null key last, key, text hash, ``place``) stays.
+    """
+    rows = docs.select(
+        F.col(key).alias("doc_id"), text_of(text).alias("text"), F.col(place).alias("_place")
+    )
     rows = rows.withColumn("_mark", F.xxhash64("text"))
     documents = staged(signed(rows, words, coordinates), "minhash-documents")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_mark"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), *_ROW))
     classes = (
         documents.where(F.col("_class").isNotNull())
         .groupBy("_class")
@@ -477,21 +497,24 @@ def report(
             F.first("n_shingles").alias("n_shingles"),
             F.first("_signature").alias("_signature"),
         )
-        .select("_class", "_first.doc_id", "_first._mark", "n_shingles", "_signature")
+        .select("_class", "_first", "_first.doc_id", "_first._mark", "n_shingles", "_signature")
     )
     classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
     labels = _labels(rows, classes, words, percent, matches, tile)
-    named = classes.select("_class", "id", F.col("doc_id").alias("_least")).join(labels, "id", "left")
+    named = classes.select("_class", "id", "_first").join(labels, "id", "left")
     named = named.withColumn("label", F.coalesce("label", "id"))
-    least = named.groupBy("label").agg(F.min("_least").alias("component_id"))
-    of_class = staged(named.join(least, "label").select("_class", "component_id"), "minhash-result")
+    least = named.groupBy("label").agg(F.min("_first").alias("_least"))
+    of_class = staged(named.join(least, "label").select("_class", "_least"), "minhash-result")
     joined = documents.join(of_class, "_class", "left")
-    alone = F.when(F.col("_class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    alone = F.col("_class").isNull()
+    same = F.lit(True)
+    for name in _ROW:
+        same = same & F.col(name).eqNullSafe(F.col(f"_least.{name}"))
     return joined.select(
-        "doc_id",
+        *_ROW,
         "n_shingles",
-        alone.alias("component_id"),
-        F.col("doc_id").eqNullSafe(alone).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("_least.doc_id")).alias("component_id"),
+        (alone | same).alias("stays"),
     )
 
 
@@ -541,9 +564,24 @@ def _labels(
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component; rows without a key stay."""
-    verdicts = report(docs, key, text, **options)
-    gone = verdicts.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias(key)
+    """``docs`` with one document of each component; columns as they were.
+
+    Keys may repeat or be null: rows go by key and text, those without a key by row. Rows that
+    repeat both the key and the text of the document that stays all stay; ``exact`` removes these.
+    """
+    place, mark, gone_id, gone_mark, gone_place = (
+        free_name(docs, f"_{name}") for name in ("place", "text_mark", "gone_id", "gone_mark", "gone_place")
+    )
+    # Only rows without a key need numbers, so only they are written.
+    unnamed = docs.where(F.col(key).isNull()).withColumn(place, F.monotonically_increasing_id() + 1)
+    named = docs.where(F.col(key).isNotNull()).withColumn(place, F.lit(0).cast("long"))
+    placed = named.unionAll(staged(unnamed, "minhash-unnamed"))
+    gone = _judged(placed, key, text, place, **options).where(~F.col("stays"))
+    gone = gone.select(*_ROW).distinct().toDF(gone_id, gone_mark, gone_place)
+    marked = placed.withColumn(mark, F.xxhash64(text_of(text)))
+    same = (
+        F.col(key).eqNullSafe(F.col(gone_id))
+        & (F.col(mark) == F.col(gone_mark))
+        & (F.col(place) == F.col(gone_place))
     )
-    return docs.join(gone.distinct(), key, "left_anti").select(*docs.columns)
+    return marked.join(gone, same, "left_anti").select(*docs.columns)

@@ -155,5 +155,24 @@ def test_stage_keeps_one_of_each_component(frame, rows):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == wanted
 
 
+def test_stage_with_repeated_and_null_keys(frame, prose):
+    rng = random.Random(3)
+
+    def near(text):
+        return " ".join(_near(text.split(), 1, rng))
+
+    copied, twice, unnamed, named = (prose(120, 900 + i) for i in range(4))
+    rows = [
+        (1, copied), (5, near(copied)), (5, prose(60, 910)),  # the second 5 is unrelated
+        (7, twice), (7, near(twice)),
+        (None, unnamed), (None, near(unnamed)), (None, unnamed), (None, prose(60, 911)),
+        (9, named), (None, near(named)),
+    ]
+    groups = [rows[:2], [rows[2]], rows[3:5], rows[5:8], [rows[8]], rows[9:]]
+    kept = [(r.doc_id, r.text) for r in minhash.deduplicated(frame(rows)).collect()]
+    assert [sum(k in group for k in kept) for group in groups] == [1] * len(groups)
+    assert len(kept) == len(groups) and rows[0] in kept and rows[9] in kept
+
+
 def test_empty_table(frame):
     assert minhash.report(frame([(1, "a")]).where("false")).count() == 0
