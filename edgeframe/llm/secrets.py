@@ -152,7 +152,9 @@ def _in_cells(spans: DataFrame, reach: int, around: int) -> DataFrame:
 def linked(spans: DataFrame, reach: int = REACH) -> DataFrame:
     """The weak spans near complementary parts; those inside a strong span are left out.
 
-    Two spans are near if at most ``reach`` code points lie between them.
+    Two spans are near if at most ``reach`` code points lie between them. A weak secret that ends
+    with an assignment, as in ``my_token=...``, is the same one with more of its name, and left
+    out too; other weak spans that contain or cross a strong one are kept.
     """
     strong = [ORDER[k.name] for k in KINDS if k.strong]
     weak = spans.where(~F.col("kind").isin(strong))
@@ -175,12 +177,14 @@ def linked(spans: DataFrame, reach: int = REACH) -> DataFrame:
             )
     held_spans = seen.where(held).select("_row", "kind", "start", "end")
     covers = cells.where(F.col("kind").isin(strong)).select(
-        "_row", "cell", F.col("start").alias("from"), F.col("end").alias("to")
-    )
+        "_row", "cell", F.col("start").alias("from"), F.col("end").alias("to"),
+        (F.col("kind") == ORDER["assign"]).alias("assigned"),
+    )
+    named = F.col("assigned") & (F.col("end") == F.col("to")) & (F.col("kind") == ORDER["key_secret"])
     inside = (
         _in_cells(held_spans, reach, 0)
         .join(covers, ["_row", "cell"])
-        .where((F.col("start") < F.col("to")) & (F.col("from") < F.col("end")))
+        .where(((F.col("from") <= F.col("start")) & (F.col("end") <= F.col("to"))) | named)
         .select("_row", "kind", "start", "end")
     )
     return held_spans.join(inside, ["_row", "kind", "start", "end"], "left_anti")
