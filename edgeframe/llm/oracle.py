@@ -106,3 +106,90 @@ select page_id, cast(strlen(html) as bigint) payload_bytes, digest payload_diges
        url_key, row_number() over (order by url_key, page_id) - 1 as position
 from k
 """
+
+ORACLE["op11_trie"] = """
+with own as (
+  select conv_id, list(struct_pack(k := m, x := coalesce(text, '')) order by turn nulls first, m) turns
+  from (select *, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) m
+        from conversations where conv_id is not null)
+  group by conv_id
+), crc as (
+  select conv_id, turns, conv_id - conv_id % 100 base,
+         xor(list_reduce(
+               list_prepend(4294967295::bigint,
+                            list_transform(string_split(conv_id::varchar, ''), lambda s : ascii(s)::bigint)),
+               lambda c, b : list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+                                  lambda v, z : case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end)),
+             4294967295) % 6 h
+  from own
+), paths as (
+  select c.conv_id, list_concat(coalesce(list_slice(b.turns, 1, c.h), []), list_slice(c.turns, c.h + 1, len(c.turns))) path
+  from crc c left join own b on b.conv_id = c.base
+), steps as (
+  select conv_id, len(path) size, d, array_to_string(list_transform(list_slice(path, 1, d), lambda t : t.k), '') k,
+         case when d > 0 then length(path[d].x) else 0 end chars
+  from (select *, unnest(range(0, len(path) + 1)) d from paths)
+), nodes as (
+  select k, d, min(conv_id) conv_id, count(*) n, max(chars) chars,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (size = d), '')) ends
+  from steps group by k, d
+), kids as (
+  select substr(k, 1, 32 * (d - 1)) k, count(*) n from nodes where d > 0 group by 1
+), below as (
+  select substr(k, 1, 32 * a) k, sum(saved) saved, sum(leaf) leaves
+  from (select u.k, (u.n - 1) * u.chars saved, case when c.n is null then 1 else 0 end leaf, unnest(range(0, u.d + 1)) a
+        from nodes u left join kids c on c.k = u.k)
+  group by 1
+)
+select v.conv_id, v.d as depth, p.conv_id parent_conv_id, v.n n_convs, coalesce(c.n, 0) n_children,
+       cast(b.leaves as bigint) n_leaves, cast(b.saved as bigint) saved_tokens, v.ends ends_sha256
+from nodes v join below b on b.k = v.k left join kids c on c.k = v.k
+left join nodes p on v.d > 0 and p.k = substr(v.k, 1, 32 * (v.d - 1))
+"""
+
+ORACLE["op12_mixing"] = r"""
+with d as (
+  select row_number() over () nr, doc_id, source, md5('0:' || coalesce(doc_id::varchar, '')) h, md5(coalesce(text, '')) t,
+         cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) size
+  from documents
+), s as (
+  select source, cast(sum(size) as bigint) whole, row_number() over (order by source nulls last) - 1 as place,
+         [3, 1, 2][(row_number() over (order by source nulls last) - 1) % 3 + 1] weight
+  from d group by source
+), w as (
+  select *, sum(2 * whole) over upto caps, sum(weight) over upto weights,
+         sum(whole) over () total, sum(weight) over () every
+  from s window upto as (order by 2 * whole / weight, place)
+), c as (
+  select *, 2 * (caps * weight + 2 * whole * (every - weights)) < 3 * total * weight capped from w
+), l as (
+  select *, cast(3 * total - 2 * coalesce(sum(2 * whole) filter (capped) over (), 0) as bigint) level,
+         cast(2 * coalesce(sum(weight) filter (not capped) over (), 0) as bigint) parts
+  from c
+), g as (
+  select source, place, whole,
+         case when total = 0 then 0.0::double when capped then (2 * whole)::double
+              else cast(weight * level as double) / cast(parts as double) end target
+  from l
+), docs as (
+  select d.nr, d.doc_id, d.size, g.place, g.whole, g.target,
+         sum(d.size) over (partition by g.place order by h, t, nr rows unbounded preceding) - d.size as begin
+  from d join g on d.source is not distinct from g.source
+), pieces as (
+  select nr, place, b, greatest(begin, b * 1024) - b * 1024 as first, least(begin + size, b * 1024 + 1024) - b * 1024 as last
+  from (select *, unnest(range(cast(begin // 1024 as bigint), cast((begin + size - 1) // 1024 + 1 as bigint))) b
+        from docs where size > 0)
+), blocks as (
+  select place, target, b, epoch, least(1024, whole - b * 1024) size
+  from (select *, unnest(range(0, (whole + 1023) // 1024)) b from g), (values (0), (1)) e(epoch)
+  where epoch = 0 or floor(target) > whole
+), drawn as (
+  select place, b, least(size, floor(target) - before) take
+  from (select *, sum(size) over (partition by place order by epoch, md5('0:' || place || ':' || epoch || ':' || b)
+                                  rows unbounded preceding) - size as before from blocks)
+  where floor(target) > before
+), taken as (
+  select nr, sum(greatest(0, least(last, take) - first)) words from pieces join drawn using (place, b) group by nr
+)
+select doc_id, size, whole source_size, target, cast(coalesce(words, 0) as bigint) taken from docs left join taken using (nr)
+"""

@@ -9,13 +9,16 @@ from edgeframe.llm import (
     bpe,
     exact,
     minhash,
+    mixing,
     packing,
     secrets,
     sharding,
     topk,
     toxicity,
+    trie,
     urls,
     warc,
+    whitening,
 )
 from edgeframe.llm.common import table
 
@@ -76,6 +79,18 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"), vocabulary_path())
 
 
+def op11_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return trie.nodes(table(spark, sf, "conversations"), rebuilt=True)
+
+
+def op12_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.report(table(spark, sf, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_packing": op2_packing,
@@ -87,4 +102,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_exact": op9_exact,
     "op10_bpe": op10_bpe,
+    "op11_trie": op11_trie,
+    "op12_mixing": op12_mixing,
+    "op13_whitening": op13_whitening,
 }
