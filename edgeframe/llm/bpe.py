@@ -6,11 +6,12 @@ two: the first merge that crossed a border would also happen when the two neighb
 alone. Pairs are judged once and remembered, as sorted arrays, so checking all pairs of all new
 words of a batch is one ``searchsorted``. Words with a failing pair are merged step by step.
 
-Texts are cut at ASCII white space first: no token, normalisation or added token spans it. Each
-distinct piece is encoded once per worker while it stays in a table of bounded size; a text is
-then a lookup per piece. Plain Latin-1 letters are normalised and split by a pattern; any other
-piece goes through the normaliser and pre-tokenizer the vocabulary file names, so Unicode
-details are those of that file.
+Texts are cut at ASCII white space first: no token, normalisation or added token spans it. A
+batch of texts is cut, and its pieces are numbered, as Arrow arrays; each distinct piece of a batch
+is looked up once in a table of bounded size that a worker keeps, and the ids of all texts are
+gathered in one pass. New pieces of plain Latin-1 letters, with marks after them or not, are
+normalised and split as arrays too; any other piece goes through the normaliser and
+pre-tokenizer the vocabulary file names, so Unicode details are those of that file.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,13 +32,18 @@ from pyspark.sql import types as T
 from edgeframe.llm.common import kept_in_worker
 
 #: Distinct pieces a worker remembers before it starts anew; bounds its memory, not its results.
-MEMORY = 500_000
+MEMORY = 1_000_000
+#: Bytes of texts that are encoded together, unless a single text is longer.
+GROUP_BYTES = 6 << 20
 
 # What the byte-level alphabet maps to itself.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 #: Letters of this range have one normal form and one lower case in every Unicode version.
 _PLAIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+_PLAIN_ONLY = "^[\x01-\x7fÀ-ÖØ-öø-ÿ]*$"
+#: Letters, then what is neither letter nor digit: at most two words, with nothing to contract.
+_TWO_WORDS = "^(?P<word>[a-zß-öø-ÿ]*)(?P<mark>[^ \t\n\r\x0b\x0c\x00a-z0-9ß-öø-ÿ]*)$"
 _SPLIT = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\r\x0b\x0c\x00a-z0-9ß-öø-ÿ]+|\x00+"
 )
@@ -207,7 +214,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._pieces: dict[bytes, int] = {}
+        self._pieces = pa.array([], pa.large_string())
         self._flat, self._starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     # --- from a piece of text to words ------------------------------------------------
@@ -272,90 +279,146 @@ class Encoder:
             self._fits = np.concatenate([self._fits, fits[~held]])[order]
         return fits
 
-    def _encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the (non-empty) words, end to end, and how many each has."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        places = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    def _encode_words(self, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the (non-empty) words, given as bytes end to end, and how many each has."""
+        places = words.astype(np.int64)
         if self.v.end:
             places[np.cumsum(sizes) - 1] += 256
-        owner = np.repeat(np.arange(len(words)), sizes)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
         # One pass over all words: no entry goes on after the end of a word, nor over a border
         # between words without ends, as each is then looked up on its own.
         text = (places + 1).astype("<u4").tobytes().decode("utf-32-le")
         if self.v.end:
-            hits = list(self._greedy.iter_long(text))
+            hits = self._greedy.iter_long(text)
         else:
             ends = np.cumsum(sizes).tolist()
-            hits = [h for e, n in zip(ends, sizes.tolist()) for h in self._greedy.iter_long(text, e - n, e)]
-        found = np.array(hits, np.int64).reshape(-1, 2)
+            hits = (h for e, n in zip(ends, sizes.tolist()) for h in self._greedy.iter_long(text, e - n, e))
+        found = np.fromiter(chain.from_iterable(hits), np.int64).reshape(-1, 2)
         last, tokens = found[:, 0], found[:, 1]
         whose = owner[last]
         lengths = self._lengths[tokens]
         # A word is proposed only if its entries cover it; where they do not, it fails.
-        covered = np.bincount(whose, lengths, len(words))
+        covered = np.bincount(whose, lengths, len(sizes))
         wrong = covered != sizes
         inside = whose[1:] == whose[:-1]
         pairs = ((tokens[:-1] + 1) * len(self.v.names) + tokens[1:])[inside]
         for keys, of in ((tokens, whose), (pairs, whose[1:][inside])):
             distinct, back = np.unique(keys, return_inverse=True)
             wrong[of[~self._judged(distinct)[back]]] = True
-        self.seen += len(words)
+        self.seen += len(sizes)
         self.merged += int(wrong.sum())
         kept = ~wrong[whose]
         bad = wrong[owner]
         merged, many = self._merges.apply(self._symbol_ids[places[bad]], sizes[wrong])
-        counts = np.bincount(whose[kept], minlength=len(words))
+        counts = np.bincount(whose[kept], minlength=len(sizes))
         counts[wrong] = many
         ids = np.concatenate([tokens[kept].astype(np.int32), merged])
         of = np.concatenate([whose[kept], np.repeat(np.flatnonzero(wrong), many)])
         return ids[np.argsort(of, kind="stable")], counts
 
-    def _learn(self, pieces: Sequence[bytes]) -> None:
+    def _learn(self, pieces: pa.Array) -> None:
         """Encode the new ``pieces`` together."""
-        parts = [self._parts(p.decode("utf-8", "replace")) for p in pieces]
-        every = list(chain.from_iterable(parts))
-        words = list({w for w in every if w.__class__ is bytes})
-        added = sorted({w for w in every if w.__class__ is not bytes})
-        ids, counts = self._encode_words(words)
+        parted = pc.extract_regex(pc.utf8_lower(pieces), _TWO_WORDS)
+        easy = pc.and_(pc.match_substring_regex(pieces, _PLAIN_ONLY), parted.is_valid())
+        if self._added is not None:
+            easy = pc.and_not(easy, pc.match_substring_regex(pieces, self._added.pattern))
+        parted = parted.filter(easy)
+        hard = [self._parts(p) for p in pieces.filter(pc.invert(easy)).to_pylist()]
+        others = list(chain.from_iterable(hard))
+        added = sorted({w for w in others if w.__class__ is not bytes})
+        binary = pa.large_binary()
+        every = [parted.field("word").cast(binary), parted.field("mark").cast(binary)]
+        every.append(pa.array([w for w in others if w.__class__ is bytes], binary))
+        coded = pa.concat_arrays(every).dictionary_encode()
+        words, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        # An empty word, where a piece has no letters or no mark, has no ids.
+        sizes = pc.binary_length(words).to_numpy().astype(np.int64)
+        counts = np.zeros(len(sizes), np.int64)
+        ids, counts[sizes > 0] = self._encode_words(_bytes(words), sizes[sizes > 0])
         ids = np.concatenate([ids, np.array(added, np.int32)])
         counts = np.concatenate([counts, np.ones(len(added), np.int64)])
-        number = dict(zip([*words, *added], range(len(counts))))
-        which = np.fromiter(map(number.__getitem__, every), np.int64, len(every))
+
+        plain, part = easy.to_numpy(zero_copy_only=False), len(parted)
+        per_piece = np.full(len(pieces), 2, np.int64)
+        per_piece[~plain] = np.fromiter(map(len, hard), np.int64, len(hard))
+        first = np.cumsum(per_piece) - per_piece
+        which = np.empty(int(per_piece.sum()), np.int64)
+        which[first[plain]], which[first[plain] + 1] = codes[:part], codes[part : 2 * part]
+        number = dict(zip(added, range(len(sizes), len(counts))))
+        rest = iter(codes[2 * part :].tolist())
+        rows, columns = _ragged(per_piece[~plain])
+        which[first[~plain][rows] + columns] = np.fromiter(
+            (next(rest) if w.__class__ is bytes else number[w] for w in others), np.int64, len(others)
+        )
         flat = _gathered(ids, np.cumsum(counts) - counts, counts, which)
-        per_part = np.fromiter(map(len, parts), np.int64, len(parts))
         sums = np.concatenate([[0], np.cumsum(counts[which])])
-        ends = np.cumsum(per_part)
-        sizes = sums[ends] - sums[ends - per_part]
-        self._pieces.update(zip(pieces, range(len(self._pieces), len(self._pieces) + len(pieces))))
-        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+        lengths = sums[first + per_piece] - sums[first]
+        self._pieces = pa.concat_arrays([self._pieces, pieces])
+        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(lengths)])
         self._flat = np.concatenate([self._flat, flat])
 
     # --- texts ------------------------------------------------------------------------
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
-        """Ids of each text, in order; texts are handled in groups of a few megabytes."""
-        group: list[list[bytes]] = []
-        size = 0
-        for text in texts:
-            group.append(text.split())
-            size += len(text)
-            if size >= 1 << 22:
-                yield from self._group(group)
-                group, size = [], 0
-        yield from self._group(group)
-
-    def _group(self, group: list[list[bytes]]) -> Iterator[np.ndarray]:
-        fresh = {p for pieces in group for p in pieces}.difference(self._pieces)
-        if len(self._pieces) + len(fresh) > self._memory:
-            self._forget()
-            fresh = {p for pieces in group for p in pieces}
-        if fresh:
-            self._learn(list(fresh))
-        place = self._pieces.__getitem__
-        for pieces in group:
-            which = np.fromiter(map(place, pieces), np.int64, len(pieces))
-            first = self._starts[which]
-            yield _gathered(self._flat, self._starts, self._starts[which + 1] - first, which, True)
+        """Ids of each text, in order."""
+        array = pa.array([t.decode("utf-8", "replace") for t in texts], pa.large_string())
+        for flat, ends in self.encode_array(array):
+            yield from np.split(flat, ends[1:-1])
+
+    def encode_array(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of the texts end to end and where each begins, for groups of a few megabytes.
+
+        The groups are in order; the last number is where the last text of the group ends. A
+        null text counts as empty.
+        """
+        texts = valid_texts(texts)
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+        at = 0
+        while at < len(texts):
+            before = sizes[at - 1] if at else 0
+            count = max(1, int(np.searchsorted(sizes, before + GROUP_BYTES, "right")) - at)
+            yield self._group(texts.slice(at, count))
+            at += count
+
+    def _group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        pieces = pc.ascii_split_whitespace(texts)
+        coded = pieces.flatten().dictionary_encode()
+        which = self._places(coded.dictionary)[coded.indices.to_numpy()]
+        first = self._starts[which]
+        sizes = self._starts[which + 1] - first
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ends = np.concatenate([[0], np.cumsum(pieces.value_lengths().to_numpy())])
+        return _gathered(self._flat, self._starts, sizes, which, True), before[ends]
+
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """The numbers of distinct pieces in the table; new ones are learned."""
+        places = pc.fill_null(pc.index_in(distinct, self._pieces), -1).to_numpy().astype(np.int64)
+        fresh = places < 0
+        if fresh.any():
+            if len(self._pieces) + int(fresh.sum()) > self._memory:
+                self._forget()
+                fresh[:] = True
+            places[fresh] = len(self._pieces) + np.arange(int(fresh.sum()))
+            self._learn(distinct.filter(pa.array(fresh)))
+        return places
+
+
+def _bytes(values: pa.LargeBinaryArray) -> np.ndarray:
+    """The values end to end."""
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
+    if data is None or ends[0] == ends[-1]:
+        return np.empty(0, np.uint8)
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
+
+
+def valid_texts(texts: pa.Array) -> pa.Array:
+    """As large strings, without nulls; bytes that are no UTF-8 become replacement characters."""
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    try:
+        return texts.cast(pa.large_string())
+    except pa.ArrowInvalid:
+        return pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.large_string())
 
 
 def _gathered(
@@ -371,10 +434,12 @@ class Decoder:
     """Ids back to text: the names of the tokens, parted by a blank (the file names no decoder)."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self._names = [n.encode() for n in vocabulary.names]
+        self._names = pa.array([n.encode() for n in vocabulary.names], pa.large_binary())
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b" ".join(map(self._names.__getitem__, ids.tolist()))
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of ids given end to end, as ``encode_array`` gives them."""
+        names = self._names.take(pa.array(ids))
+        return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), names), pa.scalar(b" ", pa.large_binary()))
 
 
 def codec(text: str) -> tuple[Encoder, Decoder]:
@@ -415,12 +480,12 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(batches):
         encoder, _ = codec(vocabulary.value)
         for batch in batches:
-            lists = list(encoder.encode(utf8(batch.column(text))))
-            sizes = np.cumsum([0, *map(len, lists)])
-            flat = np.concatenate([np.empty(0, np.int32), *lists])
-            column = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat))
-            own = [batch.column(c) for c in kept]
-            yield pa.RecordBatch.from_arrays([*own, column], names=[*kept, ids])
+            at = 0
+            for flat, ends in encoder.encode_array(batch.column(text)):
+                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+                own = [batch.column(c).slice(at, len(column)) for c in kept]
+                at += len(column)
+                yield pa.RecordBatch.from_arrays([*own, column], names=[*kept, ids])
 
     return docs.mapInArrow(run, schema)
 
@@ -437,10 +502,12 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         encoder, decoder = codec(vocabulary.value)
         for batch in batches:
             counts, of_ids, of_text = [], [], []
-            for ids in encoder.encode(utf8(batch.column(1))):
-                counts.append(len(ids))
-                of_ids.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                of_text.append(hashlib.sha256(decoder.decode(ids)).hexdigest())
+            for ids, ends in encoder.encode_array(batch.column(1)):
+                counts += np.diff(ends).tolist()
+                data = memoryview(ids.astype("<u4")).cast("B")
+                cuts = (4 * ends).tolist()
+                of_ids += [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(cuts, cuts[1:])]
+                of_text += [hashlib.sha256(t.as_buffer()).hexdigest() for t in decoder.decode(ids, ends)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
                  pa.array(of_text, pa.string())],

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgeframe.llm.bpe import codec, read_vocabulary, utf8
+from edgeframe.llm.bpe import codec, read_vocabulary
 from edgeframe.llm.common import staged
 
 SIZE = 4096
@@ -74,10 +74,14 @@ class OpenBins:
                 yield name, free
 
 
-def cut(ids: np.ndarray, size: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(piece, start, ids) of a document."""
-    for piece, start in enumerate(range(0, len(ids), size)):
-        yield piece, start, ids[start : start + size]
+def cut(ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, piece, start, length) of all pieces of documents that begin at ``ends[:-1]``."""
+    lengths = np.diff(ends)
+    counts = -(-lengths // size)
+    document = np.repeat(np.arange(len(lengths)), counts)
+    piece = np.arange(len(document)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = piece * size
+    return document, piece, start, np.minimum(size, lengths[document] - start)
 
 
 def pieces(
@@ -103,24 +107,27 @@ def pieces(
 
     def run(batches):
         encoder, _ = codec(vocabulary.value)
-        end = np.array([end_id], np.int32)
         for batch in batches:
-            found = [
-                (row, piece, start, part)
-                for row, ids in enumerate(encoder.encode(utf8(batch.column(1))))
-                for piece, start, part in cut(np.concatenate([ids, end]), size)
-            ]
-            crcs = [zlib.crc32(part.astype("<u4").tobytes()) for *_, part in found]
-            columns = [
-                batch.column(0).take(pa.array([f[0] for f in found], pa.int32())),
-                pa.array([f[1] for f in found], pa.int32()),
-                pa.array([f[2] for f in found], pa.int64()),
-                pa.array([len(f[3]) for f in found], pa.int64()),
-                pa.array(crcs, pa.int64()),
-            ]
-            if with_ids:
-                columns.append(pa.array([f[3] for f in found], pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            at = 0
+            for flat, ends in encoder.encode_array(batch.column(1)):
+                # Every document gets its last id, all pieces lie end to end.
+                flat = np.insert(flat, ends[1:], end_id).astype(np.int32)
+                ends = ends + np.arange(len(ends))
+                document, piece, start, length = cut(ends, size)
+                data = memoryview(flat.astype("<u4")).cast("B")
+                cuts = np.append(4 * (ends[document] + start), 4 * ends[-1]).tolist()
+                columns = [
+                    batch.column(0).take(pa.array(document + at)),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array([zlib.crc32(data[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
+                ]
+                if with_ids:
+                    bounds = pa.array(np.append(ends[document] + start, ends[-1]), pa.int32())
+                    columns.append(pa.ListArray.from_arrays(bounds, pa.array(flat)))
+                at += len(ends) - 1
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
