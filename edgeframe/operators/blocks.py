@@ -6,8 +6,8 @@ decides the run time. Here the rows of a key are cut into blocks that follow the
 those block rows carries state from block to block; the rows themselves are only ever
 partitioned by (key, block). Results equal those of the plain window.
 
-The block column must be monotone in the order and bound the rows of a block, e.g.
-``day_blocks`` for one row per day or ``seq_blocks`` for unique sequence numbers.
+The block column must be monotone in the order and bound the rows of a block: ``day_blocks`` for
+one row per day, ``seq_blocks`` for dense unique numbers, ``bounded_blocks`` for any numbers.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgeframe.defaults import DAY_BLOCK, SEQ_BLOCK
+from edgeframe.storage import staged
 
 BLOCK = "_block"
 
@@ -32,6 +33,50 @@ def seq_blocks(seq: str = "seq", size: int = SEQ_BLOCK) -> Column:
     return F.expr(f"{seq} div {size}")
 
 
+def bounded_blocks(
+    df: DataFrame, keys: Sequence[str], order: Column, rows: int = SEQ_BLOCK
+) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` with ``_block`` by rows: at most ``2 * rows`` of a key, however ``order`` is spread.
+
+    Also the keys with more than one block, or None if there is none; ``keys`` must not be null.
+    A block is named by where its range of ``order`` (a long) begins. A key's range is cut into
+    equal widths for its number of rows; ranges that still hold too many are cut again between
+    their own least and largest value, until none does. So sparse numbers, such as times in
+    nanoseconds, give few blocks, and rows crowded into one moment give many. Only equal values
+    stay together, and nulls, which come first.
+    """
+    keys = list(keys)
+    marked = df.withColumn("_order", order)
+    bounds = [F.count(F.lit(1)).alias("_n"), F.min("_order").alias("_lo"), F.max("_order").alias("_hi")]
+    # One row per key that needs more than a block: few, even where keys are many.
+    wide = staged(marked.groupBy(*keys).agg(*bounds).where(F.col("_n") > rows), "wide-keys")
+    if wide.isEmpty():
+        return df.withColumn(BLOCK, F.lit(0).cast("long")), None
+    zero = F.lit(0).cast("long")
+    placed = _cells(marked.withColumn(BLOCK, zero), wide.withColumn(BLOCK, zero), keys, rows)
+    while True:
+        counts = placed.where(F.col("_in")).groupBy(*keys, BLOCK).agg(*bounds)
+        crowded = staged(counts.where((F.col("_n") > 2 * rows) & (F.col("_hi") > F.col("_lo"))), "crowded")
+        if crowded.isEmpty():
+            return placed.drop("_order", "_in"), wide.select(*keys)
+        placed = _cells(placed.drop("_in"), crowded, keys, rows)
+
+
+def _cells(rows: DataFrame, wide: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """``rows`` with the blocks of ``wide`` cut into cells; ``_in`` tells which rows those are."""
+    parts = F.ceil(F.col("_n") / size)
+    wide = wide.withColumn("_width", F.ceil((F.col("_hi") - F.col("_lo") + 1) / parts)).drop("_n", "_hi")
+    low = F.expr("_lo + (_order - _lo) div _width * _width")
+    cell = F.coalesce(low, F.col("_lo") - 1, F.lit(0).cast("long"))
+    # Few rows on the right, so Spark broadcasts them; if not, it splits hot keys on the left.
+    return (
+        rows.join(wide.withColumn("_in", F.lit(True)), [*keys, BLOCK], "left")
+        .withColumn("_in", F.coalesce("_in", F.lit(False)))
+        .withColumn(BLOCK, F.when(F.col("_in"), cell).otherwise(F.col(BLOCK)))
+        .drop("_lo", "_width")
+    )
+
+
 def in_block(keys: Sequence[str], order: Sequence) -> "Window":
     return Window.partitionBy(*keys, BLOCK).orderBy(*order)
 

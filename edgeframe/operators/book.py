@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgeframe.defaults import MIN_SPREAD_PCT
+from edgeframe.defaults import MIN_SPREAD_PCT, SEQ_BLOCK
 from edgeframe.functions.numeric import number
-from edgeframe.operators.blocks import BLOCK, seeds_first, seq_blocks, with_carried
+from edgeframe.operators.best_price import BASE, QUOTE, SEED, STATE, states
+from edgeframe.operators.blocks import BLOCK, bounded_blocks, seeds_first, with_carried
 from edgeframe.sources.quotes import latency_us
 
 ORDER = ["seq", "venue", "yes_bid", "yes_ask"]
@@ -23,98 +22,130 @@ def usable(quotes: DataFrame) -> DataFrame:
     return quotes.where((number(F.col("yes_bid")) > 0) & (number(F.col("yes_ask")) > 0))
 
 
-def _with_seeds(rows: DataFrame) -> DataFrame:
-    """``rows`` plus, in every block, the last quote of each venue before it, flagged ``_seed``.
+def _covering(low: Column, high: Column) -> Column:
+    """The aligned ranges (level, place) of 2 ** level numbers that together make [low, high]."""
+    none = F.array().cast("array<struct<level:int,at:bigint>>")
+    start = F.struct(low.alias("l"), high.alias("h"), none.alias("out"))
 
-    The last quote of a venue in a block stands until the venue's next block with a quote, so
-    each is copied to the blocks in between; neither plan nor rows grow with the venue names.
-    """
-    closing = (
-        rows.where(F.col("venue").isNotNull())
-        .groupBy("market", BLOCK, "venue")
-        .agg(F.max(F.struct("seq", "yes_bid", "yes_ask")).alias("_q"))
-    )
-    blocks = rows.select("market", BLOCK).distinct()
-    blocks = blocks.select(
-        F.col("market").alias("_m"),
-        F.col(BLOCK).alias("_b"),
-        F.row_number().over(Window.partitionBy("market").orderBy(BLOCK)).alias("_nr"),
-        F.count(F.lit(1)).over(Window.partitionBy("market")).cast("int").alias("_last"),
-    )
-    here = F.col("market").eqNullSafe(F.col("_m")) & F.col(BLOCK).eqNullSafe(F.col("_b"))
-    following = F.lead("_nr").over(Window.partitionBy("market", "venue").orderBy("_nr"))
-    reach = (
-        closing.join(blocks, here)
-        .withColumn("_to", F.coalesce(following, F.col("_last")))
-        .where(F.col("_nr") < F.col("_to"))
-        .select("market", "venue", "_q", F.explode(F.sequence(F.col("_nr") + 1, F.col("_to"))).alias("_at"))
-    )
-    there = F.col("market").eqNullSafe(F.col("_m")) & (F.col("_at") == F.col("_nr"))
-    seeds = reach.join(blocks, there).select(
-        "market", F.col("_b").alias(BLOCK), "venue", "_q.yes_bid", "_q.yes_ask", F.lit(True).alias("_seed")
-    )
-    return rows.withColumn("_seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
+    def take(s: Column, level: Column) -> Column:
+        def piece(at: Column, wanted: Column) -> Column:
+            return F.when(wanted, F.array(F.struct(level.alias("level"), at.alias("at")))).otherwise(none)
+
+        left = (s["l"] <= s["h"]) & (s["l"] % 2 == 1)
+        l = s["l"] + left.cast("long")
+        right = (l <= s["h"]) & (s["h"] % 2 == 0)
+        out = F.concat(s["out"], piece(s["l"], left), piece(s["h"], right))
+        h = s["h"] - right.cast("long")
+        # What is covered stays so: nothing lies in [l, -1].
+        h = F.when(l <= h, F.shiftright(h, 1)).otherwise(F.lit(-1).cast("long"))
+        return F.struct(F.shiftright(l, 1).alias("l"), h.alias("h"), out.alias("out"))
 
+    return F.aggregate(F.sequence(F.lit(0), _levels(high)), start, take)["out"]
 
-class _Side:
-    """The best price of one side of a book; the smallest venue name wins a tie."""
 
-    def __init__(self, sign: int) -> None:
-        self.sign, self.prices, self.best, self.holder = sign, {}, None, None
+def _levels(last: Column) -> Column:
+    """Halvings until numbers up to ``last`` are one range."""
+    return F.ceil(F.log2(last.cast("double") + 2)).cast("int")
 
-    def update(self, venue: str, price: float) -> None:
-        self.prices[venue] = price
-        lead = None if self.best is None else (price - self.best) * self.sign
-        if lead is None or lead > 0 or (lead == 0 and venue <= self.holder):
-            self.best, self.holder = price, venue
-        elif venue == self.holder:
-            extreme = max if self.sign > 0 else min
-            self.best = extreme(self.prices.values())
-            self.holder = min(v for v, p in self.prices.items() if p == self.best)
 
+def _carried(rows: DataFrame, wide: DataFrame) -> DataFrame:
+    """What the blocks of keys with several blocks must know of the blocks before.
 
-_STATE = "best_ask double, best_bid double, venue_count int, ask_venue string, bid_venue string"
+    A venue that quotes in a block needs its last quote before it: a ``SEED``, one per venue and
+    block. Of the venues silent in a block only the best price counts: one ``BASE`` row per block. A
+    quote stands silently over a range of blocks; it is entered in the few aligned ranges that make
+    it, and a block looks up those that hold it. So nothing is copied to every block in between.
+    """
+    rows = rows.join(wide, "_key", "left_semi")
+    closing = (
+        rows.where(F.col("_listed"))
+        .groupBy("_key", BLOCK, "venue")
+        .agg(F.max(F.struct("_late", "seq", "yes_bid", "yes_ask")).alias("_q"))
+    )
+    order = Window.partitionBy("_key").orderBy(BLOCK)
+    blocks = rows.select("_key", BLOCK).distinct().select(
+        "_key",
+        BLOCK,
+        (F.row_number().over(order) - 1).cast("long").alias("_nr"),
+        (F.count(F.lit(1)).over(Window.partitionBy("_key")) - 1).alias("_last"),
+    )
+    following = F.lead("_nr").over(Window.partitionBy("_key", "venue").orderBy("_nr"))
+    standing = closing.join(blocks, ["_key", BLOCK]).withColumn("_next", following)
+    seeds = standing.where("_next is not null").select(
+        "_key", F.col("_next").alias("_nr"), "venue", "_q.yes_bid", "_q.yes_ask", F.lit(SEED).alias("_kind")
+    )
+    high = F.coalesce(F.col("_next"), F.col("_last") + 1) - 1
+    silent = standing.withColumn("_high", high).where(F.col("_nr") < F.col("_high")).select(
+        "_key", F.inline(_covering(F.col("_nr") + 1, F.col("_high"))), "venue", "_q"
+    )
+    ask = F.struct(F.col("_q.yes_ask").alias("price"), F.col("venue"))
+    bid = F.struct((-F.col("_q.yes_bid")).alias("price"), F.col("venue"))
+    ranges = silent.groupBy("_key", "level", "at").agg(F.min(ask).alias("_ask"), F.min(bid).alias("_bid"))
+    holding = blocks.withColumn("level", F.explode(F.sequence(F.lit(0), _levels(F.col("_last")))))
+    holding = holding.withColumn("at", F.expr("shiftright(_nr, level)"))
+    best = holding.join(ranges, ["_key", "level", "at"]).groupBy("_key", "_nr").agg(
+        F.min("_ask").alias("_ask"), F.min("_bid").alias("_bid")
+    )
+    first = standing.groupBy("_key", "venue").agg(F.min("_nr").alias("_nr"))
+    newcomers = first.groupBy("_key", "_nr").agg(F.count(F.lit(1)).alias("_new"))
+    before = Window.partitionBy("_key").orderBy("_nr").rowsBetween(Window.unboundedPreceding, -1)
+    base = (
+        blocks.join(newcomers, ["_key", "_nr"], "left")
+        .withColumn("_seen", F.coalesce(F.sum("_new").over(before), F.lit(0)).cast("long"))
+        .join(best, ["_key", "_nr"], "left")
+        .select(
+            "_key",
+            "_nr",
+            F.col("_ask.venue").alias("venue"),
+            F.col("_bid.venue").alias("_other"),
+            F.col("_ask.price").alias("yes_ask"),
+            (-F.col("_bid.price")).alias("yes_bid"),
+            "_seen",
+            F.lit(BASE).alias("_kind"),
+        )
+    )
+    both = seeds.unionByName(base, allowMissingColumns=True)
+    return both.join(blocks.select("_key", BLOCK, "_nr"), ["_key", "_nr"]).drop("_nr")
 
 
 def book_state(
-    quotes: DataFrame, venues: Sequence[str] | None = None, block: Column | None = None
+    quotes: DataFrame,
+    venues: Sequence[str] | None = None,
+    block: Column | None = None,
+    rows: int = SEQ_BLOCK,
+    first: Column | None = None,
 ) -> DataFrame:
     """Every quote with best ask, best bid, their venues and the number of venues seen.
 
     The book is kept per market in sequence order, over all venues there are, or only the
-    listed ones; quotes of other venues, and of none, are rows that do not change it. A task
-    reads its blocks once, in order, holding one price pair per venue.
+    listed ones; quotes of other venues, and of none, are rows that do not change it. Quotes
+    for which ``first`` holds come before all others. A market is cut into blocks of at most
+    about ``rows`` quotes, or by ``block``, a column monotone in that order.
     """
-    rows = usable(quotes).withColumn(BLOCK, seq_blocks() if block is None else block)
-    listed = None if venues is None else frozenset(venues)
+    late = F.lit(True) if first is None else ~F.coalesce(first, F.lit(False))
+    listed = F.col("venue").isNotNull()
+    if venues is not None:
+        listed = listed & F.col("venue").isin(list(venues))
+    # Keys without nulls, so that plain joins keep a market without a name.
+    key = F.when(F.col("market").isNull(), "").otherwise(F.concat(F.lit("="), F.col("market").cast("string")))
+    marked = usable(quotes).withColumns({"_key": key, "_late": late, "_listed": listed})
+    if block is None:
+        marked, wide = bounded_blocks(marked, ["_key"], F.when(F.col("_late"), F.col("seq")).cast("long"), rows)
+    else:
+        marked = marked.withColumn(BLOCK, block)
+        wide = marked.select("_key").distinct()
+    dealt = marked.withColumns(
+        {"_kind": F.lit(QUOTE), "_other": F.lit(None).cast("string"), "_seen": F.lit(None).cast("long")}
+    )
+    if wide is not None:
+        dealt = dealt.unionByName(_carried(marked, wide), allowMissingColumns=True)
     names = quotes.columns
-    state = T.StructType.fromDDL(_STATE)
-    keys = ["market", BLOCK]
-    # Shuffled and sorted with the plain columns only; a block's seeds come before its rows.
-    order = [*keys, F.col("_seed").desc(), *ORDER]
-    dealt = _with_seeds(rows).repartition(*keys).sortWithinPartitions(*order)
-
-    def run(batches):
-        current, asks, bids = None, None, None
-        for batch in batches:
-            read = [batch.column(c).to_pylist() for c in (*keys, "venue", "yes_bid", "yes_ask")]
-            found = []
-            for market, number_, venue, bid, ask in zip(*read):
-                if current is None or current != (market, number_):
-                    current, asks, bids = (market, number_), _Side(-1), _Side(1)
-                if venue is not None and (listed is None or venue in listed):
-                    asks.update(venue, float(ask))
-                    bids.update(venue, float(bid))
-                found.append((asks.best, bids.best, len(asks.prices), asks.holder, bids.holder))
-            columns = [batch.column(c) for c in names]
-            for place, field in enumerate(state.fields):
-                kind = {"double": pa.float64(), "int": pa.int32(), "string": pa.string()}
-                columns.append(pa.array([f[place] for f in found], kind[field.dataType.simpleString()]))
-            whole = pa.RecordBatch.from_arrays(columns, names=[*names, *state.names])
-            yield whole.filter(pc.invert(batch.column("_seed")))
-
-    schema = T.StructType([*quotes.schema.fields, *state.fields])
-    return dealt.mapInArrow(run, schema)
+    place = ["_key", BLOCK]
+    # Base and seeds of a block come before its rows.
+    order = [*place, F.col("_kind").desc(), "_late", *ORDER]
+    dealt = dealt.repartition(*place).sortWithinPartitions(*order)
+    schema = T.StructType([*quotes.schema.fields, *T.StructType.fromDDL(STATE).fields])
+    return dealt.mapInArrow(states(names, place), schema)
 
 
 def arb_events(
@@ -122,6 +153,8 @@ def arb_events(
     venues: Sequence[str] | None = None,
     min_spread: float = MIN_SPREAD_PCT,
     block: Column | None = None,
+    rows: int = SEQ_BLOCK,
+    first: Column | None = None,
 ) -> DataFrame:
     """Every quote with ``spread_pct`` and whether it triggers a signal.
 
@@ -133,7 +166,7 @@ def arb_events(
         & (F.col("best_bid") > F.col("best_ask"))
         & (F.col("spread_pct") >= F.lit(min_spread))
     )
-    return book_state(quotes, venues, block).withColumn("spread_pct", spread).withColumn(
+    return book_state(quotes, venues, block, rows, first).withColumn("spread_pct", spread).withColumn(
         "is_signal", crossed
     )
 
@@ -158,9 +191,10 @@ def arb_signals(
     venues: Sequence[str] | None = None,
     min_spread: float = MIN_SPREAD_PCT,
     block: Column | None = None,
+    rows: int = SEQ_BLOCK,
 ) -> DataFrame:
     """Cross-venue arbitrage signals: buy at the best ask, sell at the best bid."""
-    return signals_of(arb_events(quotes, venues, min_spread, block))
+    return signals_of(arb_events(quotes, venues, min_spread, block, rows))
 
 
 def asof_forecast(
@@ -168,13 +202,16 @@ def asof_forecast(
     forecasts: DataFrame,
     fields: Sequence[str],
     time: str = "ts_ns",
-    span: int = 60_000_000_000,
+    span: int | None = None,
+    rows: int = SEQ_BLOCK,
 ) -> DataFrame:
     """Each quote with the latest forecast of its market at or before its time.
 
-    Both sides are put in one ordered table, cut into blocks of ``span`` time units, so
-    neither side is broadcast and a busy market is spread over its blocks.
+    Both sides are put in one ordered table, cut into blocks of about ``rows`` rows, or of
+    ``span`` time units, so neither side is broadcast and a busy market, or a busy minute of one,
+    is spread over its blocks.
     """
+    key = F.when(F.col("market").isNull(), "").otherwise(F.concat(F.lit("="), F.col("market").cast("string")))
     left = quotes.withColumns({"_time": F.col(time), "_side": F.lit(1)})
     right = forecasts.select(
         "market",
@@ -182,13 +219,15 @@ def asof_forecast(
         F.lit(0).alias("_side"),
         F.struct(*fields).alias("_seen"),
     )
-    both = left.unionByName(right, allowMissingColumns=True).withColumn(
-        BLOCK, F.expr(f"_time div {span}")
-    )
+    both = left.unionByName(right, allowMissingColumns=True).withColumn("_key", key)
+    if span is None:
+        both, _ = bounded_blocks(both, ["_key"], F.col("_time").cast("long"), rows)
+    else:
+        both = both.withColumn(BLOCK, F.expr(f"_time div {span}"))
     row = F.when(F.col("_side") == 0, F.struct("_time", "_side", "_seen"))
-    ends = both.groupBy("market", BLOCK).agg(F.max(row).alias("_slot"))
-    frame = seeds_first(["market"], ["_time", "_side", "_seen"])
-    filled = with_carried(both, ["market"], ends, ["_slot"]).withColumn(
+    ends = both.groupBy("_key", BLOCK).agg(F.max(row).alias("_slot"))
+    frame = seeds_first(["_key"], ["_time", "_side", "_seen"])
+    filled = with_carried(both, ["_key"], ends, ["_slot"]).withColumn(
         "_last", F.last("_seen", ignorenulls=True).over(frame)
     )
     return filled.where(F.col("_side") == 1).select(

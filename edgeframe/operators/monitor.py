@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgeframe.defaults import LATENCY_SAMPLES, TICK_NS
-from edgeframe.operators.blocks import BLOCK, block_counts, earlier_blocks, positions, prefix_sums
+from edgeframe.operators.blocks import (
+    BLOCK,
+    block_counts,
+    bounded_blocks,
+    earlier_blocks,
+    positions,
+    prefix_sums,
+)
 from edgeframe.operators.book import arb_events, usable
 from edgeframe.sources.quotes import latency_us
 
@@ -94,18 +101,19 @@ def rolling_latency(
 ) -> DataFrame:
     """Percentiles over the last ``samples`` non-negative latencies after each tick.
 
-    Samples are numbered per market (blocks = ticks) and cut into rings of ``samples``
-    consecutive numbers; a ring and the one before it hold every window that ends in it.
-    A task therefore sees at most two rings of numbers, however busy the market is, and
-    keeps the window sorted from tick to tick.
+    Samples are numbered per market (in blocks bounded in rows, however many a tick has) and cut
+    into rings of ``samples`` consecutive numbers; a ring and the one before it hold every window
+    that ends in it. A task therefore sees at most two rings of numbers, however busy the market
+    is, and keeps the window sorted from tick to tick.
     """
     usable = (
         events.withColumn("_us", latency_us())
         .where(F.col("_us") >= 0)
-        .withColumn(BLOCK, tick_of(tick_ns))
-        .select("market", BLOCK, "recv_ns", "seq", "_us")
+        .select("market", "recv_ns", "seq", "_us")
     )
-    numbered = positions(usable, ["market"], ["recv_ns", "seq", "_us"])
+    blocked, _ = bounded_blocks(usable.where(F.col("market").isNotNull()), ["market"], F.col("recv_ns"))
+    numbered = positions(blocked, ["market"], ["recv_ns", "seq", "_us"])
+    usable = usable.withColumn(BLOCK, tick_of(tick_ns))
     held = numbered.select(
         "market",
         F.explode(F.expr(f"array(_pos div {samples}, _pos div {samples} + 1)")).alias("ring"),

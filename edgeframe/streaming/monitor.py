@@ -72,11 +72,10 @@ class ArbStream:
             rows = fresh.drop("_late").unionByName(
                 known.drop("late").withColumn("_known", F.lit(True))
             )
-            # The book so far goes into a block of its own, before all new quotes.
-            place = F.when(F.col("_known"), F.lit(-1)).otherwise(
-                F.expr(f"seq div {self.block_size}")
+            # The book so far comes before all new quotes.
+            events = arb_events(
+                rows, self.venues, self.min_spread, rows=self.block_size, first=F.col("_known")
             )
-            events = arb_events(rows, self.venues, self.min_spread, place)
             signals = signals_of(events.where(~F.col("_known")))
             signals.write.mode("overwrite").parquet(f"{self.path}/signals/batch={batch_id}")
 

@@ -122,3 +122,75 @@ def test_listed_venues_and_quotes_without_one(spark):
     signals = book.arb_signals(frame(spark, two))
     kept = {(r.market, r.seq) for r in signals.collect()}
     assert {(r.market, r.seq) for r in state.collect() if r.venue in ("x", "y")} >= kept
+
+
+@pytest.mark.parametrize("size", [4, 37])
+def test_nanosecond_numbers_and_many_blocks(spark, size):
+    rng = random.Random(size)
+    base = 1_700_000_000_000_000_000
+    rows = [(m_, base + s * 1_000_003 + rng.randint(0, 9), v, b, a) for m_, s, v, b, a in random_quotes(500, size)]
+    # A third of the market in one microsecond.
+    rows += [("hot", base + 77_000_000 + i, rng.choice("xyzw"), 0.45 + i % 7 / 100, 0.5 + i % 5 / 100) for i in range(250)]
+    signals = book.arb_signals(frame(spark, [r[:1] + (r[1] % 10**15,) + r[2:] for r in rows]), rows=size)
+    assert found(signals) == m.replay([r[:1] + (r[1] % 10**15,) + r[2:] for r in rows])
+
+
+def test_silent_venues_are_carried_over_many_blocks(spark):
+    rng = random.Random(5)
+    rows = [("hot", i, f"v{i:02}", 0.4 + i / 1000, 0.6 - i / 1000) for i in range(40)]
+    rows += [("hot", 100 + i, rng.choice(["v01", "v39", "w"]), 0.5 + rng.randint(-30, 30) / 1000, 0.52) for i in range(400)]
+    want = m.replay(rows)
+    for size in (3, 10, 1000):
+        state = book.book_state(frame(spark, rows), rows=size)
+        assert found(book.signals_of(book.arb_events(frame(spark, rows), rows=size))) == want
+        assert state.agg(F.max("venue_count")).first()[0] == 41
+
+
+def test_a_market_without_a_name_has_a_book(spark):
+    rows = [(None if r[0] == "hot" else r[0], *r[1:]) for r in random_quotes(200, 6)]
+    assert found(book.arb_signals(frame(spark, rows), rows=20)) == m.replay(rows)
+
+
+def test_blocks_are_bounded_in_rows(spark):
+    rng = random.Random(9)
+    base = 1_700_000_000_000_000_000
+    times = [base + rng.randint(0, 10**15) for _ in range(2000)]  # sparse, in nanoseconds
+    times += [base + 5 * 10**14 + i for i in range(3000)]  # crowded: one tick
+    times += [base + 2**i for i in range(50)] + [None] * 5
+    rows = spark.createDataFrame([("a", t) for t in times] + [("b", 1)], "k string, t long")
+    placed, wide = blocks.bounded_blocks(rows, ["k"], F.col("t"), 100)
+    assert [r.k for r in wide.collect()] == ["a"] and placed.count() == len(times) + 1
+    cells = placed.groupBy("k", "_block").agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"))
+    cells = cells.where("k = 'a'").orderBy("_block").collect()
+    assert max(c.n for c in cells) <= 200 and len(cells) < 300
+    inside = [c for c in cells if c.lo is not None]
+    assert all(x.hi < y.lo for x, y in zip(inside, inside[1:])) and cells[0].lo is None
+    one, none = blocks.bounded_blocks(rows, ["k"], F.col("t"), 10_000)
+    assert none is None and one.select("_block").distinct().count() == 1
+
+
+def test_least_over_intervals():
+    import numpy as np
+
+    from edgeframe.operators.best_price import least_over
+
+    rng = np.random.default_rng(1)
+    for size in (1, 2, 7, 64, 101):
+        start = rng.integers(0, size, 60)
+        stop = np.minimum(size, start + rng.integers(1, size + 1, 60))
+        value = rng.integers(0, 1000, 60)
+        plain = [min([v for a, b, v in zip(start, stop, value) if a <= i < b], default=None) for i in range(size)]
+        got = [None if x == np.iinfo(np.int64).max else int(x) for x in least_over(start, stop, value, size)]
+        assert got == plain
+
+
+def test_asof_in_one_minute(spark):
+    rng = random.Random(3)
+    quotes = [("hot", i, rng.randint(0, 300)) for i in range(400)]
+    forecasts = [("hot", t, t / 1000) for t in rng.sample(range(300), 20)]
+    q = spark.createDataFrame(quotes, "market string, seq long, ts_ns long")
+    f = spark.createDataFrame(forecasts, "market string, ts_ns long, prob double")
+    got = {r.seq: r.prob for r in book.asof_forecast(q, f, ["prob"], rows=16).collect()}
+    for _, seq, t in quotes:
+        seen = [(x, p) for _, x, p in forecasts if x <= t]
+        assert got[seq] == (max(seen)[1] if seen else None)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import models as m
-from edgeframe.operators import monitor, serving
+from edgeframe.operators import blocks, monitor, serving
 
 SCHEMA = "market string, seq long, ts_ns long, recv_ns long"
 SECOND = 1_000_000_000
@@ -50,6 +50,14 @@ def test_ring(spark, ring):
         assert row.latency_us_p99 == m.lower_rank(seen[-ring:], 99)
 
 
+def test_ring_with_all_samples_in_one_tick(spark, monkeypatch):
+    monkeypatch.setattr(monitor, "bounded_blocks", lambda df, keys, order: blocks.bounded_blocks(df, keys, order, 20))
+    us = [float(i * 37 % 501) for i in range(400)]
+    row = monitor.rolling_latency(frame(spark, us, gap=1), samples=64).collect()
+    assert len(row) == 1 and row[0].sample_count == 400
+    assert row[0].latency_us_p50 == m.lower_rank(us[-64:], 50)
+
+
 def messages(spark, ticks):
     rows = [("a", i, t * SECOND, t * SECOND) for i, t in enumerate(ticks)]
     return spark.createDataFrame(rows, SCHEMA)
