@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Rows of a block: its own quotes, last quotes of venues that quote in it, and the rest.
-QUOTE, SEED, BASE = 0, 1, 2
+#: Rows of a block: quotes that do not change the book and that do, last quotes before the block
+#: of venues that quote in it, and the best of all other venues.
+OTHER, QUOTE, SEED, BASE = -1, 0, 1, 2
 STATE = "best_ask double, best_bid double, venue_count int, ask_venue string, bid_venue string"
 
 _NONE = np.iinfo(np.int64).max
@@ -71,9 +72,8 @@ def book(groups: np.ndarray, table: pa.Table) -> list[pa.Array]:
     names = pc.unique(pa.concat_arrays([venue, other])).drop_null()
     names = names.take(pc.sort_indices(names))
     venue, other = (pc.fill_null(pc.index_in(v, names), -1).to_numpy().astype(np.int64) for v in (venue, other))
-    listed = pc.fill_null(table["_listed"], False).to_numpy(zero_copy_only=False).astype(bool)
     base = np.flatnonzero(kind == BASE)
-    moves = np.flatnonzero((kind == SEED) | ((kind == QUOTE) & listed))
+    moves = np.flatnonzero((kind == SEED) | (kind == QUOTE))
 
     # A quote stands until the next of its venue in the block, or the end of the block.
     order = moves[np.lexsort((moves, venue[moves], groups[moves]))]
@@ -111,10 +111,11 @@ def _numbered(table: pa.Table, place: Sequence[str]) -> np.ndarray:
     return np.cumsum(change)
 
 
-def states(names: Sequence[str], place: Sequence[str]) -> Callable[[Iterator], Iterator[pa.RecordBatch]]:
+def states(names: Sequence[str], place: Sequence[str], crossed: bool = False) -> Callable[[Iterator], Iterator[pa.RecordBatch]]:
     """For sorted batches, ``names`` of the quotes with the state after each.
 
     Whole blocks are handled as they become complete, so at most one block and a batch are held.
+    ``crossed`` keeps only rows whose best bid is above the best ask.
     """
     fields = [f.strip().split()[0] for f in STATE.split(",")]
 
@@ -124,7 +125,10 @@ def states(names: Sequence[str], place: Sequence[str]) -> Callable[[Iterator], I
         table = pa.Table.from_batches(parts).combine_chunks()
         state = book(_numbered(table, place), table)
         whole = pa.table([*(table[n] for n in names), *state], names=[*names, *fields])
-        yield from whole.filter(pc.equal(table["_kind"], QUOTE)).to_batches()
+        wanted = pc.less_equal(table["_kind"], QUOTE)
+        if crossed:
+            wanted = pc.and_(wanted, pc.fill_null(pc.greater(whole["best_bid"], whole["best_ask"]), False))
+        yield from whole.filter(wanted).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

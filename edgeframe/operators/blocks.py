@@ -34,11 +34,18 @@ def seq_blocks(seq: str = "seq", size: int = SEQ_BLOCK) -> Column:
 
 
 def bounded_blocks(
-    df: DataFrame, keys: Sequence[str], order: Column, rows: int = SEQ_BLOCK
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Column,
+    rows: int = SEQ_BLOCK,
+    by: Sequence[str] = (),
+    ends: dict[str, Column] | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """``df`` with ``_block`` by rows: at most ``2 * rows`` of a key, however ``order`` is spread.
 
-    Also the keys with more than one block, or None if there is none; ``keys`` must not be null.
+    Also a table of the blocks of keys with more than one, or None if there is no such key:
+    ``keys``, ``_block`` and columns ``by`` with the aggregates ``ends``. ``keys`` must not be null.
+
     A block is named by where its range of ``order`` (a long) begins. A key's range is cut into
     equal widths for its number of rows; ranges that still hold too many are cut again between
     their own least and largest value, until none does. So sparse numbers, such as times in
@@ -54,12 +61,22 @@ def bounded_blocks(
         return df.withColumn(BLOCK, F.lit(0).cast("long")), None
     zero = F.lit(0).cast("long")
     placed = _cells(marked.withColumn(BLOCK, zero), wide.withColumn(BLOCK, zero), keys, rows)
+    more = [value.alias(name) for name, value in (ends or {}).items()]
     while True:
-        counts = placed.where(F.col("_in")).groupBy(*keys, BLOCK).agg(*bounds)
-        crowded = staged(counts.where((F.col("_n") > 2 * rows) & (F.col("_hi") > F.col("_lo"))), "crowded")
+        inside = placed.where(F.col("_in"))
+        # Read once for both what is too large and what the blocks hold.
+        table = staged(inside.groupBy(*keys, BLOCK, *by).agg(*bounds, *more), "blocks")
+        whole = table.groupBy(*keys, BLOCK).agg(
+            F.sum("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")
+        )
+        crowded = staged(whole.where((F.col("_n") > 2 * rows) & (F.col("_hi") > F.col("_lo"))), "crowded")
         if crowded.isEmpty():
-            return placed.drop("_order", "_in"), wide.select(*keys)
-        placed = _cells(placed.drop("_in"), crowded, keys, rows)
+            break
+        # The parts of a crowded block take its place; all others stay as they are.
+        still = wide.select(*keys).withColumn("_wide", F.lit(True))
+        placed = _cells(placed.drop("_in"), crowded, keys, rows).drop("_in").join(still, keys, "left")
+        placed = placed.withColumn("_in", F.coalesce("_wide", F.lit(False))).drop("_wide")
+    return placed.drop("_order", "_in"), table.drop("_n", "_lo", "_hi")
 
 
 def _cells(rows: DataFrame, wide: DataFrame, keys: list[str], size: int) -> DataFrame:

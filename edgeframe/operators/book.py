@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from edgeframe.defaults import MIN_SPREAD_PCT, SEQ_BLOCK
 from edgeframe.functions.numeric import number
-from edgeframe.operators.best_price import BASE, QUOTE, SEED, STATE, states
+from edgeframe.operators.best_price import BASE, OTHER, QUOTE, SEED, STATE, states
 from edgeframe.operators.blocks import BLOCK, bounded_blocks, seeds_first, with_carried
 from edgeframe.sources.quotes import latency_us
 
@@ -48,7 +48,16 @@ def _levels(last: Column) -> Column:
     return F.ceil(F.log2(last.cast("double") + 2)).cast("int")
 
 
-def _carried(rows: DataFrame, wide: DataFrame) -> DataFrame:
+def _ends() -> dict[str, Column]:
+    """Per block and venue the number of the last quote, of those that come first and of the others."""
+    return {
+        "_any": F.max("_late"),
+        "_end": F.max(F.when(F.col("_late"), F.col("seq"))),
+        "_begin": F.max(F.when(~F.col("_late"), F.col("seq"))),
+    }
+
+
+def _carried(rows: DataFrame, table: DataFrame) -> DataFrame:
     """What the blocks of keys with several blocks must know of the blocks before.
 
     A venue that quotes in a block needs its last quote before it: a ``SEED``, one per venue and
@@ -56,14 +65,20 @@ def _carried(rows: DataFrame, wide: DataFrame) -> DataFrame:
     quote stands silently over a range of blocks; it is entered in the few aligned ranges that make
     it, and a block looks up those that hold it. So nothing is copied to every block in between.
     """
-    rows = rows.join(wide, "_key", "left_semi")
+    # The last quotes are found by their numbers; few rows are left for the order among equals.
+    last = table.where(F.col("venue").isNotNull())
+    is_last = (F.col("_late") == F.col("_any")) & F.col("seq").eqNullSafe(
+        F.when(F.col("_any"), F.col("_end")).otherwise(F.col("_begin"))
+    )
     closing = (
         rows.where(F.col("_listed"))
+        .join(last, ["_key", BLOCK, "venue"])
+        .where(is_last)
         .groupBy("_key", BLOCK, "venue")
-        .agg(F.max(F.struct("_late", "seq", "yes_bid", "yes_ask")).alias("_q"))
+        .agg(F.max(F.struct("yes_bid", "yes_ask")).alias("_q"))
     )
     order = Window.partitionBy("_key").orderBy(BLOCK)
-    blocks = rows.select("_key", BLOCK).distinct().select(
+    blocks = table.select("_key", BLOCK).distinct().select(
         "_key",
         BLOCK,
         (F.row_number().over(order) - 1).cast("long").alias("_nr"),
@@ -105,7 +120,8 @@ def _carried(rows: DataFrame, wide: DataFrame) -> DataFrame:
         )
     )
     both = seeds.unionByName(base, allowMissingColumns=True)
-    return both.join(blocks.select("_key", BLOCK, "_nr"), ["_key", "_nr"]).drop("_nr")
+    named = both.join(blocks.select("_key", BLOCK, "_nr"), ["_key", "_nr"]).drop("_nr")
+    return named.withColumn("market", F.when(F.col("_key") != "", F.substring("_key", 2, 1 << 30)))
 
 
 def book_state(
@@ -114,13 +130,15 @@ def book_state(
     block: Column | None = None,
     rows: int = SEQ_BLOCK,
     first: Column | None = None,
+    crossed: bool = False,
 ) -> DataFrame:
     """Every quote with best ask, best bid, their venues and the number of venues seen.
 
     The book is kept per market in sequence order, over all venues there are, or only the
     listed ones; quotes of other venues, and of none, are rows that do not change it. Quotes
     for which ``first`` holds come before all others. A market is cut into blocks of at most
-    about ``rows`` quotes, or by ``block``, a column monotone in that order.
+    about ``rows`` quotes, or by ``block``, a column monotone in that order. ``crossed`` leaves
+    out, before rows come back from Python, those whose best bid is not above the best ask.
     """
     late = F.lit(True) if first is None else ~F.coalesce(first, F.lit(False))
     listed = F.col("venue").isNotNull()
@@ -130,22 +148,27 @@ def book_state(
     key = F.when(F.col("market").isNull(), "").otherwise(F.concat(F.lit("="), F.col("market").cast("string")))
     marked = usable(quotes).withColumns({"_key": key, "_late": late, "_listed": listed})
     if block is None:
-        marked, wide = bounded_blocks(marked, ["_key"], F.when(F.col("_late"), F.col("seq")).cast("long"), rows)
+        number_ = F.when(F.col("_late"), F.col("seq")).cast("long")
+        marked, table = bounded_blocks(marked, ["_key"], number_, rows, ["venue"], _ends())
     else:
         marked = marked.withColumn(BLOCK, block)
-        wide = marked.select("_key").distinct()
+        table = marked.groupBy("_key", BLOCK, "venue").agg(*[v.alias(n) for n, v in _ends().items()])
     dealt = marked.withColumns(
-        {"_kind": F.lit(QUOTE), "_other": F.lit(None).cast("string"), "_seen": F.lit(None).cast("long")}
+        {
+            "_kind": F.when(F.col("_listed"), F.lit(QUOTE)).otherwise(F.lit(OTHER)),
+            "_other": F.lit(None).cast("string"),
+            "_seen": F.lit(None).cast("long"),
+        }
     )
-    if wide is not None:
-        dealt = dealt.unionByName(_carried(marked, wide), allowMissingColumns=True)
+    if table is not None:
+        dealt = dealt.unionByName(_carried(marked, table), allowMissingColumns=True)
+    # Base and seeds of a block come before its quotes; both kinds of quotes are in one order.
+    early = F.when(F.col("_kind") > QUOTE, F.col("_kind")).otherwise(F.lit(QUOTE))
+    dealt = dealt.repartition("_key", BLOCK).sortWithinPartitions("_key", BLOCK, early.desc(), "_late", *ORDER)
     names = quotes.columns
-    place = ["_key", BLOCK]
-    # Base and seeds of a block come before its rows.
-    order = [*place, F.col("_kind").desc(), "_late", *ORDER]
-    dealt = dealt.repartition(*place).sortWithinPartitions(*order)
     schema = T.StructType([*quotes.schema.fields, *T.StructType.fromDDL(STATE).fields])
-    return dealt.mapInArrow(states(names, place), schema)
+    sent = dealt.select(*names, BLOCK, "_kind", "_other", "_seen")
+    return sent.mapInArrow(states(names, ["market", BLOCK], crossed), schema)
 
 
 def arb_events(
@@ -155,19 +178,21 @@ def arb_events(
     block: Column | None = None,
     rows: int = SEQ_BLOCK,
     first: Column | None = None,
+    crossed: bool = False,
 ) -> DataFrame:
     """Every quote with ``spread_pct`` and whether it triggers a signal.
 
     No signal where the two best prices are on the same venue, even if another pair pays.
+    ``crossed`` leaves out quotes at which the best bid is not above the best ask.
     """
     spread = (F.col("best_bid") - F.col("best_ask")) / F.col("best_ask")
-    crossed = (
+    pays = (
         (F.col("ask_venue") != F.col("bid_venue"))
         & (F.col("best_bid") > F.col("best_ask"))
         & (F.col("spread_pct") >= F.lit(min_spread))
     )
-    return book_state(quotes, venues, block, rows, first).withColumn("spread_pct", spread).withColumn(
-        "is_signal", crossed
+    return book_state(quotes, venues, block, rows, first, crossed).withColumn("spread_pct", spread).withColumn(
+        "is_signal", pays
     )
 
 
@@ -194,7 +219,7 @@ def arb_signals(
     rows: int = SEQ_BLOCK,
 ) -> DataFrame:
     """Cross-venue arbitrage signals: buy at the best ask, sell at the best bid."""
-    return signals_of(arb_events(quotes, venues, min_spread, block, rows))
+    return signals_of(arb_events(quotes, venues, min_spread, block, rows, crossed=True))
 
 
 def asof_forecast(

@@ -74,7 +74,7 @@ class ArbStream:
             )
             # The book so far comes before all new quotes.
             events = arb_events(
-                rows, self.venues, self.min_spread, rows=self.block_size, first=F.col("_known")
+                rows, self.venues, self.min_spread, rows=self.block_size, first=F.col("_known"), crossed=True
             )
             signals = signals_of(events.where(~F.col("_known")))
             signals.write.mode("overwrite").parquet(f"{self.path}/signals/batch={batch_id}")
