@@ -166,10 +166,10 @@ _SCORES = f"""with {_GRID}, {_VAL}, {_backtest(
                               else total_return - 0.5e0 * max_drawdown end as score from agg)"""
 
 
-def _platt(steps: int = 8) -> str:
+def _platt(market: str = "market", steps: int = 8) -> str:
     """Newton steps of the penalised fit, unrolled."""
     text = f"""
-    src as (select *, ln(lstm_prob / (1e0 - lstm_prob)) as z, cast(outcome as double) as y
+    src as (select * replace ({market} as market), ln(lstm_prob / (1e0 - lstm_prob)) as z, cast(outcome as double) as y
             from ({PREDS})),
     f0 as (select distinct market, 1e0 as a, 0e0 as b from src)"""
     for i in range(steps):
@@ -181,13 +181,13 @@ def _platt(steps: int = 8) -> str:
                     avg(p * (1e0 - p) * z) as hab,
                     avg(p * (1e0 - p)) + 10e0 / count(*) as hbb
              from (select s.market, z, y, a, b, 1e0 / (1e0 + exp(-(a * z + b))) as p
-                   from src s join f{i} f on f.market = s.market) s group by s.market),
+                   from src s join f{i} f on f.market is not distinct from s.market) s group by s.market),
     f{i + 1} as (select market,
                         a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab) as a,
                         b - (haa * gb - hab * ga) / (haa * hbb - hab * hab) as b from g{i})"""
     return f"""with {text}
     select s.market, date, {r("1e0 / (1e0 + exp(-(a * z + b)))", "model_prob")}
-    from src s join f{steps} f on f.market = s.market"""
+    from src s join f{steps} f on f.market is not distinct from s.market"""
 
 
 def _platt_bounded(steps: int = 3000) -> str:
@@ -461,6 +461,7 @@ ORACLE = {
               f"accuracy_{p}") for p in ("lstm", "transformer", "ensemble"))}
         from e group by 1""",
     "calibrated_probs": _platt(),
+    "calibrated_null_market": _platt("nullif(market, 'HUB')"),
     "calibrated_overconfident": _platt_bounded(),
     "trade_decisions": f"{_BT} select market, date, side, {rs('edge', 'fair_yes_price')} from k",
     "kelly_sizing": f"""{_BT} select market, date, side, {rs("kelly_full", "kelly_used")},
@@ -516,6 +517,8 @@ ORACLE = {
                venue_count from state""",
     "arb_signals": _SIGNALS,
     "arb_signals_bucketed": _SIGNALS,
+    "arb_nanosecond_seq": f"""
+        select * replace (seq * 1000003 + 1700000000000000000 as seq) from ({_SIGNALS})""",
     "asof_forecast": f"""
         with q as ({QUOTES}),
         f as (select market, ts_ns + 1000000000 as ts_ns, (seq % 997) / 997e0 as ensemble_prob,

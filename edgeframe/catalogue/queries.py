@@ -291,6 +291,17 @@ def calibrated_probs(spark: SparkSession, sf: str) -> DataFrame:
     return calibrate.apply_platt(rows, fitted).select("market", "date", r6("model_prob"))
 
 
+def calibrated_null_market(spark: SparkSession, sf: str) -> DataFrame:
+    """Calibration where the rows of one market have no market name."""
+    rows = _nameless(fx.preds(spark, sf)).select("market", "date", F.col("lstm_prob").alias("model_prob"), "outcome")
+    fitted = calibrate.fit_platt(rows)
+    return calibrate.apply_platt(rows, fitted).select("market", "date", r6("model_prob"))
+
+
+def _nameless(preds: DataFrame) -> DataFrame:
+    return preds.withColumn("market", F.when(F.col("market") != "HUB", F.col("market")))
+
+
 def calibrated_overconfident(spark: SparkSession, sf: str) -> DataFrame:
     """Members eight times too sure, for which a full Newton step overshoots."""
     rows = fx.preds(spark, sf).withColumn(
@@ -458,6 +469,12 @@ def arb_signals(spark: SparkSession, sf: str) -> DataFrame:
     return _signal_columns(book.arb_signals(fx.quotes(spark, sf), fx.VENUES))
 
 
+def arb_nanosecond_seq(spark: SparkSession, sf: str) -> DataFrame:
+    """Quotes numbered by nanoseconds, all in blocks of about 500 rows."""
+    quotes = fx.quotes(spark, sf).withColumn("seq", F.col("seq") * 1_000_003 + 1_700_000_000_000_000_000)
+    return _signal_columns(book.arb_signals(quotes, rows=500))
+
+
 def arb_signals_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     """Small blocks and venues found in the data."""
     found = book.arb_signals(fx.quotes(spark, sf), block=seq_blocks(size=500))
@@ -669,6 +686,7 @@ QUERIES = {
     "blend_probs": blend_probs,
     "model_accuracy": model_accuracy,
     "calibrated_probs": calibrated_probs,
+    "calibrated_null_market": calibrated_null_market,
     "calibrated_overconfident": calibrated_overconfident,
     "trade_decisions": trade_decisions,
     "kelly_sizing": kelly_sizing,
@@ -687,6 +705,7 @@ QUERIES = {
     "book_carry_forward": book_carry_forward,
     "arb_signals": arb_signals,
     "arb_signals_bucketed": arb_signals_bucketed,
+    "arb_nanosecond_seq": arb_nanosecond_seq,
     "asof_forecast": asof_forecast,
     "latest_quote": latest_quote,
     "capped_signals": capped_signals,

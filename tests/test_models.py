@@ -214,6 +214,32 @@ def test_platt_of_overconfident_members(spark):
         assert abs(miss.mean() + 10 / len(z) * r.b) < 1e-8, r.market
 
 
+def test_platt_of_a_market_without_a_name(spark):
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 2 else "a", float(rng.uniform(0.1, 0.9)), int(rng.random() < 0.6)) for i in range(60)]
+    rows += [("no outcome", 0.3, None)]
+    df = spark.createDataFrame(rows, "market string, model_prob double, outcome int").repartition(4)
+    fitted = calibrate.fit_platt(df)
+    got = {r.market: (r.a, r.b) for r in fitted.collect()}
+    p, y = np.array([r[1:] for r in rows if r[0] is None]).T
+    assert set(got) == {None, "a"} and got[None] == pytest.approx(platt_by_descent(p, y), abs=1e-6)
+    moved = calibrate.apply_platt(df, fitted).collect()
+    assert len(moved) == len(rows)  # no row is lost; a market without a fit keeps its probability
+    assert [r.model_prob for r in moved if r.market == "no outcome"] == pytest.approx([0.3])
+
+
+def test_platt_ends_where_no_step_gets_further(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [("a", float(rng.uniform(0.1, 0.9)), int(rng.random() < 0.5)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "market string, model_prob double, outcome int")
+    exact = calibrate.fit_platt(df).first()
+    least = calibrate.fit_platt(df, tolerance=0.0).first()  # ends at the rounding of the sums
+    assert (least.a, least.b) == pytest.approx((exact.a, exact.b), abs=1e-8)
+    monkeypatch.setattr(calibrate, "FAILED", -1.0)
+    with pytest.raises(ValueError, match="1 of the keys"):
+        calibrate.fit_platt(df, tolerance=0.0)
+
+
 def test_accuracy_counts_one_half_as_yes(spark):
     df = spark.createDataFrame([(0.5, 1), (0.49, 1), (0.1, 0), (0.9, 0)], "lstm_prob double, y int")
     assert models.accuracy(df, ["lstm_prob"], "y").first()[0] == 0.5
