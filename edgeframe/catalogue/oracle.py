@@ -585,6 +585,12 @@ ORACLE = {
                cast(sum(cast(recv_ns >= ts_ns as integer)) as bigint) as samples
         from q group by 1, 2""",
     "stream_arb": _SIGNALS,
+    "stream_signal_feed": f"""{_SIGNALS}
+        qualify row_number() over (partition by market order by ts_ns desc, seq desc) <= 200""",
+    "stream_engine_stats": f"""{_STATS}
+        select market, tick, started_at_ns, messages_processed, arb_opportunities,
+               trades_executed, {rs("uptime_seconds", "latency_us_p50", "latency_us_p99",
+                                    "msgs_per_sec", "uptime_pct")} from stats""",
     "stream_latest": _LATEST,
     "stream_capped": f"""
         with q as ({QUOTES}) select market, venue, seq from q

@@ -633,6 +633,26 @@ def stream_arb(spark: SparkSession, sf: str) -> DataFrame:
     return _signal_columns(monitor_.signals(spark))
 
 
+def stream_signal_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest 200 signals of each market, kept up batch by batch."""
+    monitor_ = streams.ArbStream(scratch(spark, "arb"), fx.VENUES)
+    for landed in _land(spark, sf):
+        monitor_.start(landed, availableNow=True).awaitTermination()
+    return _signal_columns(monitor_.feed(spark))
+
+
+def stream_engine_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Stats records from the tables that both streams of the monitor keep."""
+    arb = streams.ArbStream(scratch(spark, "arb"), fx.VENUES)
+    ticks = streams.TickTable(scratch(spark, "tick-table"), HOUR_NS)
+    for landed in _land(spark, sf):
+        running = [table.start(landed, availableNow=True) for table in (arb, ticks)]
+        for query in running:
+            query.awaitTermination()
+    records = ticks.engine_stats(spark, arb.signals(spark))
+    return records.select("market", "tick", "started_at_ns", *_COUNTERS, *_r6(*_STATS))
+
+
 def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "latest")
     sink = tables.latest_sink(f"{path}/table", ["market", "venue"], ["seq"])
@@ -724,6 +744,8 @@ QUERIES = {
     "stream_counts": stream_counts,
     "stream_counts_all": stream_counts_all,
     "stream_arb": stream_arb,
+    "stream_signal_feed": stream_signal_feed,
+    "stream_engine_stats": stream_engine_stats,
     "stream_latest": stream_latest,
     "stream_capped": stream_capped,
 }

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from edgeframe.defaults import TICK_NS
 from edgeframe.operators import monitor as stats_ops
-from edgeframe.operators import serving
 from edgeframe.plans import forecast, ingest
 from edgeframe.session import ship
 from edgeframe.sources import lake, quotes, weather
@@ -61,18 +60,21 @@ def run_monitor(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_stats(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Counters and availability per tick from the monitor's tables, and the newest signals.
 
-    ``stats_all`` has every tick and signal there is. ``stats``, which is returned, has the ticks
-    that end ``LATENESS_NS`` before the newest quote, and so rarely change any more.
+    ``stats_all`` has every tick and signal there is, and ``engine_stats`` whole records of them,
+    latencies, start and uptime included. ``stats``, which is returned, has the ticks that end
+    ``LATENESS_NS`` before the newest quote, and so rarely change any more. ``feed`` comes from the
+    table that the monitor keeps.
     """
-    signals = streams.ArbStream(f"{args.out}/arb", args.venues).signals(spark)
+    arb = streams.ArbStream(f"{args.out}/arb", args.venues)
+    signals = arb.signals(spark)
     table = streams.TickTable(f"{args.out}/tick-table")
     counts = streams.counts_of(table.ticks(spark), signals)
     stats_ops.running_stats(counts).write.mode("overwrite").parquet(f"{args.out}/stats_all")
     closed = (F.col("tick") + 1) * TICK_NS <= F.lit(table.final_before(spark, LATENESS_NS))
     stats = stats_ops.running_stats(counts.where(closed))
     stats.write.mode("overwrite").parquet(f"{args.out}/stats")
-    feed = serving.capped_list(signals, ["market"], ["ts_ns", "seq"])
-    feed.write.mode("overwrite").parquet(f"{args.out}/feed")
+    table.engine_stats(spark, signals).write.mode("overwrite").parquet(f"{args.out}/engine_stats")
+    arb.feed(spark).write.mode("overwrite").parquet(f"{args.out}/feed")
     return spark.read.parquet(f"{args.out}/stats")
 
 

@@ -234,8 +234,16 @@ def engine_stats(
     counts = tick_counts(arb_events(quotes, venues), tick_ns, F.col("is_signal"))
     ticks = running_stats(counts, tick_ns, until)
     started = quotes.groupBy("market").agg(F.min("recv_ns").alias("started_at_ns"))
+    return stats_records(ticks, started, rolling_latency(quotes, tick_ns, samples), tick_ns)
+
+
+def stats_records(
+    ticks: DataFrame, started: DataFrame, latency: DataFrame, tick_ns: int = TICK_NS
+) -> DataFrame:
+    """All fields of a stats record, from ``running_stats``, ``started_at_ns`` of each market and
+    ``rolling_latency``."""
     # Ticks without new samples share the count, and so the latencies, of the tick before.
-    latency = rolling_latency(quotes, tick_ns, samples).drop("tick")
+    latency = latency.drop("tick")
     end_ns = (F.col("tick") + 1) * F.lit(tick_ns)
     return (
         ticks.join(latency, ["market", "sample_count"], "left")

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from edgeframe.defaults import MIN_SPREAD_PCT, SEQ_BLOCK, TICK_NS
+from edgeframe.defaults import LATENCY_SAMPLES, MIN_SPREAD_PCT, SEQ_BLOCK, SIGNALS_KEPT, TICK_NS
 from edgeframe.operators.book import arb_events, signals_of, usable
-from edgeframe.operators.monitor import tick_of
+from edgeframe.operators.monitor import rolling_latency, running_stats, stats_records, tick_of
 from edgeframe.sources.quotes import latency_us
 from edgeframe.streaming import tables
 
@@ -28,14 +28,16 @@ class ArbStream:
     sequence number is not above the last one of its market and venue, or repeats one of its
     batch, is late: it is counted and otherwise left out. Quotes without a number (null) are
     ordered by their receive time. Signals are written to one folder per batch, so a repeated batch
-    replaces its own output.
+    replaces its own output. The newest ``feed`` signals of each market are a table of their own,
+    to which a batch adds its signals only.
     """
 
     def __init__(
         self, path: str, venues: Sequence[str] | None = None,
-        min_spread: float = MIN_SPREAD_PCT, block_size: int = SEQ_BLOCK,
+        min_spread: float = MIN_SPREAD_PCT, block_size: int = SEQ_BLOCK, feed: int = SIGNALS_KEPT,
     ):
         self.path, self.min_spread = path, min_spread
+        self._feed = tables.capped_sink(f"{path}/feed", ["market"], ["ts_ns", "seq"], feed)
         self.venues = None if venues is None else list(venues)
         self.block_size = block_size
 
@@ -77,7 +79,9 @@ class ArbStream:
                 rows, self.venues, self.min_spread, rows=self.block_size, first=F.col("_known"), crossed=True
             )
             signals = signals_of(events.where(~F.col("_known")))
-            signals.write.mode("overwrite").parquet(f"{self.path}/signals/batch={batch_id}")
+            written = f"{self.path}/signals/batch={batch_id}"
+            signals.write.mode("overwrite").parquet(written)
+            self._feed(spark.read.schema(signals.schema).parquet(written), batch_id)
 
             counted = checked.withColumn("late", F.col("_late").cast("long")).drop("_late")
             columns = [c for c in counted.columns if c not in (*VENUE_KEY, "late")]
@@ -94,6 +98,10 @@ class ArbStream:
     def signals(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/signals").drop("batch")
 
+    def feed(self, spark: SparkSession) -> DataFrame:
+        """The newest signals of each market, without reading the older ones."""
+        return tables.current(spark, f"{self.path}/feed")
+
     def late(self, spark: SparkSession) -> DataFrame:
         """Late quotes of each market and venue so far."""
         return self.book(spark).select(*VENUE_KEY, "late").where(F.col("late") > 0)
@@ -107,7 +115,7 @@ class TickTable:
 
     There is no watermark, so ticks that are still open are there and no row is dropped. Each
     micro-batch writes the counts of its own rows to one folder, which a repeated batch
-    replaces; readers add them up.
+    replaces; readers add them up. Its latency samples, four numbers a row, are written likewise.
     """
 
     def __init__(self, path: str, tick_ns: int = TICK_NS):
@@ -126,8 +134,11 @@ class TickTable:
             F.count(F.lit(1)).alias("messages"),
             F.sum(F.coalesce((latency_us() >= 0).cast("long"), F.lit(0))).alias("samples"),
             F.max("recv_ns").alias("last_ns"),
+            F.min("recv_ns").alias("first_ns"),
         )
         counts.write.mode("overwrite").parquet(f"{self.path}/counts/batch={batch_id}")
+        samples = batch.where(latency_us() >= 0).select("market", "recv_ns", "ts_ns", "seq")
+        samples.write.mode("overwrite").parquet(f"{self.path}/samples/batch={batch_id}")
 
     def _counted(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/counts").drop("batch")
@@ -143,6 +154,18 @@ class TickTable:
             )
         )
 
+    def samples(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/samples").drop("batch")
+
+    def engine_stats(
+        self, spark: SparkSession, signals: DataFrame, samples: int = LATENCY_SAMPLES
+    ) -> DataFrame:
+        """The records of ``monitor.engine_stats`` for all that has come in so far."""
+        counts = counts_of(self.ticks(spark), signals, self.tick_ns)
+        started = self._counted(spark).groupBy("market").agg(F.min("first_ns").alias("started_at_ns"))
+        latency = rolling_latency(self.samples(spark), self.tick_ns, samples)
+        return stats_records(running_stats(counts, self.tick_ns), started, latency, self.tick_ns)
+
     def final_before(self, spark: SparkSession, lateness_ns: int) -> int | None:
         """Ticks that end by this time lie ``lateness_ns`` behind the newest row; None without rows."""
         newest = self._counted(spark).agg(F.max("last_ns")).first()[0]

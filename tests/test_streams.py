@@ -164,3 +164,38 @@ def test_latest_and_capped_tables(spark, fresh):
     assert {tuple(r) for r in tables.current(spark, latest).collect()} == {("a", 2, "q"), ("b", 10, "s")}
     kept = sorted((r.k, r.seq) for r in tables.current(spark, capped).collect())
     assert kept == [("a", 1), ("a", 2), ("b", 9), ("b", 10)]
+
+
+def test_feed_keeps_the_newest_signals(spark, fresh):
+    rows = random_quotes(300, 31)
+    stream = streams.ArbStream(fresh("arb"), VENUES, feed=7)
+    for i, at in enumerate(range(0, 300, 60)):
+        stream.process(batch(spark, rows[at : at + 60]), i)
+        if i == 2:
+            stream.process(batch(spark, rows[at : at + 60]), i)  # repeated: changes nothing
+    newest = {}
+    for r in sorted(stream.signals(spark).collect(), key=lambda r: (r.ts_ns, r.seq)):
+        newest.setdefault(r.market, []).append(r.seq)
+    feed = {}
+    for r in stream.feed(spark).collect():
+        feed.setdefault(r.market, []).append(r.seq)
+    assert {k: sorted(v) for k, v in feed.items()} == {k: v[-7:] for k, v in newest.items()}
+    assert len(feed["hot"]) == 7
+
+
+def test_live_records_equal_those_of_a_batch(spark, fresh):
+    rows = random_quotes(240, 32)
+    second = 10**9
+    arb, ticks = streams.ArbStream(fresh("arb"), VENUES), streams.TickTable(fresh("ticks"))
+    for i, at in enumerate(range(0, 240, 80)):
+        part = batch(spark, rows[at : at + 80]).withColumn("recv_ns", F.expr(f"seq * {second} div 5") + F.col("seq") % 7 * 1000)
+        part = part.withColumn("ts_ns", F.expr(f"seq * {second} div 5"))
+        arb.process(part, i)
+        ticks.process(part, i)
+    whole = batch(spark, rows).withColumn("recv_ns", F.expr(f"seq * {second} div 5") + F.col("seq") % 7 * 1000)
+    whole = whole.withColumn("ts_ns", F.expr(f"seq * {second} div 5"))
+    want = monitor.engine_stats(whole, VENUES, samples=16).collect()
+    got = ticks.engine_stats(spark, arb.signals(spark), samples=16)
+    assert set(got.columns) == set(want[0].asDict())
+    assert {tuple(sorted(r.asDict().items())) for r in got.collect()} == {tuple(sorted(r.asDict().items())) for r in want}
+    assert max(r.latency_us_p99 for r in want) > 0
