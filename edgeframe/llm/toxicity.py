@@ -255,7 +255,10 @@ def held_out(key: Column) -> Column:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """(``text``, ``toxic``) of at most ``bound`` labelled rows, picked by a hash of the key."""
+    """(``text``, ``toxic``) of at most ``bound`` labelled keys, picked by a hash of the key.
+
+    Of rows with the same key one is taken, by a hash of its text, so that ``bound`` holds for rows.
+    """
     usable = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .where(~held_out(F.col("doc_id")))
@@ -265,7 +268,8 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     # At most ``bound`` rows of two numbers, whatever the corpus: small enough to broadcast.
     joined = docs.join(F.broadcast(chosen), docs["_key"] == chosen["doc_id"])
-    return staged(joined.select("text", "toxic"), "toxicity-sample")
+    one = joined.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("_row"))
+    return staged(one.select("_row.text", "toxic"), "toxicity-sample")
 
 
 def _beginnings(text: bytes) -> set[str]:

@@ -114,3 +114,11 @@ def test_stage_keeps_clean_rows_whole(spark, frame, prose, odd):
     wanted = sorted([(k, t) for k, t in docs + odd if k not in toxic or (k, t) in odd], key=str)
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == wanted
     assert all(r.score == "x" for r in kept.collect())
+
+
+def test_repeated_ids_do_not_widen_the_sample(spark, frame):
+    rows = [(i % 40, f"text {i} you idiot" if i % 2 else f"text {i}") for i in range(400)]
+    docs = frame(rows).selectExpr("doc_id as _key", "text")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert tox._sample(docs, labels, 10).count() == 10
+    assert tox._sample(docs, labels, 1000).count() <= 40
