@@ -27,7 +27,8 @@ class ArbStream:
     All venues take part from their first quote on, unless a list is given. A quote whose
     sequence number is not above the last one of its market and venue, or repeats one of its
     batch, is late: it is counted and otherwise left out. Quotes without a number (null) are
-    ordered by their receive time. Signals are written to one folder per batch, so a repeated batch
+    ordered by their receive time and late against such times only, so a feed may mix both; within a
+    batch its numbered quotes come first. A null market or venue is a key. Signals are written to one folder per batch, so a repeated batch
     replaces its own output. The newest ``feed`` signals of each market are a table of their own,
     to which a batch adds its signals only.
     """
@@ -51,28 +52,35 @@ class ArbStream:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        same = Window.partitionBy(*VENUE_KEY, F.coalesce("seq", "recv_ns")).orderBy("recv_ns", "yes_bid", "yes_ask")
         quotes = usable(batch).withColumns(
-            {"seq": F.coalesce("seq", "recv_ns"), "_copy": F.row_number().over(same)}
+            {"_numbered": F.col("seq").isNotNull(), "seq": F.coalesce("seq", "recv_ns")}
         )
         known = tables.previous(spark, f"{self.path}/book", batch_id)
         if known is None:
-            known = spark.createDataFrame([], quotes.drop("_copy").schema).withColumn("late", F.lit(0))
-        seen = known.select(*VENUE_KEY, F.col("seq").alias("_seen"))
+            empty = spark.createDataFrame([], quotes.drop("_numbered").schema)
+            known = empty.withColumns(
+                {c: F.lit(None).cast("long") for c in ("late", "_last_number", "_last_time")}
+            )
+        same = Window.partitionBy(*VENUE_KEY, "_numbered", "seq").orderBy("recv_ns", "yes_bid", "yes_ask")
+        copies = quotes.withColumn("_copy", F.row_number().over(same))
+        seen = known.select(*[F.col(k).alias(f"_{k}") for k in VENUE_KEY], "_last_number", "_last_time")
+        here = F.lit(True)
+        for k in VENUE_KEY:
+            here = here & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        passed = F.when(F.col("_numbered"), F.col("_last_number")).otherwise(F.col("_last_time"))
         # Read by two jobs, the signals and the book; kept in memory or on disk meanwhile.
         checked = (
-            quotes.join(seen, VENUE_KEY, "left")
+            copies.join(seen, here, "left")
             .withColumn(
-                "_late",
-                F.coalesce(F.col("seq") <= F.col("_seen"), F.lit(False)) | (F.col("_copy") > 1),
+                "_late", F.coalesce(F.col("seq") <= passed, F.lit(False)) | (F.col("_copy") > 1)
             )
-            .drop("_seen", "_copy")
+            .drop(*seen.columns, "_copy")
             .persist()
         )
         try:
             fresh = checked.where(~F.col("_late")).withColumn("_known", F.lit(False))
-            rows = fresh.drop("_late").unionByName(
-                known.drop("late").withColumn("_known", F.lit(True))
+            rows = fresh.drop("_late", "_numbered").unionByName(
+                known.drop("late", "_last_number", "_last_time").withColumn("_known", F.lit(True))
             )
             # The book so far comes before all new quotes.
             events = arb_events(
@@ -83,13 +91,27 @@ class ArbStream:
             signals.write.mode("overwrite").parquet(written)
             self._feed(spark.read.schema(signals.schema).parquet(written), batch_id)
 
-            counted = checked.withColumn("late", F.col("_late").cast("long")).drop("_late")
-            columns = [c for c in counted.columns if c not in (*VENUE_KEY, "late")]
+            counted = checked.withColumns(
+                {
+                    "late": F.col("_late").cast("long"),
+                    "_last_number": F.when(F.col("_numbered"), F.col("seq")),
+                    "_last_time": F.when(~F.col("_numbered"), F.col("seq")),
+                    # A quote of this batch follows the known one, whichever of the two has a number.
+                    "_age": F.when(F.col("_late"), 0).otherwise(2),
+                }
+            ).drop("_late", "_numbered")
+            state = (*VENUE_KEY, "late", "_last_number", "_last_time", "_age")
+            columns = [c for c in counted.columns if c not in state]
             book = (
-                counted.unionByName(known.withColumn("late", F.col("late").cast("long")))
+                counted.unionByName(known.withColumn("_age", F.lit(1)))
                 .groupBy(*VENUE_KEY)
-                .agg(F.max_by(F.struct(*columns), "seq").alias("_q"), F.sum("late").alias("late"))
-                .select(*VENUE_KEY, "_q.*", "late")
+                .agg(
+                    F.max_by(F.struct(*columns), F.struct("_age", "seq")).alias("_q"),
+                    F.sum("late").alias("late"),
+                    F.max("_last_number").alias("_last_number"),
+                    F.max("_last_time").alias("_last_time"),
+                )
+                .select(*VENUE_KEY, "_q.*", "late", "_last_number", "_last_time")
             )
             tables.replace(book, f"{self.path}/book", batch_id)
         finally:
@@ -107,7 +129,7 @@ class ArbStream:
         return self.book(spark).select(*VENUE_KEY, "late").where(F.col("late") > 0)
 
     def book(self, spark: SparkSession) -> DataFrame:
-        return tables.current(spark, f"{self.path}/book")
+        return tables.current(spark, f"{self.path}/book").drop("_last_number", "_last_time")
 
 
 class TickTable:

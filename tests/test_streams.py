@@ -77,6 +77,27 @@ def test_quotes_without_numbers_are_kept_in_order_of_arrival(spark, fresh):
     assert stream.late(spark).count() == 0
 
 
+def test_numbers_after_times_are_not_late(spark, fresh):
+    plain = batch(spark, [("a", 1, "x", 0.3, 0.4), (None, 1, "x", 0.3, 0.4)]).withColumn("seq", F.lit(None).cast("long"))
+    stream = streams.ArbStream(fresh("arb"))
+    stream.process(plain, 0)
+    numbered = [("a", i, "x", 0.5, 0.6) for i in range(1, 11)] + [("a", 11, "y", 0.7, 0.8)]
+    stream.process(batch(spark, numbered), 1)
+    assert stream.late(spark).count() == 0
+    assert found(stream.signals(spark)) == {("a", 11): ("x", "y", 0.6, 0.7)}
+    assert {(r.market, r.venue, r.yes_bid) for r in stream.book(spark).collect()} == {
+        ("a", "x", 0.5), ("a", "y", 0.7), (None, "x", 0.3)
+    }
+    # Old numbers and old times are late, also for a market without a name.
+    stream.process(batch(spark, [("a", 10, "x", 0.9, 0.95)]), 2)
+    stream.process(plain, 3)
+    late = {(r.market, r.venue): r.late for r in stream.late(spark).collect()}
+    assert late == {("a", "x"): 2, (None, "x"): 1}
+    assert {(r.market, r.venue, r.yes_bid) for r in stream.book(spark).collect()} == {
+        ("a", "x", 0.5), ("a", "y", 0.7), (None, "x", 0.3)
+    }
+
+
 def test_lost_state_is_an_error(spark, fresh):
     stream = streams.ArbStream(fresh("arb"))
     stream.process(batch(spark, random_quotes(20, 23)), 0)
