@@ -38,3 +38,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    files, place = _files(spark, path)
+    if not files.exists(place):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(place)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of ours."""
+    files, place = _files(spark, path)
+    files.delete(place, True)

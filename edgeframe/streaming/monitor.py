@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ class ArbStream:
     """Arbitrage signals of a quote stream.
 
     The state is one latest quote per (market, venue), carried from batch to batch as a
-    table. Each micro-batch is an ordinary batch job whose markets are cut into blocks, so
+    table in buckets of markets; a batch reads and writes the buckets of its markets only. Each micro-batch is an ordinary batch job whose markets are cut into blocks, so
     a market with a third of all quotes does not tie the stream to one task.
 
     All venues take part from their first quote on, unless a list is given. A quote whose
@@ -38,6 +39,10 @@ class ArbStream:
         min_spread: float = MIN_SPREAD_PCT, block_size: int = SEQ_BLOCK, feed: int = SIGNALS_KEPT,
     ):
         self.path, self.min_spread = path, min_spread
+        rule = tables.Rule(
+            VENUE_KEY, ["_turn", "seq"], total=["late"], high=["_last_number", "_last_time"]
+        )
+        self._book = tables.KeyedTable(f"{path}/book", rule, by=["market"])
         self._feed = tables.capped_sink(f"{path}/feed", ["market"], ["ts_ns", "seq"], feed)
         self.venues = None if venues is None else list(venues)
         self.block_size = block_size
@@ -51,16 +56,30 @@ class ArbStream:
         return (writer.trigger(**trigger) if trigger else writer).start()
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         quotes = usable(batch).withColumns(
             {"_numbered": F.col("seq").isNotNull(), "seq": F.coalesce("seq", "recv_ns")}
         )
-        known = tables.previous(spark, f"{self.path}/book", batch_id)
+        with ExitStack() as kept:
+            self._process(quotes, batch_id, kept)
+
+    def _process(self, quotes: DataFrame, batch_id: int, kept: ExitStack) -> None:
+        spark = quotes.sparkSession
+
+        def held(df: DataFrame) -> DataFrame:
+            """``df`` in memory or on disk until the batch is done, as several jobs read it."""
+            kept.callback(df.persist().unpersist)
+            return df
+
+        quotes = held(quotes)
+        known = self._book.previous(spark, batch_id, self._book.touched(quotes))
         if known is None:
             empty = spark.createDataFrame([], quotes.drop("_numbered").schema)
             known = empty.withColumns(
-                {c: F.lit(None).cast("long") for c in ("late", "_last_number", "_last_time")}
+                {c: F.lit(None).cast("long") for c in ("late", "_last_number", "_last_time", "_turn")}
             )
+        else:
+            markets = quotes.select(F.col("market").alias("_m")).distinct()
+            known = held(known.join(markets, F.col("market").eqNullSafe(F.col("_m")), "left_semi"))
         same = Window.partitionBy(*VENUE_KEY, "_numbered", "seq").orderBy("recv_ns", "yes_bid", "yes_ask")
         copies = quotes.withColumn("_copy", F.row_number().over(same))
         seen = known.select(*[F.col(k).alias(f"_{k}") for k in VENUE_KEY], "_last_number", "_last_time")
@@ -68,54 +87,34 @@ class ArbStream:
         for k in VENUE_KEY:
             here = here & F.col(k).eqNullSafe(F.col(f"_{k}"))
         passed = F.when(F.col("_numbered"), F.col("_last_number")).otherwise(F.col("_last_time"))
-        # Read by two jobs, the signals and the book; kept in memory or on disk meanwhile.
-        checked = (
-            copies.join(seen, here, "left")
-            .withColumn(
-                "_late", F.coalesce(F.col("seq") <= passed, F.lit(False)) | (F.col("_copy") > 1)
-            )
-            .drop(*seen.columns, "_copy")
-            .persist()
+        late = F.coalesce(F.col("seq") <= passed, F.lit(False)) | (F.col("_copy") > 1)
+        checked = held(
+            copies.join(seen, here, "left").withColumn("_late", late).drop(*seen.columns, "_copy")
         )
-        try:
-            fresh = checked.where(~F.col("_late")).withColumn("_known", F.lit(False))
-            rows = fresh.drop("_late", "_numbered").unionByName(
-                known.drop("late", "_last_number", "_last_time").withColumn("_known", F.lit(True))
-            )
-            # The book so far comes before all new quotes.
-            events = arb_events(
-                rows, self.venues, self.min_spread, rows=self.block_size, first=F.col("_known"), crossed=True
-            )
-            signals = signals_of(events.where(~F.col("_known")))
-            written = f"{self.path}/signals/batch={batch_id}"
-            signals.write.mode("overwrite").parquet(written)
-            self._feed(spark.read.schema(signals.schema).parquet(written), batch_id)
-
-            counted = checked.withColumns(
-                {
-                    "late": F.col("_late").cast("long"),
-                    "_last_number": F.when(F.col("_numbered"), F.col("seq")),
-                    "_last_time": F.when(~F.col("_numbered"), F.col("seq")),
-                    # A quote of this batch follows the known one, whichever of the two has a number.
-                    "_age": F.when(F.col("_late"), 0).otherwise(2),
-                }
-            ).drop("_late", "_numbered")
-            state = (*VENUE_KEY, "late", "_last_number", "_last_time", "_age")
-            columns = [c for c in counted.columns if c not in state]
-            book = (
-                counted.unionByName(known.withColumn("_age", F.lit(1)))
-                .groupBy(*VENUE_KEY)
-                .agg(
-                    F.max_by(F.struct(*columns), F.struct("_age", "seq")).alias("_q"),
-                    F.sum("late").alias("late"),
-                    F.max("_last_number").alias("_last_number"),
-                    F.max("_last_time").alias("_last_time"),
-                )
-                .select(*VENUE_KEY, "_q.*", "late", "_last_number", "_last_time")
-            )
-            tables.replace(book, f"{self.path}/book", batch_id)
-        finally:
-            checked.unpersist()
+        fresh = checked.where(~F.col("_late")).withColumn("_known", F.lit(False))
+        rows = fresh.drop("_late", "_numbered").unionByName(
+            known.drop("late", "_last_number", "_last_time", "_turn").withColumn("_known", F.lit(True))
+        )
+        # The book so far comes before all new quotes.
+        events = arb_events(
+            rows, self.venues, self.min_spread, rows=self.block_size, first=F.col("_known"), crossed=True
+        )
+        signals = signals_of(events.where(~F.col("_known")))
+        written = f"{self.path}/signals/batch={batch_id}"
+        signals.write.mode("overwrite").parquet(written)
+        self._feed(spark.read.schema(signals.schema).parquet(written), batch_id)
+
+        counted = checked.withColumns(
+            {
+                "late": F.col("_late").cast("long"),
+                "_last_number": F.when(F.col("_numbered"), F.col("seq")),
+                "_last_time": F.when(~F.col("_numbered"), F.col("seq")),
+                # An accepted quote follows those of earlier batches, whichever have numbers;
+                # a late one is behind a quote that is there already.
+                "_turn": F.when(F.col("_late"), -1).otherwise(batch_id).cast("long"),
+            }
+        )
+        self._book.update(counted.drop("_late", "_numbered"), batch_id)
 
     def signals(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/signals").drop("batch")
@@ -129,19 +128,23 @@ class ArbStream:
         return self.book(spark).select(*VENUE_KEY, "late").where(F.col("late") > 0)
 
     def book(self, spark: SparkSession) -> DataFrame:
-        return tables.current(spark, f"{self.path}/book").drop("_last_number", "_last_time")
+        return self._book.current(spark).drop("_last_number", "_last_time", "_turn")
 
 
 class TickTable:
     """Messages and latency samples of every (market, tick) so far, however late they come.
 
-    There is no watermark, so ticks that are still open are there and no row is dropped. Each
-    micro-batch writes the counts of its own rows to one folder, which a repeated batch
-    replaces; readers add them up. Its latency samples, four numbers a row, are written likewise.
+    There is no watermark, so ticks that are still open are there and no row is dropped. The counts
+    are a keyed table to which a micro-batch adds its own. Its latency samples, four numbers a row,
+    are written to one folder, which a repeated batch replaces.
     """
 
     def __init__(self, path: str, tick_ns: int = TICK_NS):
         self.path, self.tick_ns = path, tick_ns
+        rule = tables.Rule(
+            ["market", "tick"], [], total=["messages", "samples"], high=["last_ns"], low=["first_ns"]
+        )
+        self._counts = tables.KeyedTable(f"{path}/counts", rule)
 
     def start(self, quotes: DataFrame, **trigger) -> StreamingQuery:
         """Run until stopped, or over what is there with ``availableNow=True``."""
@@ -158,20 +161,17 @@ class TickTable:
             F.max("recv_ns").alias("last_ns"),
             F.min("recv_ns").alias("first_ns"),
         )
-        counts.write.mode("overwrite").parquet(f"{self.path}/counts/batch={batch_id}")
+        self._counts.update(counts, batch_id)
         samples = batch.where(latency_us() >= 0).select("market", "recv_ns", "ts_ns", "seq")
         samples.write.mode("overwrite").parquet(f"{self.path}/samples/batch={batch_id}")
 
     def _counted(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/counts").drop("batch")
+        return self._counts.current(spark)
 
     def ticks(self, spark: SparkSession) -> DataFrame:
         """``market``, ``tick_start_ns``, ``messages``, ``samples`` of all ticks with a message."""
         return (
-            self._counted(spark)
-            .groupBy("market", "tick")
-            .agg(F.sum("messages").alias("messages"), F.sum("samples").alias("samples"))
-            .select(
+            self._counted(spark).select(
                 "market", (F.col("tick") * self.tick_ns).alias("tick_start_ns"), "messages", "samples"
             )
         )

@@ -7,6 +7,7 @@ import models as m
 from edgeframe import schemas
 from edgeframe.operators import monitor
 from edgeframe.sources import quotes
+from edgeframe.storage import children
 from edgeframe.streaming import monitor as streams
 from edgeframe.streaming import tables
 from test_book import SCHEMA, random_quotes
@@ -187,6 +188,50 @@ def test_latest_and_capped_tables(spark, fresh):
     assert kept == [("a", 1), ("a", 2), ("b", 9), ("b", 10)]
 
 
+def test_full_runs_cascade():
+    assert tables._full([("a", 0)] * 3) == (0, 0)
+    assert tables._full([("a", 1)] + [("b", 0)] * 4) == (4, 1)
+    assert tables._full([("a", 2), ("b", 1), ("c", 1), ("d", 1)] + [("e", 0)] * 4) == (7, 2)
+    assert tables._full([("a", 1)] * 3 + [("b", 0)] * 3) == (0, 0)
+
+
+def test_a_batch_writes_its_own_buckets_only(spark, fresh):
+    path = fresh("table")
+    rule = tables.Rule(["k"], ["seq"], total=["n"], low=["first"])
+    table = tables.KeyedTable(path, rule, buckets=8)
+
+    def frame(rows):
+        return spark.createDataFrame([(k, s, 1, s) for k, s in rows], "k string, seq long, n long, first long")
+
+    table.update(frame([(c, 0) for c in "abcdefghijkl"]), 0)
+    one = table.touched(frame([("a", 1)]))
+    assert len(one) == 1
+    for i in range(1, 10):
+        for _ in range(1 + i % 2):
+            table.update(frame([("a", i)]), i)
+        for run in (f"batch-{i}", f"merged-{i}"):
+            assert set(table._written(spark, run)) <= set(one)
+    rows = {r.k: (r.seq, r.n, r["first"]) for r in tables.current(spark, path).collect()}
+    assert rows == {"a": (9, 10, 0), **{c: (0, 1, 0) for c in "bcdefghijkl"}}
+    # Other buckets still are what the first batch wrote, and what is merged is removed.
+    runs = tables._manifest(spark, path, 9)[1]
+    assert all(r == [("batch-0", 0)] for b, r in runs.items() if b not in one)
+    assert [level for _, level in runs[one[0]]] == [1, 1, 0, 0]
+    assert set(children(spark, f"{path}/manifest")) == {"8", "9"}
+    assert set(children(spark, f"{path}/rows")) == {"batch-0", "merged-3", "merged-7", "batch-8", "batch-9"}
+    with pytest.raises(ValueError, match="other buckets"):
+        tables.KeyedTable(path, rule, buckets=4).update(frame([("a", 10)]), 10)
+
+
+def test_an_empty_table_can_be_read(spark, fresh):
+    path = fresh("table")
+    keep = tables.latest_sink(path, ["k"], ["seq"])
+    keep(spark.createDataFrame([], "k string, seq long"), 0)
+    assert tables.current(spark, path).count() == 0
+    keep(spark.createDataFrame([(None, 1), (None, 2)], "k string, seq long"), 1)
+    assert [tuple(r) for r in tables.current(spark, path).collect()] == [(None, 2)]
+
+
 def test_feed_keeps_the_newest_signals(spark, fresh):
     rows = random_quotes(300, 31)
     stream = streams.ArbStream(fresh("arb"), VENUES, feed=7)
