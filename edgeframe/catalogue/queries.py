@@ -10,6 +10,7 @@ from edgeframe import fixtures as fx
 from edgeframe import schemas
 from edgeframe.functions.numeric import logit, percent, point_estimate, sigmoid
 from edgeframe.operators import (
+    adaptive,
     backtest,
     book,
     calibrate,
@@ -392,6 +393,16 @@ def refined_search(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def adaptive_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Best of 40 adaptive trials of each market."""
+    path = scratch(spark, "validation")
+    _validation(spark, sf).write.parquet(path)
+    best = adaptive.adaptive_search(spark.read.parquet(path))
+    return best.select(
+        "market", *_r6("weight_lstm", "edge_threshold", "score"), "opt_method"
+    )
+
+
 # --- forecast -----------------------------------------------------------------------
 
 
@@ -718,6 +729,7 @@ QUERIES = {
     "grid_search_scores": grid_search_scores,
     "grid_search_best": grid_search_best,
     "refined_search": refined_search,
+    "adaptive_search": adaptive_search,
     "point_forecast": point_forecast,
     "live_records": live_records,
     "live_forecast": live_forecast,

@@ -100,7 +100,7 @@ def parser() -> argparse.ArgumentParser:
     job = commands.add_parser("study")
     job.add_argument("--lake", required=True)
     job.add_argument("--out", required=True)
-    job.add_argument("--method", default="grid-search", choices=["grid-search", "grid-refine"])
+    job.add_argument("--method", default="grid-search", choices=["grid-search", "grid-refine", "adaptive"])
     job.set_defaults(run=run_study)
 
     for name, run in (("monitor", run_monitor), ("stats", run_stats)):

@@ -154,7 +154,9 @@ def score_candidates(
         )
         tried = places.select(*_KEY, F.inline(pairs))
     else:
-        tried = places.join(candidates, "market").select(*_KEY, "weight", "threshold")
+        named = candidates.withColumnRenamed("market", "_m")
+        same = F.col("market").eqNullSafe(F.col("_m"))
+        tried = places.join(named, same).select(*_KEY, "weight", "threshold")
     by_block = rows.groupBy(*_KEY)
     totals = by_block.cogroup(tried.groupBy(*_KEY)).applyInArrow(
         lambda rows, tried: _totals(rows, tried, sizes), _TOTALS

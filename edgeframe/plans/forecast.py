@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from edgeframe.defaults import BANKROLL_USD, KELLY_CAP, KELLY_FRACTION
 from edgeframe.functions import contracts
 from edgeframe.functions.numeric import point_estimate
-from edgeframe.operators import backtest, calibrate, dataset, models, search
+from edgeframe.operators import adaptive, backtest, calibrate, dataset, models, search
 from edgeframe.sources import lake as lake_io
 from edgeframe.storage import scratch
 
@@ -85,7 +85,11 @@ def run_study(
     val, test = dataset.part(preds, "val"), dataset.part(preds, "test")
 
     lake_io.log_status(spark, log, "optimizing", method)
-    find = {"grid-search": search.grid_search, "grid-refine": search.refined_search}[method]
+    find = {
+        "grid-search": search.grid_search,
+        "grid-refine": search.refined_search,
+        "adaptive": adaptive.adaptive_search,
+    }[method]
     fitted.best = _stored(find(val), folder, "best")
 
     def blended(part: DataFrame) -> DataFrame:
