@@ -68,8 +68,8 @@ def _usable() -> Column:
 def decode_quotes(messages: DataFrame, arrival: bool = False) -> DataFrame:
     """Quotes of the well-formed messages; missing seq, time and names get defaults.
 
-    A missing sequence number becomes 0, or with ``arrival`` the receive time, so that feeds
-    without numbers keep the order in which their quotes came in.
+    A missing sequence number becomes 0, or with ``arrival`` stays null: a stream then orders the
+    quotes of feeds without numbers by their receive time.
     """
     quotes = _parse(messages).where(_usable())
     return quotes.select(
@@ -77,7 +77,7 @@ def decode_quotes(messages: DataFrame, arrival: bool = False) -> DataFrame:
         F.coalesce("_q.market", F.lit("")).alias("market"),
         "_q.yes_bid",
         "_q.yes_ask",
-        F.coalesce("_q.seq", *(["recv_ns"] if arrival else []), F.lit(0)).cast("long").alias("seq"),
+        F.coalesce("_q.seq", F.lit(None if arrival else 0)).cast("long").alias("seq"),
         F.coalesce("_q.ts_ns", "recv_ns").alias("ts_ns"),
         "recv_ns",
     )

@@ -162,7 +162,8 @@ class TickTable:
             F.min("recv_ns").alias("first_ns"),
         )
         self._counts.update(counts, batch_id)
-        samples = batch.where(latency_us() >= 0).select("market", "recv_ns", "ts_ns", "seq")
+        number = F.coalesce("seq", "recv_ns").alias("seq")
+        samples = batch.where(latency_us() >= 0).select("market", "recv_ns", "ts_ns", number)
         samples.write.mode("overwrite").parquet(f"{self.path}/samples/batch={batch_id}")
 
     def _counted(self, spark: SparkSession) -> DataFrame:

@@ -99,6 +99,23 @@ def test_numbers_after_times_are_not_late(spark, fresh):
     }
 
 
+def test_messages_may_mix_numbers_and_none(spark, fresh):
+    def sent(*rows):
+        head = '{"venue": "%s", "market": "a", "yes_bid": %s, "yes_ask": %s%s}'
+        rows = [("book.x", head % (v, b, a, "" if n is None else f', "seq": {n}'), t) for v, b, a, n, t in rows]
+        messages = spark.createDataFrame(rows, "topic string, payload string, recv_ns long")
+        return quotes.decode_quotes(messages, arrival=True)
+
+    first = sent(("x", 0.3, 0.4, None, 10**18))
+    assert [r.seq for r in first.collect()] == [None]
+    assert [r.seq for r in sent(("x", 0.3, 0.4, 7, 5)).collect()] == [7]
+    stream = streams.ArbStream(fresh("arb"))
+    stream.process(first, 0)
+    stream.process(sent(("x", 0.5, 0.6, 1, 10**18 + 1), ("y", 0.7, 0.8, 2, 10**18 + 2)), 1)
+    assert stream.late(spark).count() == 0
+    assert found(stream.signals(spark)) == {("a", 2): ("x", "y", 0.6, 0.7)}
+
+
 def test_lost_state_is_an_error(spark, fresh):
     stream = streams.ArbStream(fresh("arb"))
     stream.process(batch(spark, random_quotes(20, 23)), 0)
