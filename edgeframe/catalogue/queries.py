@@ -238,6 +238,21 @@ def logistic_scores(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sequence_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every window scored by its station's recurrent cell, learned from the train windows."""
+    path = scratch(spark, "windows")
+    rows = _lake(spark, sf)
+    built = dataset.build_dataset(rows)
+    dataset.standardize_windows(built, dataset.train_statistics(rows)).write.parquet(path)
+    windows = spark.read.parquet(path)
+    cell = recurrent.Cell(len(models.FEATURES))
+    train = dataset.part(windows, "train")
+    model = recurrent.fit_recurrent(train, cell.features, epochs=60, cell=cell)
+    return recurrent.score_recurrent(windows, model, cell).select(
+        "station", "date", "split", r6("lstm_prob")
+    )
+
+
 def pooled_logistic_scores(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "summaries")
     _summaries(spark, sf).write.parquet(path)
@@ -711,6 +726,7 @@ QUERIES = {
     "train_standardize": train_standardize,
     "window_summary_features": window_summary_features,
     "logistic_scores": logistic_scores,
+    "sequence_scores": sequence_scores,
     "pooled_logistic_scores": pooled_logistic_scores,
     "tree_scores": tree_scores,
     "external_model_scores": external_model_scores,

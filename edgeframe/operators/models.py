@@ -22,12 +22,7 @@ from edgeframe.defaults import FEATURES, GD_EPOCHS, GD_RATE
 from edgeframe.functions.contracts import blend
 from edgeframe.functions.numeric import sigmoid
 from edgeframe.operators.dataset import KEY, summary_names
-from edgeframe.schemas import record
-from edgeframe.storage import cut
-
-LOCAL_ROWS = 65536
-_MODEL = record(station="string", weights=T.ArrayType(T.DoubleType()), bias="double")
-
+from edgeframe.operators.descent import PIECE_ROWS, Logistic, descend
 
 # --- member A: logistic model per station -------------------------------------------
 
@@ -38,65 +33,19 @@ def fit_logistic(
     label: str = "label",
     rate: float = GD_RATE,
     epochs: int = GD_EPOCHS,
-    local_rows: int = LOCAL_ROWS,
+    local_rows: int = PIECE_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """(station, weights, bias) after ``epochs`` full-batch gradient steps from zero.
 
-    Stations with at most ``local_rows`` rows are fitted whole, each inside one task.
-    Larger ones take the same steps as Spark aggregations over all tasks.
+    A station with more than ``local_rows`` rows is cut over several tasks; see
+    ``operators.descent``.
     """
-    names = list(names)
-    rows = train.select(*KEY, *names, F.col(label).cast("double").alias("_y"))
-    sizes = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.where(F.col("_n") > local_rows).select(*KEY)
-
-    def descend(group: pa.Table) -> pa.Table:
-        x = np.column_stack([group[n].to_numpy() for n in names])
-        y = group["_y"].to_numpy()
-        w, b = np.zeros(len(names)), 0.0
-        for _ in range(epochs):
-            miss = 1.0 / (1.0 + np.exp(-(x @ w + b))) - y
-            w -= rate * (miss @ x) / len(y)
-            b -= rate * miss.mean()
-        return pa.table(
-            {"station": group["station"][:1], "weights": pa.array([w.tolist()]), "bias": [float(b)]}
-        )
-
-    if large.isEmpty():
-        return rows.groupBy(*KEY).applyInArrow(descend, _MODEL)
-    small = rows.join(large, KEY, "left_anti")
-    return small.groupBy(*KEY).applyInArrow(descend, _MODEL).unionByName(
-        _descend_distributed(rows.join(large, KEY, "left_semi"), names, rate, epochs)
+    fitted = descend(
+        train, F.array(*names), label, Logistic(rate), epochs, local_rows, tasks
     )
-
-
-def _descend_distributed(
-    rows: DataFrame, names: list[str], rate: float, epochs: int
-) -> DataFrame:
-    """The same descent with every step one aggregation, for stations too large for a task."""
-    rows = rows.persist()
-    zeros = F.array(*[F.lit(0.0)] * len(names))
-    model = cut(
-        rows.select(*KEY).distinct().withColumns({"weights": zeros, "bias": F.lit(0.0)})
-    )
-    for _ in range(epochs):
-        miss = sigmoid(linear(names)) - F.col("_y")
-        sums = (
-            rows.join(model, KEY)
-            .withColumn("_miss", miss)
-            .groupBy(*KEY)
-            .agg(
-                F.first("weights").alias("_w"),
-                F.first("bias").alias("_b"),
-                F.array(*[F.avg(F.col("_miss") * F.col(n)) for n in names]).alias("_g"),
-                F.avg("_miss").alias("_gb"),
-            )
-        )
-        step = F.zip_with("_w", "_g", lambda w, g: w - F.lit(rate) * g)
-        bias = F.col("_b") - F.lit(rate) * F.col("_gb")
-        model = cut(sums.select(*KEY, step.alias("weights"), bias.alias("bias")))
-    rows.unpersist()
-    return model
+    weights = F.slice("state", 1, len(names))
+    return fitted.select(*KEY, weights.alias("weights"), F.element_at("state", -1).alias("bias"))
 
 
 def linear(names: Sequence[str]) -> Column:
