@@ -106,6 +106,37 @@ _SUMMARIES = f"""{_TRAIN},
 _SUMMARY_NAMES = [f"avg_{f}" for f in FEATURES] + [f"last_{f}" for f in FEATURES]
 
 
+def _logistic(epochs: int = 300) -> str:
+    """Member A: ``epochs`` full-batch steps from zero on the summaries, scaled a second time."""
+    n = _SUMMARY_NAMES
+    z = " + ".join(f"w{i} * x{i}" for i in range(len(n))) + " + b"
+    return f"""with recursive {_SUMMARIES},
+    again as (
+        select station, {", ".join(
+            f"avg({c}) as m{i}, stddev_pop({c}) + 1e-6 as s{i}" for i, c in enumerate(n))}
+        from summaries where split = 'train' group by station),
+    scaled as materialized (
+        select u.station, u.date, u.split, cast(l.label_high as double) as y, {", ".join(
+            f"(u.{c} - a.m{i}) / a.s{i} as x{i}" for i, c in enumerate(n))}
+        from summaries u join again a on a.station = u.station
+        join windowed l on l.station = u.station and l.date = u.date),
+    fit as (
+        select 0 as i, station, {", ".join(f"0e0 as w{i}" for i in range(len(n)))}, 0e0 as b
+        from again
+        union all
+        select i + 1, station, {", ".join(f"w{i} - 0.05e0 * g{i}" for i in range(len(n)))},
+               b - 0.05e0 * g
+        from (select i, station, b, {", ".join(f"w{i}" for i in range(len(n)))}, avg(miss) as g,
+                     {", ".join(f"avg(miss * x{i}) as g{i}" for i in range(len(n)))}
+              from (select f.*, 1e0 / (1e0 + exp(-({z}))) - y as miss,
+                           {", ".join(f"x{i}" for i in range(len(n)))}
+                    from fit f join scaled s on s.station = f.station
+                    where f.i < {epochs} and s.split = 'train')
+              group by i, station, b, {", ".join(f"w{i}" for i in range(len(n)))}))
+    select s.station, s.date, s.split, {r(f"1e0 / (1e0 + exp(-({z})))", "lstm_prob")}
+    from scaled s join (select * from fit where i = {epochs}) f on f.station = s.station"""
+
+
 # --- strategy -----------------------------------------------------------------------
 
 
@@ -445,6 +476,7 @@ ORACLE = {
         from lake l join stats t on t.station = l.station""",
     "window_summary_features": f"""
         with {_SUMMARIES} select station, date, split, {rs(*_SUMMARY_NAMES)} from summaries""",
+    "logistic_scores": _logistic(),
     "external_model_scores": f"""
         with {_WINDOWED} select w.station, w.date,
             {r("1e0 / (1e0 + exp(-(0.05e0 * avg(s.tmax_f) - 0.04e0 * "

@@ -18,6 +18,7 @@ from edgeframe.operators import (
     features,
     models,
     monitor,
+    recurrent,
     search,
     serving,
 )
