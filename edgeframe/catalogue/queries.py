@@ -23,7 +23,7 @@ from edgeframe.operators import (
     serving,
 )
 from edgeframe.operators.blocks import seq_blocks
-from edgeframe.plans import forecast
+from edgeframe.plans import backfill, forecast
 from edgeframe.sources import lake, listings, quotes, weather
 from edgeframe.storage import scratch
 from edgeframe.streaming import monitor as streams
@@ -74,6 +74,19 @@ def backfill_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return weather.backfill_chunks(spans).select("station", "chunk_start", "chunk_end")
 
 
+def backfill_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """Observations backfilled by a job that stopped after its first wave and one that resumed."""
+    path = scratch(spark, "backfill")
+    observations = fx.obs_long(spark, sf)
+    day = F.to_date("date")
+    spans = observations.groupBy("station").agg(F.min(day).alias("start"), F.max(day).alias("end"))
+    backfill.backfill(spark, observations, spans, path, wave_chunks=7, waves=1)
+    backfill.backfill(spark, observations, spans, path)
+    return backfill.read_backfill(spark, path).select(
+        "station", "date", *_r6("tmax_f", "tmin_f"), "humidity", "wind_mph"
+    )
+
+
 def listing_filter(spark: SparkSession, sf: str) -> DataFrame:
     markets = listings.parse_listings(fx.listings(spark, sf))
     return listings.weather_listings(markets, words=["high", "weather", "rain", "steel", "brass"])
@@ -706,6 +719,7 @@ QUERIES = {
     "source_gate": source_gate,
     "station_lookup": station_lookup,
     "backfill_chunks": backfill_chunks,
+    "backfill_resumed": backfill_resumed,
     "listing_filter": listing_filter,
     "lake_roundtrip": lake_roundtrip,
     "quote_decode": quote_decode,

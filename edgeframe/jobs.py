@@ -1,4 +1,4 @@
-"""The jobs as ``spark-submit`` commands: ingest, study, monitor, stats.
+"""The jobs as ``spark-submit`` commands: backfill, ingest, study, monitor, stats.
 
     spark-submit --py-files edgeframe.zip -m edgeframe.jobs ingest --primary ... --lake ...
 """
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from edgeframe.defaults import TICK_NS
 from edgeframe.operators import monitor as stats_ops
-from edgeframe.plans import forecast, ingest
+from edgeframe.plans import backfill, forecast, ingest
 from edgeframe.session import ship
 from edgeframe.sources import lake, quotes, weather
 from edgeframe.streaming import monitor as streams
@@ -22,10 +22,23 @@ from edgeframe.streaming import monitor as streams
 LATENESS_NS = 10_000_000_000
 
 
+def run_backfill(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Landed observations of the spans into daily rows, chunk by chunk, from where it stopped."""
+    rows = weather.read_observations(spark, args.observations)
+    if args.source_ids:
+        named = rows.withColumnRenamed("station", "external_id")
+        rows = weather.with_station_id(named, weather.station_ids(spark), "external_id")
+    spans = spark.read.parquet(args.spans)
+    return backfill.backfill(spark, rows, spans, args.out, waves=args.waves)
+
+
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Observations (or daily weather) and a fallback to the feature lake."""
     if args.format == "observations":
         primary = weather.observations_wide(weather.read_observations(spark, args.primary))
+    elif args.format == "backfill":
+        parts = [backfill.read_backfill(spark, path) for path in args.primary]
+        primary = weather.append_chunks(parts)
     else:
         primary = weather.read_daily(spark, args.primary, args.format, "primary" in args.contract)
     fallback = weather.read_daily(spark, args.fallback, contract="fallback" in args.contract)
@@ -82,12 +95,23 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="edgeframe.jobs")
     commands = top.add_subparsers(required=True)
 
+    job = commands.add_parser("backfill")
+    job.add_argument("--observations", nargs="+", required=True)
+    job.add_argument("--spans", required=True, help="Parquet with station, start and end")
+    job.add_argument("--out", required=True)
+    job.add_argument("--waves", type=int, help="stop after so many waves")
+    job.add_argument(
+        "--source-ids", action="store_true", help="observations carry the source's station ids"
+    )
+    job.set_defaults(run=run_backfill)
+
     job = commands.add_parser("ingest")
     job.add_argument("--primary", nargs="+", required=True)
     job.add_argument("--fallback", required=True)
     job.add_argument("--lake", required=True)
     job.add_argument(
-        "--format", default="observations", choices=["observations", "parquet", "csv", "json", "orc"]
+        "--format", default="observations",
+        choices=["observations", "backfill", "parquet", "csv", "json", "orc"],
     )
     job.add_argument(
         "--contract", nargs="*", default=[], choices=["primary", "fallback"],
