@@ -1,28 +1,33 @@
 """Full-batch descent of one model per key, with the rows of a key in as many tasks as it needs.
 
-The rows are placed once, by ranges of (key, piece): a key with at most ``piece_rows`` distinct
-rows is one piece and so in one task, a larger one is cut by a hash of its values; ``piece_rows``
-bounds what a task holds of one key and takes no other part in the result. A round is one barrier
-stage. Each of its tasks holds its rows as arrays; in every epoch it adds up the gradients
-of its keys, and tasks that share a key exchange the sums of that key and nothing else. All of them
-add the sums in the same order and so keep the same model. Spark answers an exchange after one
-second, whatever its size, so an epoch takes a second longer if any key is cut. After ``round_epochs`` epochs the models
-are written to the shared folder, and the next round starts from there.
-
-Barrier stages need all their tasks at once: ``tasks`` is at most the number of slots, the rows of
-all keys have to fit the memory of that many workers, and Spark refuses them under dynamic
-allocation. A lost executor repeats the running round from its last written models.
-
-Rows with a null or non-finite input or label take no part; a null key is a key. Equal rows of a
-key are one row with a count, so copies cost nothing and a key of copies can be cut anywhere else.
-A key without rows left has no model; an empty table gives none.
+Equal rows of a key are one row with a count. A key with at most ``piece_rows`` distinct rows is
+descended by itself: keys are grouped, and a task has the rows of one key in memory at a time,
+through all epochs, however many keys it is given. Tasks get about ``TASK_ROWS`` rows each.
+
+A larger key is cut by a hash of its values into pieces, which ranges of (key, piece) place once;
+``piece_rows`` bounds what is computed in one place and takes no other part in the result. A round
+is one barrier stage. Each of its tasks keeps its rows in an unnamed local file and reads it batch
+by batch in every epoch, so memory does not grow with the rows. The tasks add up the gradients of
+their keys and exchange these sums and nothing else. All of them add the sums in the same order and
+so keep the same model. Spark answers an exchange after one second, whatever its size, so an epoch
+takes a second longer if any key is cut. After ``round_epochs`` epochs the models are written to the
+shared folder, and the next round starts from there.
+
+Barrier stages, which run only if a key is cut, need all their tasks at once: ``tasks`` is at most
+the number of slots, local disks have to hold the rows of the cut keys, and Spark refuses them under
+dynamic allocation. A lost executor repeats the running round from its last written models.
+
+Rows with a null or non-finite input or label take no part; a null key is a key. Copies cost
+nothing, and a key of copies can be cut anywhere else. A key without rows left has no model; an
+empty table gives none.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterable, Iterator
 from typing import Protocol
 
 import numpy as np
@@ -37,10 +42,13 @@ from edgeframe.storage import remove, scratch
 
 ROUND_EPOCHS = 100
 PIECE_ROWS = 262_144
+#: Rows of whole keys that a task is given; fewer where there are more slots than that fills.
+TASK_ROWS = 100_000
 
 _STATE = record(
     _task="int", station="string", _state=T.ArrayType(T.DoubleType()), _lead=T.BooleanType()
 )
+_MODEL = record(station="string", state=T.ArrayType(T.DoubleType()))
 
 
 class Learner(Protocol):
@@ -80,9 +88,51 @@ def descend(
     folder = scratch(spark, "descent")
     _write(_distinct(train, inputs, label), f"{folder}/rows")
     rows = spark.read.parquet(f"{folder}/rows")
-    _write(_placed(rows, piece_rows, tasks), f"{folder}/placed")
-    placed = spark.read.parquet(f"{folder}/placed")
+    sizes = rows.groupBy(F.col("station").alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    _write(sizes, f"{folder}/sizes")
+    sizes = spark.read.parquet(f"{folder}/sizes")
+    large = sizes.where(F.col("_rows") > piece_rows)
+
+    any_large = not large.isEmpty()
+    own = rows.join(large, F.col("station").eqNullSafe(F.col("_key")), "left_anti") if any_large else rows
+    count = sizes.where(F.col("_rows") <= piece_rows).agg(F.sum("_rows")).first()[0] or 0
+    _write(_whole(own, max(tasks, -(-count // TASK_ROWS)), learner, epochs), f"{folder}/models")
+    found = spark.read.schema(_MODEL).parquet(f"{folder}/models")
+    if any_large:
+        found = found.unionByName(_cut(rows, large, folder, learner, epochs, piece_rows, tasks, round_epochs))
+    for name in ("rows", "sizes", "placed"):
+        remove(spark, f"{folder}/{name}")
+    return found
+
+
+def _whole(rows: DataFrame, parts: int, learner: Learner, epochs: int) -> DataFrame:
+    """(station, state) of keys that are not cut, one key at a time."""
+
+    def fit(key: tuple, table: pa.Table) -> pa.Table:
+        x, y, n = _arrays(table)
+        state, total = learner.start(x.shape[1]), n.sum()
+        for _ in range(epochs):
+            state = learner.update(state, learner.gradient(state, x, y, n) / total)
+        columns = [pa.array([key[0].as_py()], pa.string()), pa.array([state.tolist()], pa.list_(pa.float64()))]
+        return pa.Table.from_arrays(columns, names=_MODEL.names)
+
+    return rows.repartition(parts, "station").groupBy("station").applyInArrow(fit, _MODEL)
+
 
+def _cut(
+    rows: DataFrame,
+    large: DataFrame,
+    folder: str,
+    learner: Learner,
+    epochs: int,
+    piece_rows: int,
+    tasks: int,
+    round_epochs: int,
+) -> DataFrame:
+    """(station, state) of the keys that are cut over several tasks."""
+    spark = rows.sparkSession
+    _write(_placed(rows, large, piece_rows, tasks), f"{folder}/placed")
+    placed = spark.read.parquet(f"{folder}/placed")
     states, done = None, 0
     while states is None or done < epochs:
         steps = min(round_epochs, epochs - done)
@@ -91,15 +141,13 @@ def descend(
         )
         if states is None:
             given = given.withColumn("_state", F.lit(None).cast("array<double>"))
-        work = given.select("_task", "station", "_x", "_y", "_n", "_cut", "_state")
+        work = given.select("_task", "station", "_x", "_y", "_n", "_state")
         found = work.repartitionById(tasks, F.col("_task")).mapInArrow(
             _round(learner, steps), _STATE, barrier=True
         )
         done += steps
         _write(found, f"{folder}/states-{done}")
         states = spark.read.schema(_STATE).parquet(f"{folder}/states-{done}")
-    for name in ("rows", "placed"):
-        remove(spark, f"{folder}/{name}")
     return states.where("_lead").select("station", F.col("_state").alias("state"))
 
 
@@ -126,45 +174,38 @@ def _distinct(train: DataFrame, inputs: Column, label: str) -> DataFrame:
     )
 
 
-def _placed(rows: DataFrame, piece_rows: int, tasks: int) -> DataFrame:
-    """Rows with their task, and whether their key is cut over several."""
-    sizes = rows.groupBy(F.col("station").alias("_key")).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(piece_rows)).alias("_pieces")
-    )
+def _placed(rows: DataFrame, large: DataFrame, piece_rows: int, tasks: int) -> DataFrame:
+    """Rows of the large keys with their task."""
+    pieces = large.select("_key", F.ceil(F.col("_rows") / F.lit(piece_rows)).alias("_pieces"))
     return (
-        rows.join(sizes, F.col("station").eqNullSafe(F.col("_key")))
-        .withColumn("_cut", F.col("_pieces") > 1)
+        rows.join(pieces, F.col("station").eqNullSafe(F.col("_key")))
         .withColumn("_piece", F.pmod(F.xxhash64("_x", "_y"), F.col("_pieces")))
         .repartitionByRange(tasks, "station", "_piece")
-        .select("station", "_x", "_y", "_n", "_cut", F.spark_partition_id().alias("_task"))
+        .select("station", "_x", "_y", "_n", F.spark_partition_id().alias("_task"))
     )
 
 
+def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, labels and counts of rows whose inputs have one length."""
+    x = table["_x"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return x.reshape(len(table), -1), table["_y"].to_numpy(), table["_n"].to_numpy().astype(float)
+
+
 def _round(learner: Learner, epochs: int):
     """The function of one task in a round of ``epochs`` epochs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
-        table = pa.Table.from_batches(list(batches), _ARROW)
-        held = _Held(table, learner)
-        # What the tasks share: (key, rows) of each one's cut keys, in that task's order.
-        told = [json.loads(m) for m in context.allGather(json.dumps(held.cut_sizes()))]
-        total = dict(held.sizes)
-        for key in held.cut:
-            total[key] = sum(n for listed in told for k, n in listed if k == key)
-        shared = any(told)
-
-        for _ in range(epochs):
-            sums = {
-                key: learner.gradient(held.states[key], *held.rows[key]) for key in held.rows
-            }
-            if shared:
-                mine = b"".join(sums[key].tobytes() for key in held.cut)
+        with tempfile.TemporaryFile() as file:
+            held = _Held(batches, learner, file)
+            # What the tasks share: (key, rows) of each one's keys, in that task's order.
+            told = [json.loads(m) for m in context.allGather(json.dumps(list(held.sizes.items())))]
+            total = {key: sum(n for listed in told for k, n in listed if k == key) for key in held.sizes}
+            for _ in range(epochs):
+                mine = b"".join(held.gradient(key).tobytes() for key in held.sizes)
                 sent = context.allGather(base64.b64encode(mine).decode("ascii"))
-                if held.cut:
-                    sums |= _added(told, sent, set(held.cut))
-            for key, gradient in sums.items():
-                held.states[key] = learner.update(held.states[key], gradient / total[key])
+                for key, gradient in _added(told, sent, set(held.sizes)).items():
+                    held.states[key] = learner.update(held.states[key], gradient / total[key])
 
         me = context.partitionId()
         first = {}
@@ -177,7 +218,7 @@ def _round(learner: Learner, epochs: int):
                     pa.array([me], pa.int32()),
                     pa.array([key], pa.string()),
                     pa.array([state.tolist()], pa.list_(pa.float64())),
-                    pa.array([key not in held.cut or first[key] == me]),
+                    pa.array([first[key] == me]),
                 ],
                 names=_STATE.names,
             )
@@ -192,43 +233,50 @@ _ARROW = pa.schema(
         ("_x", pa.list_(pa.float64())),
         ("_y", pa.float64()),
         ("_n", pa.int64()),
-        ("_cut", pa.bool_()),
         ("_state", pa.list_(pa.float64())),
     ]
 )
 
 
 class _Held:
-    """The rows of a task as one slice per key, and the states of its keys."""
-
-    def __init__(self, table: pa.Table, learner: Learner):
-        given = table.filter(table["_state"].is_valid())
-        old = dict(zip(given["station"].to_pylist(), given["_state"].to_pylist()))
-        table = table.filter(table["_y"].is_valid()).combine_chunks()
+    """The rows of a task in a local file, read batch by batch, and the states of its keys."""
+
+    def __init__(self, batches: Iterable[pa.RecordBatch], learner: Learner, file):
+        self.learner, self.file = learner, file
+        self.parts, self.sizes, self.states = {}, {}, {}
+        for batch in batches:
+            table = pa.Table.from_batches([batch], _ARROW)
+            given = table.filter(table["_state"].is_valid())
+            for key, state in zip(given["station"].to_pylist(), given["_state"].to_pylist()):
+                self.states[key] = np.array(state)
+            self._keep(table.filter(table["_y"].is_valid()).combine_chunks())
+
+    def _keep(self, table: pa.Table) -> None:
         # A null key gets the code after all others.
         coded = table["station"].combine_chunks().dictionary_encode()
         names = [*coded.dictionary.to_pylist(), None]
         codes = coded.indices.fill_null(len(names) - 1).to_numpy(zero_copy_only=False)
-        order = np.argsort(codes, kind="stable")
-        ends = np.searchsorted(codes[order], np.arange(len(names) + 1))
-        lists = table["_x"].combine_chunks()
-        x = lists.flatten().to_numpy(zero_copy_only=False)
-        x = x.reshape(len(table), -1) if len(table) else x.reshape(0, 0)
-        y, n = table["_y"].to_numpy(), table["_n"].to_numpy().astype(float)
-        cut = table["_cut"].to_numpy()
-        self.rows, self.sizes, self.states, self.cut = {}, {}, {}, []
         for code, key in enumerate(names):
-            at = order[ends[code] : ends[code + 1]]
+            at = np.flatnonzero(codes == code)
             if not len(at):
                 continue
-            self.rows[key] = x[at], y[at], n[at]
-            self.sizes[key] = float(n[at].sum())
-            self.states[key] = np.array(old[key]) if key in old else learner.start(x.shape[1])
-            if cut[at[0]]:
-                self.cut.append(key)
-
-    def cut_sizes(self) -> list:
-        return [(key, self.sizes[key]) for key in self.cut]
+            x, y, n = _arrays(table.take(pa.array(at)))
+            self.parts.setdefault(key, []).append((self.file.tell(), x.shape))
+            for values in (x, y, n):
+                self.file.write(values.tobytes())
+            self.sizes[key] = self.sizes.get(key, 0.0) + float(n.sum())
+            if key not in self.states:
+                self.states[key] = self.learner.start(x.shape[1])
+
+    def gradient(self, key: str | None) -> np.ndarray:
+        """Sum over all rows of ``key``, of which one batch is in memory at a time."""
+        total = 0.0
+        for start, (rows, width) in self.parts[key]:
+            self.file.seek(start)
+            values = np.frombuffer(self.file.read(8 * rows * (width + 2)))
+            x, y, n = np.split(values, [rows * width, rows * (width + 1)])
+            total = total + self.learner.gradient(self.states[key], x.reshape(rows, width), y, n)
+        return total
 
 
 def _added(told: list, sent: list[str], wanted: set) -> dict:

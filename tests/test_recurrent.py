@@ -1,12 +1,15 @@
 """The descent over several tasks and the recurrent cell."""
 
 import datetime as dt
+import tempfile
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from edgeframe.operators import models, recurrent
+from edgeframe.operators import descent, models, recurrent
 from edgeframe.operators.descent import Logistic, descend
 
 DAY = dt.date(2021, 1, 1)
@@ -134,3 +137,55 @@ def test_odd_rows(spark):
 def test_empty_table_has_no_model(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert recurrent.fit_recurrent(empty, 1, epochs=2).collect() == []
+
+
+def test_a_task_fits_one_key_after_the_other(spark):
+    """So it has the rows of one key at a time, however many keys it is given."""
+
+    class Turns:
+        """Its state is (which key of the task this is, the keys begun when it ended)."""
+
+        begun = 0
+
+        def start(self, width):
+            self.begun += 1
+            return np.array([float(self.begun), 0.0])
+
+        def gradient(self, state, x, y, n):
+            return len(x) * np.array([state[0], self.begun])
+
+        def update(self, state, gradient):
+            return gradient
+
+    rows = spark.range(600).select(
+        (F.col("id") % 20).cast("string").alias("station"),
+        F.array(F.col("id")).alias("x"),
+        F.lit(1).alias("label"),
+    )
+    fitted = descend(rows, F.col("x"), "label", Turns(), 3, tasks=1).collect()
+    assert sorted(r.state[0] for r in fitted) == list(range(1, 21))
+    assert all(r.state[0] == r.state[1] for r in fitted)
+
+
+def test_pieces_of_a_cut_key_are_not_kept_in_memory():
+    rng, learner = np.random.default_rng(3), Logistic(0.1)
+    parts = [(rng.normal(size=(1000, 50)), rng.integers(0, 2, 1000) * 1.0) for _ in range(20)]
+
+    def batches():
+        for x, y in parts:
+            x = pa.ListArray.from_arrays(pa.array(np.arange(1001, dtype="int32") * 50), pa.array(x.ravel()))
+            same = [pa.array([7] * 1000, pa.int32()), pa.array(["a"] * 1000)]
+            rest = [x, pa.array(y), pa.array([1] * 1000), pa.nulls(1000, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*same, *rest], schema=descent._ARROW)
+
+    with tempfile.TemporaryFile() as file:
+        tracemalloc.start()
+        before = pa.total_allocated_bytes()
+        held = descent._Held(batches(), learner, file)
+        got = held.gradient("a")
+        used = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    x, y = (np.concatenate(column) for column in zip(*parts))
+    assert np.allclose(got, learner.gradient(learner.start(50), x, y, np.ones(len(x))))
+    # All numbers take 8 MB.
+    assert used < 4e6 and pa.total_allocated_bytes() - before < 2e6
