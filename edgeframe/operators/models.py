@@ -93,6 +93,9 @@ def score_pooled_logistic(
 
 # --- member B: boosted trees over all stations --------------------------------------
 
+#: Training windows of a task at most on average; the learner keeps them and reads them per level.
+TREE_ROWS = 100_000
+
 
 def flat_window(df: DataFrame) -> DataFrame:
     """Add the window as one vector of steps x features numbers."""
@@ -111,7 +114,16 @@ def fit_trees(
         predictionCol="_hard",
     )
     # GBTClassifier keeps the default names of its probability and raw columns.
-    return PipelineModel([learner.fit(flat_window(train).select("_x", label))])
+    return PipelineModel([learner.fit(spread(flat_window(train).select("_x", label)))])
+
+
+def spread(rows: DataFrame, most: int = TREE_ROWS) -> DataFrame:
+    """``rows`` dealt to more tasks where there would be more than ``most`` a task.
+
+    A file split of windows is small while packed and may be ten times that once unpacked.
+    """
+    wanted = -(-rows.count() // most)
+    return rows if rows.rdd.getNumPartitions() >= wanted else rows.repartition(wanted)
 
 
 def score_trees(df: DataFrame, model: PipelineModel, out: str = "transformer_prob") -> DataFrame:

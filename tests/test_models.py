@@ -243,3 +243,14 @@ def test_platt_ends_where_no_step_gets_further(spark, monkeypatch):
 def test_accuracy_counts_one_half_as_yes(spark):
     df = spark.createDataFrame([(0.5, 1), (0.49, 1), (0.1, 0), (0.9, 0)], "lstm_prob double, y int")
     assert models.accuracy(df, ["lstm_prob"], "y").first()[0] == 0.5
+
+
+def test_training_windows_are_spread_by_rows(spark):
+    """One file or task with many windows becomes several tasks with all of them."""
+    rows = spark.range(1050).coalesce(1)
+    dealt = models.spread(rows, 100)
+    assert dealt.rdd.getNumPartitions() == 11
+    assert max(dealt.rdd.glom().map(len).collect()) <= 110
+    assert sorted(r.id for r in dealt.collect()) == list(range(1050))
+    assert models.spread(rows, 2000).rdd.getNumPartitions() == 1
+    assert models.spread(rows.where("id < 0"), 100).count() == 0
