@@ -13,6 +13,7 @@ from edgeframe.functions.numeric import number
 from edgeframe.operators.best_price import BASE, OTHER, QUOTE, SEED, STATE, states
 from edgeframe.operators.blocks import BLOCK, bounded_blocks, seeds_first, with_carried
 from edgeframe.sources.quotes import latency_us
+from edgeframe.storage import staged
 
 ORDER = ["seq", "venue", "yes_bid", "yes_ask"]
 
@@ -70,12 +71,14 @@ def _carried(rows: DataFrame, table: DataFrame) -> DataFrame:
     is_last = (F.col("_late") == F.col("_any")) & F.col("seq").eqNullSafe(
         F.when(F.col("_any"), F.col("_end")).otherwise(F.col("_begin"))
     )
-    closing = (
+    # A row per block and venue, read several times below; the quotes are read once for it.
+    closing = staged(
         rows.where(F.col("_listed"))
         .join(last, ["_key", BLOCK, "venue"])
         .where(is_last)
         .groupBy("_key", BLOCK, "venue")
-        .agg(F.max(F.struct("yes_bid", "yes_ask")).alias("_q"))
+        .agg(F.max(F.struct("yes_bid", "yes_ask")).alias("_q")),
+        "closing",
     )
     order = Window.partitionBy("_key").orderBy(BLOCK)
     blocks = table.select("_key", BLOCK).distinct().select(

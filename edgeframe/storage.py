@@ -33,9 +33,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read again."""
-    path = scratch(df.sparkSession, name)
+def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder, or to ``path``, and read again."""
+    path = path or scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -13,6 +13,7 @@ from edgeframe.defaults import LATENCY_SAMPLES, MIN_SPREAD_PCT, SEQ_BLOCK, SIGNA
 from edgeframe.operators.book import arb_events, signals_of, usable
 from edgeframe.operators.monitor import rolling_latency, running_stats, stats_records, tick_of
 from edgeframe.sources.quotes import latency_us
+from edgeframe.storage import remove, scratch, staged
 from edgeframe.streaming import tables
 
 VENUE_KEY = ["market", "venue"]
@@ -65,12 +66,17 @@ class ArbStream:
     def _process(self, quotes: DataFrame, batch_id: int, kept: ExitStack) -> None:
         spark = quotes.sparkSession
 
-        def held(df: DataFrame) -> DataFrame:
-            """``df`` in memory or on disk until the batch is done, as several jobs read it."""
-            kept.callback(df.persist().unpersist)
-            return df
+        def held(df: DataFrame, name: str) -> DataFrame:
+            """``df`` in files until the batch is done, as several jobs read it.
 
-        quotes = held(quotes)
+            Files are read in as many tasks as their size asks for; a persisted table would keep
+            its shuffle partitions, however small, and every job would run that many tasks.
+            """
+            path = scratch(spark, name)
+            kept.callback(remove, spark, path)
+            return staged(df, name, path)
+
+        kept.callback(quotes.persist().unpersist)
         known = self._book.previous(spark, batch_id, self._book.touched(quotes))
         if known is None:
             empty = spark.createDataFrame([], quotes.drop("_numbered").schema)
@@ -79,7 +85,7 @@ class ArbStream:
             )
         else:
             markets = quotes.select(F.col("market").alias("_m")).distinct()
-            known = held(known.join(markets, F.col("market").eqNullSafe(F.col("_m")), "left_semi"))
+            known = held(known.join(markets, F.col("market").eqNullSafe(F.col("_m")), "left_semi"), "arb-known")
         same = Window.partitionBy(*VENUE_KEY, "_numbered", "seq").orderBy("recv_ns", "yes_bid", "yes_ask")
         copies = quotes.withColumn("_copy", F.row_number().over(same))
         seen = known.select(*[F.col(k).alias(f"_{k}") for k in VENUE_KEY], "_last_number", "_last_time")
@@ -89,7 +95,8 @@ class ArbStream:
         passed = F.when(F.col("_numbered"), F.col("_last_number")).otherwise(F.col("_last_time"))
         late = F.coalesce(F.col("seq") <= passed, F.lit(False)) | (F.col("_copy") > 1)
         checked = held(
-            copies.join(seen, here, "left").withColumn("_late", late).drop(*seen.columns, "_copy")
+            copies.join(seen, here, "left").withColumn("_late", late).drop(*seen.columns, "_copy"),
+            "arb-checked",
         )
         fresh = checked.where(~F.col("_late")).withColumn("_known", F.lit(False))
         rows = fresh.drop("_late", "_numbered").unionByName(

@@ -46,6 +46,31 @@ def test_repeated_batch_changes_nothing(spark, fresh):
     assert stream.late(spark).count() == 0
 
 
+def test_a_batch_is_read_in_as_many_tasks_as_it_needs(spark, fresh, monkeypatch):
+    """The jobs of a small batch do not run a task for every shuffle partition."""
+    given, inner = [], streams.arb_events
+
+    def events(quotes, *args, **named):
+        given.append(quotes.rdd.getNumPartitions())
+        return inner(quotes, *args, **named)
+
+    monkeypatch.setattr(streams, "arb_events", events)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    try:
+        rows = random_quotes(120, 14)
+        stream = streams.ArbStream(fresh("arb"), VENUES, block_size=16)
+        for i in range(2):
+            stream.process(batch(spark, rows[60 * i : 60 * i + 60]), i)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(given) == 2 and max(given) < 48
+    assert found(stream.signals(spark)) == m.replay(rows)
+    # What a batch held is gone with it.
+    names = children(spark, spark.conf.get("spark.checkpoint.dir"))
+    assert not [n for n in names if n.startswith(("arb-checked", "arb-known"))]
+
+
 def test_late_quotes_are_counted_and_left_out(spark, fresh):
     stream = streams.ArbStream(fresh("arb"), VENUES)
     stream.process(batch(spark, [("a", 10, "x", 0.3, 0.4), ("a", 11, "y", 0.3, 0.41)]), 0)
