@@ -93,7 +93,7 @@ def score_pooled_logistic(
 
 # --- member B: boosted trees over all stations --------------------------------------
 
-#: Training windows of a task at most on average; the learner keeps them and reads them per level.
+#: Training windows of a task at most; the learner keeps them and reads them per level.
 TREE_ROWS = 100_000
 
 
@@ -118,12 +118,14 @@ def fit_trees(
 
 
 def spread(rows: DataFrame, most: int = TREE_ROWS) -> DataFrame:
-    """``rows`` dealt to more tasks where there would be more than ``most`` a task.
+    """``rows`` dealt out evenly where a task would have more than ``most``.
 
-    A file split of windows is small while packed and may be ten times that once unpacked.
+    A file split of windows is small while packed and may be ten times that once unpacked; splits
+    of other files beside it do not make it smaller.
     """
-    wanted = -(-rows.count() // most)
-    return rows if rows.rdd.getNumPartitions() >= wanted else rows.repartition(wanted)
+    held = rows.groupBy(F.spark_partition_id().alias("_task")).count()
+    total, largest = held.agg(F.sum("count"), F.max("count")).first()
+    return rows if (largest or 0) <= most else rows.repartition(-(-total // most))
 
 
 def score_trees(df: DataFrame, model: PipelineModel, out: str = "transformer_prob") -> DataFrame:

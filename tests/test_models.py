@@ -254,3 +254,13 @@ def test_training_windows_are_spread_by_rows(spark):
     assert sorted(r.id for r in dealt.collect()) == list(range(1050))
     assert models.spread(rows, 2000).rdd.getNumPartitions() == 1
     assert models.spread(rows.where("id < 0"), 100).count() == 0
+
+
+def test_one_crowded_task_among_many_is_spread(spark):
+    """Many small tasks do not hide one that has nearly all windows."""
+    few = spark.range(1000, 1020, 1, 20)
+    rows = spark.range(1000).coalesce(1).union(few)
+    dealt = models.spread(rows, 100)
+    assert max(dealt.rdd.glom().map(len).collect()) <= 110
+    assert sorted(r.id for r in dealt.collect()) == list(range(1020))
+    assert models.spread(few, 100).rdd.getNumPartitions() == 20
